@@ -1,4 +1,5 @@
 """All checks in one place."""
 
+import queries.distances  # noqa: F401
 import queries.preparation  # noqa: F401
 from queries.base import QUERIES, SQL  # noqa: F401
