@@ -121,11 +121,16 @@ def compare_feature_sets(train: DataFrame, test: DataFrame, selection: Selection
     """Test accuracy of an L2 logistic model on all and on the selected features."""
     n = train.count()
     evaluate = MulticlassClassificationEvaluator(labelCol=label_col, metricName="accuracy")
-    rows = []
-    for name, tr, te, col in (
-        ("all", train, test, features_col),
-        ("selected", selection.apply(train, features_col=features_col), selection.apply(test, features_col=features_col), "selected_features"),
-    ):
+
+    def fitted(tr: DataFrame, te: DataFrame, col: str) -> float:
         model = _logistic(n, 1.0, 0.0, features_col=col, label_col=label_col, max_iter=max_iter).fit(tr)
-        rows.append((name, len(selection.features) if name == "all" else len(selection.selected), float(evaluate.evaluate(model.transform(te)))))
+        return float(evaluate.evaluate(model.transform(te)))
+
+    rows = [("all", len(selection.features), fitted(train, test, features_col))]
+    if selection.selected:
+        sliced = [selection.apply(d, features_col=features_col) for d in (train, test)]
+        rows.append(("selected", len(selection.selected), fitted(*sliced, "selected_features")))
+    else:  # nothing kept: the model is its intercept, which is the most frequent class
+        top = train.groupBy(label_col).count().agg(F.min_by(label_col, F.struct(-F.col("count"), label_col))).first()[0]
+        rows.append(("selected", 0, float(test.agg(F.avg((F.col(label_col) == top).cast("double"))).first()[0] or 0.0)))
     return train.sparkSession.createDataFrame(rows, "features string, n_features int, accuracy double")
