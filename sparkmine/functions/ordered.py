@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import cut
+from sparkmine.lineage import cut, small_table
 
 ROWS_PER_WINDOW = 1_000_000
 SMALL_GROUP = 1_000_000
@@ -108,7 +108,7 @@ def exact_quantiles(
                 ranks[(group_of(r), c, j)] = (n - 1) * q
     group_type = df.schema[by].dataType.simpleString() if by else "string"
     spark = df.sparkSession
-    ranges = spark.createDataFrame(brackets, f"g {group_type}, c string, j int, lo double, hi double")
+    ranges = small_table(spark, brackets, f"g {group_type}, c string, j int, lo double, hi double")
     melted = df.select(
         (F.col(by) if by else F.lit(None).cast("string")).alias("g"),
         F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])).alias("m"),
@@ -121,7 +121,7 @@ def exact_quantiles(
         .groupBy("g", "c", "j", "x").agg(F.count(F.lit(1)).alias("n"))
     )
     placed = running_sums(counted, ["g", "c", "j"], "x", ["n"])
-    wanted = spark.createDataFrame(
+    wanted = small_table(spark, 
         [(g, c, j, math.floor(h), math.floor(h) + 1) for (g, c, j), h in ranks.items()],
         f"g {group_type}, c string, j int, r0 bigint, r1 bigint",
     )
@@ -153,7 +153,7 @@ def key_cuts(df: DataFrame, key: str, wanted: dict, by: str | None = None, *, bi
     spark = df.sparkSession
     group_type = df.schema[by].dataType.simpleString() if by else "int"
     while state:
-        prefixes = spark.createDataFrame([(g, p) for g, (p, _) in state.items()], f"g {group_type}, p bigint")
+        prefixes = small_table(spark, [(g, p) for g, (p, _) in state.items()], f"g {group_type}, p bigint")
         inside = frame.join(F.broadcast(prefixes), "g").filter(F.shiftright("k", shift) == F.col("p"))
         step = max(0, shift - 12)
         hist = inside.groupBy("g", F.shiftright("k", step).alias("b")).count().collect()
@@ -177,7 +177,7 @@ def key_cuts(df: DataFrame, key: str, wanted: dict, by: str | None = None, *, bi
             else:
                 nxt[g] = (found[0], found[1])
         if ready:
-            buckets = spark.createDataFrame(ready, f"g {group_type}, p bigint, n bigint")
+            buckets = small_table(spark, ready, f"g {group_type}, p bigint, n bigint")
             w = Window.partitionBy("g").orderBy("k")
             picked = (
                 frame.join(F.broadcast(buckets), "g").filter(F.shiftright("k", step) == F.col("p"))

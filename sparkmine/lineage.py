@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -40,3 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A handful of driver rows (statistics, cell pairs, model parts) as a local relation of known size."""
+    kind = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in kind]
+    arrow = pa.table({
+        f.name: pa.array(list(c), type=to_arrow_type(f.dataType)) for f, c in zip(kind, columns)
+    })
+    return spark.createDataFrame(arrow, schema=kind)

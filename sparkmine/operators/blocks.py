@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import small_table
 from sparkmine.functions.keys import hash_key
 from sparkmine.functions.vectors import distances, matrix
 
 MAX_BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
+CELL_ROWS = 1024
 BROADCAST_BYTES = 64 << 20
 
 
@@ -63,11 +65,11 @@ class Block:
     vals: np.ndarray
 
 
-def choose_pivots(df: DataFrame, id_col: str, x_col: str, rows: int) -> np.ndarray:
+def choose_pivots(df: DataFrame, id_col: str, x_col: str) -> np.ndarray:
     """A bounded random set of rows that act as cell centres."""
-    width = df.select(F.size(x_col)).first()
-    width = width[0] if width else 1
-    count = rows // 1024 if width <= 16 else rows // (4 * MAX_BLOCK_ROWS)
+    rows, width = df.agg(F.count(F.lit(1)), F.max(F.size(x_col))).first()
+    width = width or 1
+    count = rows // CELL_ROWS if width <= 16 else rows // (8 * CELL_ROWS)
     count = min(MAX_PIVOTS, count)
     if count < 2:
         return np.zeros((0, width))
@@ -81,6 +83,7 @@ def build_blocks(
     x_col: str,
     *,
     pivots: np.ndarray | None = None,
+    like: Blocks | None = None,
     tag: str | None = None,
     val: str | None = None,
     p: int = 2,
@@ -88,6 +91,8 @@ def build_blocks(
 ) -> Blocks:
     """Pack ``df`` into blocks. ``tag`` defaults to the id, ``val`` to 1.0.
 
+    With ``like``, whose rows include these, its cells and chunks are used again.
+
     A row's chunk is a hash of its id, so a cell that holds a third of all rows
     (copies of one vector, say) is spread over as many blocks as it needs.
     """
@@ -97,8 +102,10 @@ def build_blocks(
         F.col(tag or id_col).cast("bigint").alias("tag"),
         (F.col(val).cast("double") if val else F.lit(1.0)).alias("val"),
     )
+    if like is not None:
+        pivots = like.pivots
     if pivots is None:
-        pivots = choose_pivots(base, "id", "x", base.count())
+        pivots = choose_pivots(base, "id", "x")
     if len(pivots):
         centres = pivots
 
@@ -113,24 +120,12 @@ def build_blocks(
     else:
         placed = base.select("*", F.lit(0).alias("cell"), F.lit(0.0).alias("away"))
 
-    size = [F.max("away").alias("radius"), F.max(F.size("x")).alias("width")]
-    if tag:
-        stats = (
-            placed.groupBy("cell", "tag").agg(F.count(F.lit(1)).alias("m"), *size)
-            .groupBy("cell").agg(F.sum("m").alias("n"), F.max("m").alias("top"), F.max("radius").alias("radius"),
-                                 F.max("width").alias("width"))
-        )
+    if like is not None:
+        cells, width = like.cells, like.width
     else:
-        stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("top"), *size)
-    rows = stats.collect()  # at most MAX_PIVOTS rows
-    total = sum(r["n"] for r in rows)
-    limit = block_rows or max(256, min(MAX_BLOCK_ROWS, math.ceil(total / 4)))
-    cells = {
-        r["cell"]: Cell(r["n"], r["n"] - r["top"], r["radius"], max(1, math.ceil(r["n"] / limit))) for r in rows
-    }
-    width = max((r["width"] for r in rows), default=pivots.shape[1] if len(pivots) else 1)
+        cells, width = _measure(placed, tag is not None, block_rows, pivots)
     spark = df.sparkSession
-    counts = spark.createDataFrame([(c, s.chunks) for c, s in cells.items()], "cell int, chunks int")
+    counts = small_table(spark, [(c, s.chunks) for c, s in cells.items()], "cell int, chunks int")
     chunked = placed.join(F.broadcast(counts), "cell").withColumn(
         "chunk", F.pmod(hash_key(F.col("id"), "chunk"), F.col("chunks")).cast("int")
     )
@@ -152,6 +147,23 @@ def build_blocks(
     return Blocks(frame, cells, pivots, width, p)
 
 
+def _measure(placed: DataFrame, tagged: bool, block_rows: int | None, pivots: np.ndarray) -> tuple[dict[int, Cell], int]:
+    """Size, radius and chunk count per cell, and the vector width."""
+    size = [F.max("away").alias("radius"), F.max(F.size("x")).alias("width")]
+    if tagged:
+        stats = (
+            placed.groupBy("cell", "tag").agg(F.count(F.lit(1)).alias("m"), *size)
+            .groupBy("cell").agg(F.sum("m").alias("n"), F.max("m").alias("top"), F.max("radius").alias("radius"),
+                                 F.max("width").alias("width"))
+        )
+    else:
+        stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("top"), *size)
+    rows = stats.collect()  # at most MAX_PIVOTS rows
+    limit = block_rows or max(256, min(MAX_BLOCK_ROWS, math.ceil(sum(r["n"] for r in rows) / 4)))
+    cells = {r["cell"]: Cell(r["n"], r["n"] - r["top"], r["radius"], max(1, math.ceil(r["n"] / limit))) for r in rows}
+    return cells, max((r["width"] for r in rows), default=pivots.shape[1] if len(pivots) else 1)
+
+
 def pairs_within(q: Blocks, c: Blocks, reach: Callable[[int], float]) -> list[tuple[int, int, int]]:
     """Cell pairs ``(query cell, corpus cell, corpus chunks)`` that may hold a pair within ``reach``."""
     out = []
@@ -202,14 +214,14 @@ def join_blocks(
                 if len(out):
                     yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
-    links = spark.createDataFrame(pairs, "q_cell int, c_cell int, chunks int")
+    links = small_table(spark, pairs, "q_cell int, c_cell int, chunks int")
     tiles = sum(q.cells[i].chunks * n for i, _, n in pairs)
     spread = max(1, min(tiles, 4 * spark.sparkContext.defaultParallelism))
     side = lambda b, s: b.frame.select(
         F.col("cell").alias(f"{s}_cell"), F.col("chunk").alias(f"{s}_chunk"),
         *[F.col(name).alias(f"{s}_{name}") for name in ("ids", "xs", "tags", "vals")],
     )
-    chunks = spark.createDataFrame(
+    chunks = small_table(spark, 
         [(i, cell.chunks) for i, cell in q.cells.items()], "q_cell int, q_chunks int"
     )
     index = (

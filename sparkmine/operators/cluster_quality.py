@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.functions.vectors import distances
+from sparkmine.lineage import cut, small_table
+from sparkmine.functions.vectors import distances, minkowski
 from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, join_blocks, pairs_within
-from sparkmine.operators.kmeans import lloyd, seed_centers
+from sparkmine.operators.kmeans import lloyd_many, seed_centers
+
+FEW_CLUSTERS = 1024
 
 
 def silhouette_rows(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str,
@@ -67,72 +70,73 @@ def silhouette(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, samp
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.avg("silhouette").alias("silhouette"))
 
 
-def centroid_dims(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
-    """Mean per cluster and dimension: ``(cluster, dim, n, center)``."""
+def _moments(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
+    """Size, mean and variance per cluster and dimension, combined before the shuffle."""
     return (
         df.select(F.col(cluster_col).alias("cluster"), F.posexplode(F.col(x_col).cast("array<double>")).alias("dim", "v"))
-        .groupBy("cluster", "dim").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("center"))
+        .groupBy("cluster", "dim").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("center"), F.var_pop("v").alias("spread"))
     )
 
 
 def centroid_table(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
     """``(cluster, n, center)`` with the centre as one vector."""
-    dims = centroid_dims(df, x_col=x_col, cluster_col=cluster_col)
     # the list holds one entry per dimension
-    return dims.groupBy("cluster").agg(
-        F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("dim", "center"))), lambda s: s["center"]).alias("center")
-    )
+    ordered = F.array_sort(F.collect_list(F.struct("dim", "center")))
+    return _moments(df, x_col=x_col, cluster_col=cluster_col).groupBy("cluster").agg(
+        F.max("n").alias("n"), F.transform(ordered, lambda s: s["center"]).alias("center"))
 
 
 def calinski_harabasz(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
-    """``(n_rows, n_clusters, between, within, calinski_harabasz)`` from two moments per cluster and dimension.
-
-    Rows are centred on the global mean first, so the sum-of-squares form does not
-    cancel when the data sit far from the origin.
-    """
-    long = df.select(
-        F.col(cluster_col).alias("cluster"), F.posexplode(F.col(x_col).cast("array<double>")).alias("dim", "v")
-    )
-    mean = long.groupBy("dim").agg(F.avg("v").alias("m"))
-    per = (
-        long.join(mean, "dim").withColumn("d", F.col("v") - F.col("m")).groupBy("cluster", "dim")
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("d").alias("g"), F.var_pop("d").alias("s"))
-    )
-    n = F.sum(F.when(F.col("dim") == 0, F.col("n")))
-    k = F.count_if(F.col("dim") == 0)
+    """``(n_rows, n_clusters, between, within, calinski_harabasz)`` from one pass of per-cluster moments."""
+    per = _moments(df, x_col=x_col, cluster_col=cluster_col)
+    all_rows = Window.partitionBy("dim")  # one row per cluster
+    per = per.withColumn("g", F.sum(F.col("n") * F.col("center")).over(all_rows) / F.sum("n").over(all_rows))
+    gap = F.col("center") - F.col("g")
     totals = per.agg(
-        n.alias("n_rows"), k.alias("n_clusters"), F.sum(F.col("n") * F.col("g") * F.col("g")).alias("between"),
-        F.sum(F.col("n") * F.col("s")).alias("within"),
+        F.sum(F.when(F.col("dim") == 0, F.col("n"))).alias("n_rows"), F.count_if(F.col("dim") == 0).alias("n_clusters"),
+        F.sum(F.col("n") * gap * gap).alias("between"), F.sum(F.col("n") * F.col("spread")).alias("within"),
     )
     score = (F.col("between") / (F.col("n_clusters") - 1)) / (F.col("within") / (F.col("n_rows") - F.col("n_clusters")))
     return totals.withColumn("calinski_harabasz", F.when(F.col("n_clusters") > 1, F.when(F.col("within") == 0, 1.0).otherwise(score)))
 
 
+def _worst_ratios(own: np.ndarray, centers: np.ndarray, spread: np.ndarray, others: np.ndarray, other_centers: np.ndarray,
+                  other_spread: np.ndarray) -> np.ndarray:
+    gap = distances(centers, other_centers)
+    sums = spread[:, None] + other_spread[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(gap > 0, sums / gap, np.where(sums > 0, np.inf, 0.0))
+    ratio[own[:, None] == others[None, :]] = -np.inf
+    return ratio.max(axis=1)
+
+
 def davies_bouldin(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
-    """``(n_clusters, davies_bouldin)``."""
-    table = centroid_table(df, x_col=x_col, cluster_col=cluster_col)
+    """``(n_clusters, davies_bouldin)``.
+
+    Up to ``FEW_CLUSTERS`` centres are compared as one small model; more are
+    compared as block pairs.
+    """
+    table = cut(centroid_table(df, x_col=x_col, cluster_col=cluster_col))
     spread = (
-        df.select(F.col(cluster_col).alias("cluster"), F.col(x_col).cast("array<double>").alias("x"))
-        .join(table, "cluster")
-        .withColumn("d", F.sqrt(F.aggregate(F.zip_with("x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)))
-        .groupBy("cluster").agg(F.avg("d").alias("s"))
+        df.select(F.col(cluster_col).alias("cluster"), F.col(x_col).cast("array<double>").alias("x")).join(table, "cluster")
+        .groupBy("cluster").agg(F.avg(minkowski(F.col("x"), F.col("center"))).alias("s"))
     )
     packed = table.join(spread, "cluster").select(F.col("cluster").cast("bigint").alias("cluster"), "center", "s")
+    if table.count() <= FEW_CLUSTERS:
+        rows = packed.collect()
+        if len(rows) < 2:
+            return small_table(df.sparkSession, [(len(rows), None)], "n_clusters bigint, davies_bouldin double")
+        ids, centers, s = np.array([r["cluster"] for r in rows]), np.array([r["center"] for r in rows]), np.array([r["s"] for r in rows])
+        value = float(_worst_ratios(ids, centers, s, ids, centers, s).mean())
+        return small_table(df.sparkSession, [(len(rows), value)], "n_clusters bigint, davies_bouldin double")
     b = build_blocks(packed, "cluster", "center", val="s", pivots=np.zeros((0, 0)))
 
     def worst(q: Block, c: Block) -> pd.DataFrame:
-        gap = distances(q.xs, c.xs)
-        sums = q.vals[:, None] + c.vals[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(gap > 0, sums / gap, np.where(sums > 0, np.inf, 0.0))
-        ratio[q.ids[:, None] == c.ids[None, :]] = -np.inf
-        return pd.DataFrame({"cluster": q.ids, "ratio": ratio.max(axis=1)})
+        return pd.DataFrame({"cluster": q.ids, "ratio": _worst_ratios(q.ids, q.xs, q.vals, c.ids, c.xs, c.vals)})
 
     tiles = join_blocks(b, b, pairs_within(b, b, lambda _: 0.0), worst, "cluster bigint, ratio double")
     per = tiles.groupBy("cluster").agg(F.max("ratio").alias("ratio"))
-    return per.agg(F.count(F.lit(1)).alias("n_clusters"), F.avg("ratio").alias("davies_bouldin")).withColumn(
-        "davies_bouldin", F.when(F.col("n_clusters") > 1, F.col("davies_bouldin"))
-    )
+    return per.agg(F.count(F.lit(1)).alias("n_clusters"), F.avg("ratio").alias("davies_bouldin"))
 
 
 def scores(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, sample: DataFrame | None = None) -> tuple:
@@ -147,19 +151,20 @@ def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], s
                  sample: DataFrame | None = None, max_iter: int = 300) -> DataFrame:
     """One row per k with its three scores; the first best silhouette is marked.
 
-    Seeding is sequential, so the centres for the largest k serve every smaller one.
+    Seeding is sequential, so the centres for the largest k serve every smaller one,
+    and all k iterate in the same passes.
     """
     df = df.select(id_col, x_col).persist()
     try:
         seeds = seed_centers(df, id_col=id_col, x_col=x_col, k=max(ks), seed=seed)
         rows = []
-        for k in ks:
-            fit = lloyd(df, seeds[:k], x_col=x_col, max_iter=max_iter)
+        fits = lloyd_many(df, [seeds[:k] for k in ks], x_col=x_col, max_iter=max_iter)
+        for k, fit in zip(ks, fits):
             labelled = fit.transform(df, x_col)
             rows.append((k, fit.iterations, *scores(labelled, id_col=id_col, x_col=x_col, cluster_col="cluster", sample=sample)))
     finally:
         df.unpersist()
-    return mark_best(df.sparkSession.createDataFrame(
+    return mark_best(small_table(df.sparkSession, 
         rows, "k int, iterations int, silhouette double, calinski_harabasz double, davies_bouldin double"
     ), "k")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
-from sparkmine.lineage import cut
+from sparkmine.lineage import cut, small_table
 from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, join_blocks, pairs_within
 from sparkmine.operators.cluster_quality import scores
 from sparkmine.operators.components import connected_components, number_by_order
@@ -61,7 +61,7 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     if core.isEmpty():
         return rows.select("id", F.lit(NOISE).alias("cluster"), F.lit(False).alias("is_core"))
 
-    core_blocks = build_blocks(core, "rep", "x", pivots=all_blocks.pivots)
+    core_blocks = build_blocks(core, "rep", "x", like=all_blocks)
 
     def forest(q: Block, c: Block) -> pd.DataFrame:
         ids = np.concatenate([q.ids, c.ids])
@@ -81,7 +81,10 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     # a symmetric comparison: half of the cell pairs is enough
     half = [(i, j, n) for i, j, n in pairs_within(core_blocks, core_blocks, lambda _: eps) if i <= j]
     edges = join_blocks(core_blocks, core_blocks, half, forest, "a bigint, b bigint")
-    linked = connected_components(edges)
+    if sum(c.chunks for c in all_blocks.cells.values()) == 1:
+        linked = edges.select(F.col("a").alias("id"), F.col("b").alias("root")).distinct()  # one block: its forest is the answer
+    else:
+        linked = connected_components(edges)
     roots = core.select(F.col("rep").alias("id")).join(linked, "id", "left").select(
         F.col("id").alias("rep"), F.coalesce("root", "id").alias("root")
     )
@@ -90,8 +93,8 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     )
 
     border = points.join(core.select("rep"), "rep", "left_anti")
-    q = build_blocks(border, "rep", "x", pivots=all_blocks.pivots)
-    c = build_blocks(numbered, "rep", "x", pivots=all_blocks.pivots, tag="cluster")
+    q = build_blocks(border, "rep", "x", like=all_blocks)
+    c = build_blocks(numbered, "rep", "x", like=all_blocks, tag="cluster")
 
     def reach(a: Block, b: Block) -> pd.DataFrame:
         parts = []
@@ -138,8 +141,8 @@ def sweep_eps(df: DataFrame, *, id_col: str, x_col: str, min_pts: int = 5) -> tu
         df.unpersist()
     scored = [r for r in rows if r[3] > -1 and r[1] > 0]
     best = max(scored, key=lambda r: r[3]) if scored else max(rows, key=lambda r: r[1])
-    results = df.sparkSession.createDataFrame(
-        [(i + 1, *r, r[0] == best[0]) for i, r in enumerate(rows)],
+    results = small_table(
+        df.sparkSession, [(i + 1, *r, r[0] == best[0]) for i, r in enumerate(rows)],
         "step int, eps double, n_clusters bigint, n_noise bigint, silhouette double, calinski_harabasz double, "
         "davies_bouldin double, is_best boolean",
     )

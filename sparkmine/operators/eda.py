@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import small_table
 from sparkmine.functions.ordered import exact_quantiles
 
 
@@ -28,7 +29,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
         if lo is not None:
             ranges.append((c, lo, hi) if hi > lo else (c, lo - 0.5, hi + 0.5))
     spark = df.sparkSession
-    limits = spark.createDataFrame(ranges, "column string, c_lo double, c_hi double")
+    limits = small_table(spark, ranges, "column string, c_lo double, c_hi double")
     melted = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("m")
     ).select("m.*").filter("x IS NOT NULL")
@@ -60,7 +61,7 @@ def boxplot(df: DataFrame, columns: Sequence[str], label_col: str) -> DataFrame:
     label_type = df.schema[label_col].dataType.simpleString()
     rows = [(g, c, *v) for (g, c), v in quartiles.items() if v[0] is not None]
     # one row per (class, column)
-    boxes = df.sparkSession.createDataFrame(rows, f"label {label_type}, column string, q1 double, median double, q3 double")
+    boxes = small_table(df.sparkSession, rows, f"label {label_type}, column string, q1 double, median double, q3 double")
     melted = df.select(F.col(label_col).alias("label"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("m")
     ).select("label", "m.*").filter("x IS NOT NULL")

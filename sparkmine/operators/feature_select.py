@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import small_table
 from sparkmine.functions.ordered import exact_quantiles
 
 WEIGHT_FLOOR = 1e-5
@@ -28,7 +29,7 @@ class Selection:
     def table(self, df: DataFrame) -> DataFrame:
         chosen = set(self.selected)
         rows = [(f, float(s), i in chosen) for i, (f, s) in enumerate(zip(self.features, self.scores))]
-        return df.sparkSession.createDataFrame(rows, "feature string, score double, selected boolean")
+        return small_table(df.sparkSession, rows, "feature string, score double, selected boolean")
 
     def apply(self, df: DataFrame, *, features_col: str, into: str = "selected_features") -> DataFrame:
         return VectorSlicer(inputCol=features_col, outputCol=into, indices=self.selected).transform(df)
@@ -133,4 +134,4 @@ def compare_feature_sets(train: DataFrame, test: DataFrame, selection: Selection
     else:  # nothing kept: the model is its intercept, which is the most frequent class
         top = train.groupBy(label_col).count().agg(F.min_by(label_col, F.struct(-F.col("count"), label_col))).first()[0]
         rows.append(("selected", 0, float(test.agg(F.avg((F.col(label_col) == top).cast("double"))).first()[0] or 0.0)))
-    return train.sparkSession.createDataFrame(rows, "features string, n_features int, accuracy double")
+    return small_table(train.sparkSession, rows, "features string, n_features int, accuracy double")

@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
-from sparkmine.lineage import cut
+from sparkmine.lineage import cut, small_table
 from sparkmine.operators.blocks import MAX_BLOCK_ROWS, Block, Blocks, Cell, chunked_rows, join_blocks
 from sparkmine.operators.cluster_quality import mark_best, scores
 from sparkmine.operators.components import number_by_order
 
-FEW = 64
+FEW = 256  # clusters whose pairwise sums the driver may hold
 MERGES = "height double, a bigint, b bigint, round int"
 
 
-def _block_sums(members: DataFrame, n: int, width: int, every_pair: bool) -> DataFrame:
+def _block_sums(members: DataFrame, n: int, width: int, biggest: int, every_pair: bool) -> DataFrame:
     """Cross-pair distance sums ``(cluster, other, size, other_size, total)``.
 
     ``members`` is ``(id, x, cluster, size)``. A cluster up to the block limit lives in
@@ -56,7 +56,8 @@ def _block_sums(members: DataFrame, n: int, width: int, every_pair: bool) -> Dat
         total = np.zeros((len(qa), len(ca)))
         code = np.repeat(np.arange(len(qa)), q_n)
         for s in chunked_rows(len(q.ids), len(c.ids)):
-            np.add.at(total, code[s], np.add.reduceat(distances(q.xs[s], c.xs), c_start, axis=1))
+            owners, first = np.unique(code[s], return_index=True)
+            total[owners] += np.add.reduceat(np.add.reduceat(distances(q.xs[s], c.xs), c_start, axis=1), first, axis=0)
         apart = qa[:, None] != ca[None, :]
         wanted = apart.copy()
         if not every_pair:
@@ -74,6 +75,8 @@ def _block_sums(members: DataFrame, n: int, width: int, every_pair: bool) -> Dat
 
     tiles = join_blocks(blocks, blocks, [(i, j, 1) for i in cells for j in cells], average,
                         "cluster bigint, other bigint, size bigint, other_size bigint, total double")
+    if biggest <= limit:  # no cluster is split, every sum is already complete
+        return tiles
     return tiles.groupBy("cluster", "other", "size", "other_size").agg(F.sum("total").alias("total"))
 
 
@@ -91,19 +94,18 @@ def _mutual_pairs(sums: DataFrame, turn: int) -> DataFrame:
     ).filter("votes = 2").select("height", "a", "b", F.lit(turn).alias("round"), "merged")
 
 
-def _finish(sums: list, turn: int) -> list[tuple]:
+def _finish(sums: pd.DataFrame, turn: int) -> list[tuple]:
     """Remaining merges of at most ``FEW`` clusters, from their pairwise sums."""
-    names = sorted({r["cluster"] for r in sums})
-    at = {c: i for i, c in enumerate(names)}
+    names = np.unique(sums["cluster"])
     total, size = np.full((len(names), len(names)), np.inf), np.ones(len(names))
-    for r in sums:
-        total[at[r["cluster"]], at[r["other"]]] = r["total"]
-        size[at[r["cluster"]]] = r["size"]
+    row, col = np.searchsorted(names, sums["cluster"]), np.searchsorted(names, sums["other"])
+    total[row, col] = sums["total"]
+    size[row] = sums["size"]
     out = []
     for _ in range(len(names) - 1):
         mean = total / (size[:, None] * size[None, :])
         i, j = sorted(np.unravel_index(mean.argmin(), mean.shape))
-        out.append((float(mean[i, j]), names[i], names[j], turn))
+        out.append((float(mean[i, j]), int(names[i]), int(names[j]), turn))
         total[i] += total[j]
         total[:, i] = total[i]
         total[i, i] = np.inf
@@ -125,11 +127,12 @@ def dendrogram(df: DataFrame, *, id_col: str, x_col: str) -> DataFrame:
     ))
     n, width = members.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     spark = df.sparkSession
-    rounds, left, turn = [], n, 0
+    rounds, left, turn, biggest = [], n, 0, 1
     while left > FEW:
         turn += 1
-        mutual = cut(_mutual_pairs(_block_sums(members, n, width, False), turn))
-        left -= mutual.count()
+        mutual = cut(_mutual_pairs(_block_sums(members, n, width, biggest, False), turn))
+        merged, top = mutual.agg(F.count(F.lit(1)), F.max("merged")).first()
+        left, biggest = left - merged, max(biggest, top)
         rounds.append(mutual.select("height", "a", "b", "round"))
         moves = mutual.select(F.explode(F.array("a", "b")).alias("cluster"), "a", "merged")
         members = members.join(moves, "cluster", "left").select(
@@ -137,8 +140,8 @@ def dendrogram(df: DataFrame, *, id_col: str, x_col: str) -> DataFrame:
         )
         if turn % 4 == 0:
             members = cut(members)
-    rest = _finish(_block_sums(members, n, width, True).collect(), turn + 1) if left > 1 else []
-    return reduce(DataFrame.union, rounds, spark.createDataFrame(rest, MERGES))
+    rest = _finish(_block_sums(members, n, width, biggest, True).toPandas(), turn + 1) if left > 1 else []
+    return reduce(DataFrame.union, rounds, small_table(spark, rest, MERGES))
 
 
 def cut_tree(df: DataFrame, merges: DataFrame, *, id_col: str, k: int) -> DataFrame:
@@ -174,5 +177,5 @@ def sweep_linkage(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int])
     for k in ks:
         labelled = cut(base.join(cut_tree(df, tree, id_col=id_col, k=k), "id"))
         rows.append((k, *scores(labelled, id_col="id", x_col="x", cluster_col="cluster")))
-    return mark_best(df.sparkSession.createDataFrame(
+    return mark_best(small_table(df.sparkSession, 
         rows, "k int, silhouette double, calinski_harabasz double, davies_bouldin double"), "k")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import small_table
 from sparkmine.functions.ordered import running_sums
 
 
@@ -56,7 +57,7 @@ def confusion(df: DataFrame, labels: Sequence[int], *, label_col: str, predictio
     """Long confusion matrix over the given labels, absent cells as 0."""
     counts = _counts(df, label_col, prediction_col)
     spark = df.sparkSession
-    grid = spark.createDataFrame([(int(a), int(b)) for a in labels for b in labels], "label int, prediction int")
+    grid = small_table(spark, [(int(a), int(b)) for a in labels for b in labels], "label int, prediction int")
     return grid.join(counts, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -48,7 +48,7 @@ def knn_join(
     keep = k + 1 if self_join else k
     w = Window.partitionBy(*copy_key).orderBy(id_col)
     firsts = corpus.withColumn("_copy", F.row_number().over(w)).filter(F.col("_copy") <= keep).drop("_copy")
-    pivots = choose_pivots(corpus, id_col, x_col, corpus.count())
+    pivots = choose_pivots(corpus, id_col, x_col)
     q = build_blocks(queries, id_col, x_col, pivots=pivots, tag=tag, p=p)
     c = build_blocks(firsts, id_col, x_col, pivots=pivots, tag=tag, p=p)
     skip = skip_same is not None

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import small_table
 from sparkmine.functions.keys import WIDE_BITS, hash_key, uniform, wide_key
 from sparkmine.functions.ordered import key_cuts
 
@@ -31,7 +32,7 @@ def stratified_split(df: DataFrame, *, id_col: str, label_col: str, test_share:
     wanted = {r[label_col]: math.floor(test_share * r["count"] + 0.5) for r in sizes}
     cuts = key_cuts(keyed, "_key", wanted, by=label_col, bits=WIDE_BITS)
     label_type = df.schema[label_col].dataType.simpleString()
-    limits = df.sparkSession.createDataFrame(list(cuts.items()), f"{label_col} {label_type}, _cut bigint")
+    limits = small_table(df.sparkSession, list(cuts.items()), f"{label_col} {label_type}, _cut bigint")
     return keyed.join(F.broadcast(limits), label_col).withColumn("is_test", F.col("_key") <= F.col("_cut")).select(
         *df.columns, "is_test"
     )
@@ -72,7 +73,7 @@ def bootstrap(df: DataFrame, n_trees: int, *, id_col: str, seed: int = 42) -> Da
 def feature_subsets(df: DataFrame, features: Sequence[str], n_trees: int, size: int, *, seed: int = 42) -> DataFrame:
     """``size`` features per tree without replacement: ``(tree, feature)``."""
     spark = df.sparkSession
-    grid = spark.createDataFrame([(t, f) for t in range(n_trees) for f in features], "tree int, feature string")
+    grid = small_table(spark, [(t, f) for t in range(n_trees) for f in features], "tree int, feature string")
     key = hash_key(F.concat_ws("-", F.col("feature"), F.col("tree").cast("string")), seed)
     ranked = F.slice(F.array_sort(F.collect_list(F.struct(key.alias("key"), "feature"))), 1, size)
     # one list entry per feature name

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.ordered import running_sums
-from sparkmine.lineage import cut
+from sparkmine.lineage import cut, small_table
 from sparkmine.operators.sampling import bootstrap, feature_subsets
 
 MISSING = "__MISSING__"
@@ -141,7 +141,7 @@ class Tree:
         for n in self.nodes.values():
             out = F.when(at == n.number, F.lit(n.majority).cast(self.label_type)).otherwise(out)
         routed = df.withColumn("_node", at)
-        names = df.sparkSession.createDataFrame([(n.number, n.majority) for n in self.nodes.values()], f"_node int, {into} {self.label_type}")
+        names = small_table(df.sparkSession, [(n.number, n.majority) for n in self.nodes.values()], f"_node int, {into} {self.label_type}")
         # one row per tree node
         return routed.join(F.broadcast(names), "_node").select(*df.columns, into)
 
@@ -214,7 +214,7 @@ def grow_tree(df: DataFrame, *, id_col: str, numeric: Sequence[str], categorical
 
 def tree_table(df: DataFrame, tree: Tree) -> DataFrame:
     rows = [(n.number, n.depth, n.size, str(n.majority), n.feature, n.threshold, len(n.children)) for n in tree.nodes.values()]
-    return df.sparkSession.createDataFrame(
+    return small_table(df.sparkSession, 
         rows, "node int, depth int, size bigint, majority string, feature string, threshold double, n_children int")
 
 
@@ -233,7 +233,7 @@ def ml_forest(train: DataFrame, *, features_col: str, label_col: str, n_trees: i
 
 def feature_importances(df: DataFrame, model, names: Sequence[str]) -> DataFrame:
     rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    return small_table(df.sparkSession, rows, "feature string, importance double")
 
 
 def exact_forest(df: DataFrame, *, id_col: str, features: Sequence[str], label_col: str, n_trees: int, subset: int, max_depth: int = 5,

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import cut
+from sparkmine.lineage import cut, small_table
 from sparkmine.operators.classify import NEAR_ZERO
 from sparkmine.operators.metrics import summary
 from sparkmine.operators.neighbors import knn_join
@@ -90,13 +90,13 @@ def cross_validate(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame, d
 
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(one, [(i, f) for i in range(len(params)) for f in range(n_folds)]))
-    return df.sparkSession.createDataFrame(rows, "candidate int, fold int, score double")
+    return small_table(df.sparkSession, rows, "candidate int, fold int, score double")
 
 
 def search(df: DataFrame, fit_predict: Callable, params: Sequence[dict], **kw) -> DataFrame:
     """``(candidate, params, mean_score, std_score)`` per parameter map."""
     scored = cross_validate(df, fit_predict, params, **kw)
-    text = df.sparkSession.createDataFrame([(i, ", ".join(f"{k}={v}" for k, v in sorted(p.items()))) for i, p in enumerate(params)],
+    text = small_table(df.sparkSession, [(i, ", ".join(f"{k}={v}" for k, v in sorted(p.items()))) for i, p in enumerate(params)],
                                            "candidate int, params string")
     return scored.groupBy("candidate").agg(F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score")).join(
         F.broadcast(text), "candidate").select("candidate", "params", "mean_score", "std_score")
