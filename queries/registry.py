@@ -1,5 +1,6 @@
 """All checks in one place."""
 
+import queries.analyses  # noqa: F401
 import queries.classification  # noqa: F401
 import queries.distances  # noqa: F401
 import queries.preparation  # noqa: F401

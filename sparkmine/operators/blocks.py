@@ -230,13 +230,17 @@ def join_blocks(
         .withColumn("c_chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("q_cell", "q_chunk", "c_cell", "c_chunk")
     )
+    left, right = side(q, "q"), side(c, "c")
+    small_q, small_c = q.bytes <= BROADCAST_BYTES, c.bytes <= BROADCAST_BYTES
     if q.bytes + c.bytes <= BROADCAST_BYTES:
         # both sides were measured: copy them to the tasks and spread the pairs evenly
-        joined = index.repartition(spread).join(F.broadcast(side(c, "c")), ["c_cell", "c_chunk"]).join(
-            F.broadcast(side(q, "q")), ["q_cell", "q_chunk"]
-        )
+        index = index.repartition(spread)
+    on_q, on_c = ["q_cell", "q_chunk"], ["c_cell", "c_chunk"]
+    # a measured small side is copied, a large one is shuffled once with the pair list
+    if small_q:
+        joined = index.join(F.broadcast(right) if small_c else right, on_c).join(F.broadcast(left), on_q)
     else:
-        joined = index.join(side(c, "c"), ["c_cell", "c_chunk"]).join(side(q, "q"), ["q_cell", "q_chunk"])
+        joined = index.join(left, on_q).join(F.broadcast(right) if small_c else right, on_c)
     return joined.select(
         *[f"{s}_{name}" for s in ("q", "c") for name in ("ids", "xs", "tags", "vals")]
     ).mapInArrow(run, schema)

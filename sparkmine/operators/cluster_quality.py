@@ -2,19 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import cut, small_table
-from sparkmine.functions.vectors import distances, minkowski
-from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, join_blocks, pairs_within
+from sparkmine.functions.vectors import distances, matrix, minkowski
+from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, join_blocks, pairs_within
 from sparkmine.operators.kmeans import lloyd_many, seed_centers
+from sparkmine.operators.sampling import sample_exact
 
 FEW_CLUSTERS = 1024
+SAMPLE_ROWS = 5000
+SUMS = "id bigint, cluster bigint, other bigint, total double, n bigint"
+
+
+def _distance_sums(a: Block, b: Block) -> pd.DataFrame:
+    """Distance sum and row count per (row of ``a``, cluster of ``b``)."""
+    clusters, code = np.unique(b.tags, return_inverse=True)
+    member = np.zeros((len(b.ids), len(clusters)))
+    member[np.arange(len(b.ids)), code] = 1.0
+    size = member.sum(axis=0).astype(np.int64)
+    parts = []
+    for s in chunked_rows(len(a.ids), len(b.ids)):
+        total = distances(a.xs[s], b.xs) @ member
+        m = len(total)
+        parts.append(pd.DataFrame({
+            "id": np.repeat(a.ids[s], len(clusters)), "cluster": np.repeat(a.tags[s], len(clusters)),
+            "other": np.tile(clusters, m), "total": total.ravel(), "n": np.tile(size, m),
+        }))
+    return pd.concat(parts, ignore_index=True)
+
+
+def _all_pair_sums(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str) -> DataFrame:
+    b = build_blocks(df, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
+    return join_blocks(b, b, pairs_within(b, b, lambda _: 0.0), _distance_sums, SUMS)
+
+
+def _sample_sums(df: DataFrame, asked: DataFrame, *, id_col: str, x_col: str, cluster_col: str) -> DataFrame:
+    """The same sums for a sample. A sample of checked size travels to the rows, which are then
+    only scanned; each task adds up its batches. A larger one is joined block by block."""
+    pick = lambda d: d.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"), F.col(cluster_col).cast("bigint").alias("tag"))
+    rows, width = asked.agg(F.count(F.lit(1)), F.max(F.size(x_col))).first()
+    if rows * ((width or 0) + 2) * 8 > BROADCAST_BYTES:
+        q = build_blocks(asked, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
+        c = build_blocks(df, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
+        return join_blocks(q, c, pairs_within(q, c, lambda _: 0.0), _distance_sums, SUMS)
+    held = pick(asked).toArrow().combine_chunks()
+    part = lambda t, x: Block(t.column("id").to_numpy(), x, t.column("tag").to_numpy(), np.zeros(0))
+    q = part(held, matrix(held.column("x").combine_chunks()) if rows else np.zeros((0, width or 1)))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows and len(q.ids):
+                found = _distance_sums(q, part(batch, matrix(batch.column("x")))).set_index(["id", "cluster", "other"])
+                total = found if total is None else total.add(found, fill_value=0)
+        if total is not None:
+            yield pa.RecordBatch.from_pandas(total.astype({"n": "int64"}).reset_index(), preserve_index=False)
+
+    return pick(df).mapInArrow(scan, SUMS)
 
 
 def silhouette_rows(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str,
@@ -24,29 +76,11 @@ def silhouette_rows(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str,
     A block pair is reduced to one distance sum per (row, cluster). A cluster of one
     scores 0. With a sample, only clusters that occur in it count as neighbours.
     """
-    asked = df if sample is None else df.join(sample.select(id_col).distinct(), id_col, "left_semi")
-    no_pivots = np.zeros((0, 0))
-    q = build_blocks(asked, id_col, x_col, tag=cluster_col, pivots=no_pivots)
-    c = q if sample is None else build_blocks(df, id_col, x_col, tag=cluster_col, pivots=no_pivots)
-
-    def sums(a: Block, b: Block) -> pd.DataFrame:
-        clusters, code = np.unique(b.tags, return_inverse=True)
-        member = np.zeros((len(b.ids), len(clusters)))
-        member[np.arange(len(b.ids)), code] = 1.0
-        size = member.sum(axis=0)
-        parts = []
-        for s in chunked_rows(len(a.ids), len(b.ids)):
-            total = distances(a.xs[s], b.xs) @ member
-            m = len(total)
-            parts.append(pd.DataFrame({
-                "id": np.repeat(a.ids[s], len(clusters)), "cluster": np.repeat(a.tags[s], len(clusters)),
-                "other": np.tile(clusters, m), "total": total.ravel(), "n": np.tile(size, m).astype(np.int64),
-            }))
-        return pd.concat(parts, ignore_index=True)
-
-    tiles = join_blocks(q, c, pairs_within(q, c, lambda _: 0.0), sums,
-                        "id bigint, cluster bigint, other bigint, total double, n bigint")
-    if sample is not None:
+    if sample is None:
+        tiles = _all_pair_sums(df, id_col=id_col, x_col=x_col, cluster_col=cluster_col)
+    else:
+        asked = df.join(sample.select(id_col).distinct(), id_col, "left_semi")
+        tiles = _sample_sums(df, asked, id_col=id_col, x_col=x_col, cluster_col=cluster_col)
         present = asked.select(F.col(cluster_col).cast("bigint").alias("other")).distinct()
         tiles = tiles.join(present, "other", "left_semi")
     per_pair = tiles.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
@@ -148,9 +182,11 @@ def scores(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, sample:
 
 
 def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], seed: int = 42,
-                 sample: DataFrame | None = None, max_iter: int = 300) -> DataFrame:
+                 sample_rows: int | None = SAMPLE_ROWS, max_iter: int = 300) -> DataFrame:
     """One row per k with its three scores; the first best silhouette is marked.
 
+    The silhouette is taken over ``sample_rows`` sampled rows against all rows.
+
     Seeding is sequential, so the centres for the largest k serve every smaller one,
     and all k iterate in the same passes.
     """
@@ -159,6 +195,7 @@ def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], s
         seeds = seed_centers(df, id_col=id_col, x_col=x_col, k=max(ks), seed=seed)
         rows = []
         fits = lloyd_many(df, [seeds[:k] for k in ks], x_col=x_col, max_iter=max_iter)
+        sample = sample_exact(df, sample_rows, id_col=id_col, seed=seed) if sample_rows else None
         for k, fit in zip(ks, fits):
             labelled = fit.transform(df, x_col)
             rows.append((k, fit.iterations, *scores(labelled, id_col=id_col, x_col=x_col, cluster_col="cluster", sample=sample)))
