@@ -175,22 +175,26 @@ def guesses(spark, d):
         F.pmod(hash_key(F.col("id"), "guess"), F.lit(3)).cast("int")).alias("prediction"))
 
 
-_CLASSES = """k AS (SELECT label AS c FROM guess UNION SELECT prediction FROM guess),
-  t AS (SELECT c, count(*) FILTER (label = c) AS support, count(*) FILTER (prediction = c) AS predicted, count(*) FILTER (label = c AND prediction = c) AS hit FROM k, guess GROUP BY c),
-  r AS (SELECT *, CASE WHEN predicted > 0 THEN hit / predicted ELSE 0 END AS p, CASE WHEN support > 0 THEN hit / support ELSE 0 END AS r FROM t),
-  f AS MATERIALIZED (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM r)"""
-_SUMMARY = "SELECT sum(support) AS n_rows, sum(hit) / sum(support) AS accuracy, sum(p * support) / sum(support) AS precision, sum(r * support) / sum(support) AS recall, sum(f * support) / sum(support) AS f1 FROM f"
-
-
-@check("metric_summary", "n_rows:i accuracy:6 precision:6 recall:6 f1:6", f"WITH {_GUESS}, {_CLASSES} {_SUMMARY}".replace("AS precision", 'AS "precision"'))
+def _rates(src, tag=""):
+    """Per-class rates of ``src`` as ``rate<tag>`` and their weighted summary as ``total<tag>``."""
+    return f"""seen{tag} AS (SELECT label AS c FROM {src} UNION SELECT prediction FROM {src}),
+  hits{tag} AS (SELECT c, count(*) FILTER (label = c) AS support, count(*) FILTER (prediction = c) AS predicted, count(*) FILTER (label = c AND prediction = c) AS hit
+    FROM seen{tag}, {src} GROUP BY c),
+  part{tag} AS (SELECT *, CASE WHEN predicted > 0 THEN hit / predicted ELSE 0 END AS p, CASE WHEN support > 0 THEN hit / support ELSE 0 END AS r FROM hits{tag}),
+  rate{tag} AS MATERIALIZED (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM part{tag}),
+  total{tag} AS (SELECT sum(support) AS n_rows, sum(hit) / sum(support) AS accuracy, sum(p * support) / sum(support) AS "precision",
+    sum(r * support) / sum(support) AS recall, sum(f * support) / sum(support) AS f1 FROM rate{tag})"""
+
+
+@check("metric_summary", "n_rows:i accuracy:6 precision:6 recall:6 f1:6", f"WITH {_GUESS}, {_rates('guess')} SELECT * FROM total")
 def _(spark, d):
     return metrics.summary(guesses(spark, d), label_col="label", prediction_col="prediction")
 
 
-@check("class_report", "class:s precision:6 recall:6 f1:6 support:i", f"""WITH {_GUESS}, {_CLASSES}
-  SELECT CAST(c AS VARCHAR) AS class, p AS "precision", r AS recall, f AS f1, support FROM f
-  UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(support) FROM f
-  UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f * support) / sum(support), sum(support) FROM f""")
+@check("class_report", "class:s precision:6 recall:6 f1:6 support:i", f"""WITH {_GUESS}, {_rates('guess')}
+  SELECT CAST(c AS VARCHAR) AS class, p AS "precision", r AS recall, f AS f1, support FROM rate
+  UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(support) FROM rate
+  UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f * support) / sum(support), sum(support) FROM rate""")
 def _(spark, d):
     return metrics.report(guesses(spark, d), label_col="label", prediction_col="prediction")
 
@@ -293,11 +297,8 @@ _COMPARE = _GUESS + """, other AS MATERIALIZED (SELECT id, label, CASE WHEN """
 
 
 def _compare_sql():
-    one = lambda src, tag: _CLASSES.replace("guess", src).replace("k AS", f"k{tag} AS", 1).replace("FROM k,", f"FROM k{tag},").replace("t AS (", f"t{tag} AS (", 1).replace(
-        "FROM t)", f"FROM t{tag})").replace("\n  r AS", f"\n  r{tag} AS", 1).replace("FROM r)", f"FROM r{tag})").replace("f AS MATERIALIZED", f"f{tag} AS MATERIALIZED")
-    total = lambda tag: f"s{tag} AS (" + _SUMMARY.replace("FROM f", f"FROM f{tag}").replace("AS precision", 'AS "precision"') + ")"
-    melt = " UNION ALL ".join(f"""SELECT '{m}' AS metric, sa."{m}" AS baseline, sb."{m}" AS tuned FROM sa, sb""" for m in tuning.METRICS)
-    return f"WITH {_COMPARE} {one('guess', 'a')}, {one('other', 'b')}, {total('a')}, {total('b')}, m AS ({melt}) SELECT *, tuned - baseline AS difference, 100 * (tuned - baseline) / baseline AS percent FROM m"
+    melt = " UNION ALL ".join(f"""SELECT '{m}' AS metric, totala."{m}" AS baseline, totalb."{m}" AS tuned FROM totala, totalb""" for m in tuning.METRICS)
+    return f"WITH {_COMPARE} {_rates('guess', 'a')}, {_rates('other', 'b')}, m AS ({melt}) SELECT *, tuned - baseline AS difference, 100 * (tuned - baseline) / baseline AS percent FROM m"
 
 
 @check("compare_models", "metric:s baseline:6 tuned:6 difference:6 percent:4", _compare_sql())
@@ -330,7 +331,15 @@ def _(spark, d):
 
 
 
-@check("refit_best_knn", "n_rows:i accuracy:6 precision:6 recall:6 f1:6")
+_REFIT = f"""{EMB.replace('emb AS', 'every AS')}, {_SPLIT.replace('FROM emb', 'FROM every')}, emb AS MATERIALIZED (SELECT id, x, label FROM split WHERE NOT is_test),
+  {_FOLDS[len(EMB) + 2:]}, best AS (SELECT k, weights FROM g ORDER BY round(mean_accuracy, 12) DESC, p, weights DESC, k LIMIT 1),
+  far AS (SELECT q.id, q.label, c.id AS neighbor, c.label AS vote, list_distance(q.x, c.x) AS d, row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.x, c.x), c.id) AS rank
+    FROM split q JOIN split c ON q.is_test AND NOT c.is_test),
+  fv AS (SELECT id, label, vote, sum(CASE weights WHEN 'uniform' THEN 1.0 ELSE 1.0 / (d + 1e-8) END) AS w FROM far, best WHERE rank <= k GROUP BY ALL),
+  guess AS MATERIALIZED (SELECT id, label, vote AS prediction FROM fv QUALIFY row_number() OVER (PARTITION BY id ORDER BY w DESC, vote) = 1)"""
+
+
+@check("refit_best_knn", "n_rows:i accuracy:6 precision:6 recall:6 f1:6", f"WITH {_REFIT}, {_rates('guess')} SELECT * FROM total")
 def _(spark, d):
     train, test = split_embeddings(spark, d)
     results = cut(tuning.grid_search_knn(train.withColumn("fold", fold_of("id", 3)), id_col="id", x_col="x", label_col="label", fold_col="fold", ks=(3, 5, 7)))

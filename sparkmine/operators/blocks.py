@@ -124,11 +124,12 @@ def build_blocks(
         cells, width = like.cells, like.width
     else:
         cells, width = _measure(placed, tag is not None, block_rows, pivots)
-    spark = df.sparkSession
-    counts = small_table(spark, [(c, s.chunks) for c, s in cells.items()], "cell int, chunks int")
-    chunked = placed.join(F.broadcast(counts), "cell").withColumn(
-        "chunk", F.pmod(hash_key(F.col("id"), "chunk"), F.col("chunks")).cast("int")
-    )
+    spread = hash_key(F.col("id"), "chunk")
+    if len(cells) == 1:
+        chunked = placed.withColumn("chunk", F.pmod(spread, F.lit(next(iter(cells.values())).chunks)).cast("int"))
+    else:
+        counts = small_table(df.sparkSession, [(c, s.chunks) for c, s in cells.items()], "cell int, chunks int")
+        chunked = placed.join(F.broadcast(counts), "cell").withColumn("chunk", F.pmod(spread, F.col("chunks")).cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -214,18 +215,15 @@ def join_blocks(
                 if len(out):
                     yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
-    links = small_table(spark, pairs, "q_cell int, c_cell int, chunks int")
+    links = small_table(spark, [(i, j, q.cells[i].chunks, n) for i, j, n in pairs], "q_cell int, c_cell int, q_chunks int, chunks int")
     tiles = sum(q.cells[i].chunks * n for i, _, n in pairs)
     spread = max(1, min(tiles, 4 * spark.sparkContext.defaultParallelism))
     side = lambda b, s: b.frame.select(
         F.col("cell").alias(f"{s}_cell"), F.col("chunk").alias(f"{s}_chunk"),
         *[F.col(name).alias(f"{s}_{name}") for name in ("ids", "xs", "tags", "vals")],
     )
-    chunks = small_table(spark, 
-        [(i, cell.chunks) for i, cell in q.cells.items()], "q_cell int, q_chunks int"
-    )
     index = (
-        links.join(F.broadcast(chunks), "q_cell")
+        links
         .withColumn("q_chunk", F.explode(F.sequence(F.lit(0), F.col("q_chunks") - 1)))
         .withColumn("c_chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select("q_cell", "q_chunk", "c_cell", "c_chunk")

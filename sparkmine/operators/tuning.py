@@ -137,7 +137,7 @@ def refit_knn(train: DataFrame, test: DataFrame, results: DataFrame, *, id_col:
     """Hold-out metrics of the best grid row on all training rows."""
     from sparkmine.operators.classify import knn_classify
 
-    best = results.orderBy(F.desc("mean_accuracy"), "p", F.desc("weights"), "k").first()
+    best = results.orderBy(F.desc(F.round("mean_accuracy", 12)), "p", F.desc("weights"), "k").first()
     predicted = knn_classify(train, test, id_col=id_col, x_col=x_col, label_col=label_col, k=best["k"], weights=best["weights"], p=best["p"])
     joined = test.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).alias("label")).join(predicted, "id")
     return summary(joined, label_col="label", prediction_col="prediction")
