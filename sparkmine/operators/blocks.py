@@ -77,6 +77,40 @@ def choose_pivots(df: DataFrame, id_col: str, x_col: str) -> np.ndarray:
     return np.unique(np.array([r[x_col] for r in picked], dtype=float), axis=0)
 
 
+PACKED = "cell int, chunk int, n int, ids binary, xs binary, tags binary, vals binary"
+
+
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values(["tag", "id"])
+    return pd.DataFrame({
+        "cell": [pdf["cell"].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "n": [len(pdf)],
+        "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+        "xs": [np.stack(pdf["x"].to_numpy()).astype(np.float64).tobytes()],
+        "tags": [pdf["tag"].to_numpy(np.int64).tobytes()],
+        "vals": [pdf["val"].to_numpy(np.float64).tobytes()],
+    })
+
+
+def cluster_blocks(members: DataFrame, n: int, width: int) -> tuple[Blocks, int]:
+    """Blocks of ``members (id, x, cluster, size)`` that keep clusters whole, and the size limit.
+
+    A cluster up to the limit lives in one block, so its distance to a row is complete
+    inside one task. A larger one is cut into parts by a hash of the id.
+    """
+    limit = max(128, min(MAX_BLOCK_ROWS, math.ceil(n / 4)))
+    n_blocks = max(1, math.ceil(n / limit))
+    part = F.when(F.col("size") > limit, F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / limit))).otherwise(F.lit(0))
+    frame = members.select(
+        F.pmod(F.xxhash64("cluster", part), F.lit(n_blocks)).cast("int").alias("cell"), F.lit(0).alias("chunk"), "id", "x",
+        F.col("cluster").alias("tag"), F.col("size").cast("double").alias("val"),
+    ).groupBy("cell", "chunk").applyInPandas(_pack, PACKED)
+    return Blocks(frame, {i: Cell(limit, limit, 0.0, 1) for i in range(n_blocks)}, np.zeros((0, 0)), width, 2), limit
+
+
+def every_pair(b: Blocks) -> list[tuple[int, int, int]]:
+    return [(i, j, c.chunks) for i in b.cells for j, c in b.cells.items()]
+
+
 def build_blocks(
     df: DataFrame,
     id_col: str,
@@ -131,19 +165,9 @@ def build_blocks(
         counts = small_table(df.sparkSession, [(c, s.chunks) for c, s in cells.items()], "cell int, chunks int")
         chunked = placed.join(F.broadcast(counts), "cell").withColumn("chunk", F.pmod(spread, F.col("chunks")).cast("int"))
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        return pd.DataFrame({
-            "cell": [pdf["cell"].iloc[0]], "chunk": [pdf["chunk"].iloc[0]], "n": [len(pdf)],
-            "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-            "xs": [np.stack(pdf["x"].to_numpy()).astype(np.float64).tobytes()],
-            "tags": [pdf["tag"].to_numpy(np.int64).tobytes()],
-            "vals": [pdf["val"].to_numpy(np.float64).tobytes()],
-        })
-
     frame = (
         chunked.select("cell", "chunk", "id", "x", "tag", "val").groupBy("cell", "chunk")
-        .applyInPandas(pack, "cell int, chunk int, n int, ids binary, xs binary, tags binary, vals binary")
+        .applyInPandas(_pack, PACKED)
     )
     return Blocks(frame, cells, pivots, width, p)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.lineage import cut, small_table
 from sparkmine.functions.vectors import distances, matrix, minkowski
-from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, join_blocks, pairs_within
+from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, cluster_blocks, join_blocks, pairs_within
 from sparkmine.operators.kmeans import lloyd_many, seed_centers
 from sparkmine.operators.sampling import sample_exact
 
@@ -21,40 +21,57 @@ SAMPLE_ROWS = 5000
 SUMS = "id bigint, cluster bigint, other bigint, total double, n bigint"
 
 
-def _distance_sums(a: Block, b: Block) -> pd.DataFrame:
-    """Distance sum and row count per (row of ``a``, cluster of ``b``)."""
-    clusters, code = np.unique(b.tags, return_inverse=True)
+def _distance_sums(a: Block, b: Block, sizes: np.ndarray | None = None) -> pd.DataFrame:
+    """Distance sum and row count per (row of ``a``, cluster of ``b``).
+
+    With the full cluster ``sizes`` of ``b``'s rows, a row only reports its own
+    cluster, the nearest of the clusters that are complete in ``b``, and the parts
+    of clusters that are not.
+    """
+    clusters, first, code = np.unique(b.tags, return_index=True, return_inverse=True)
     member = np.zeros((len(b.ids), len(clusters)))
     member[np.arange(len(b.ids)), code] = 1.0
-    size = member.sum(axis=0).astype(np.int64)
+    size = member.sum(axis=0)
     parts = []
     for s in chunked_rows(len(a.ids), len(b.ids)):
         total = distances(a.xs[s], b.xs) @ member
-        m = len(total)
+        if sizes is None:
+            wanted = np.ones(total.shape, dtype=bool)
+        else:
+            own = a.tags[s][:, None] == clusters[None, :]
+            whole = size == sizes[first]
+            wanted = own | ~whole[None, :]
+            mean = np.where(wanted, np.inf, total / size)
+            rows, best = np.arange(len(mean)), mean.argmin(axis=1)
+            found = np.isfinite(mean[rows, best])
+            wanted[rows[found], best[found]] = True
+        r, k = np.nonzero(wanted)
         parts.append(pd.DataFrame({
-            "id": np.repeat(a.ids[s], len(clusters)), "cluster": np.repeat(a.tags[s], len(clusters)),
-            "other": np.tile(clusters, m), "total": total.ravel(), "n": np.tile(size, m),
+            "id": a.ids[s][r], "cluster": a.tags[s][r], "other": clusters[k], "total": total[r, k], "n": size[k].astype(np.int64),
         }))
     return pd.concat(parts, ignore_index=True)
 
 
-def _all_pair_sums(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str) -> DataFrame:
-    b = build_blocks(df, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
-    return join_blocks(b, b, pairs_within(b, b, lambda _: 0.0), _distance_sums, SUMS)
+def _block_sums(q_rows: DataFrame | None, c_rows: DataFrame) -> DataFrame:
+    """Sums by block pairs; ``q_rows`` is the asked part of ``c_rows (id, x, cluster)``, or all of it."""
+    sizes = c_rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    sized = c_rows.join(sizes, "cluster")
+    n, width = c_rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    c, _ = cluster_blocks(sized, n, width or 1)
+    q = c if q_rows is None else build_blocks(q_rows, "id", "x", tag="cluster", pivots=np.zeros((0, 0)))
+    pairs = [(i, j, 1) for i in q.cells for j in c.cells]
+    return join_blocks(q, c, pairs, lambda a, b: _distance_sums(a, b, b.vals), SUMS)
 
 
-def _sample_sums(df: DataFrame, asked: DataFrame, *, id_col: str, x_col: str, cluster_col: str) -> DataFrame:
+def _sample_sums(c_rows: DataFrame, asked: DataFrame) -> DataFrame:
     """The same sums for a sample. A sample of checked size travels to the rows, which are then
     only scanned; each task adds up its batches. A larger one is joined block by block."""
-    pick = lambda d: d.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"), F.col(cluster_col).cast("bigint").alias("tag"))
-    rows, width = asked.agg(F.count(F.lit(1)), F.max(F.size(x_col))).first()
-    if rows * ((width or 0) + 2) * 8 > BROADCAST_BYTES:
-        q = build_blocks(asked, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
-        c = build_blocks(df, id_col, x_col, tag=cluster_col, pivots=np.zeros((0, 0)))
-        return join_blocks(q, c, pairs_within(q, c, lambda _: 0.0), _distance_sums, SUMS)
-    held = pick(asked).toArrow().combine_chunks()
-    part = lambda t, x: Block(t.column("id").to_numpy(), x, t.column("tag").to_numpy(), np.zeros(0))
+    rows, width = asked.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    clusters = c_rows.agg(F.approx_count_distinct("cluster")).first()[0]
+    if rows * ((width or 0) + 2 + 4 * clusters) * 8 > BROADCAST_BYTES:
+        return _block_sums(asked, c_rows)
+    held = asked.toArrow().combine_chunks()
+    part = lambda t, x: Block(t.column("id").to_numpy(), x, t.column("cluster").to_numpy(), np.zeros(0))
     q = part(held, matrix(held.column("x").combine_chunks()) if rows else np.zeros((0, width or 1)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,23 +83,25 @@ def _sample_sums(df: DataFrame, asked: DataFrame, *, id_col: str, x_col: str, cl
         if total is not None:
             yield pa.RecordBatch.from_pandas(total.astype({"n": "int64"}).reset_index(), preserve_index=False)
 
-    return pick(df).mapInArrow(scan, SUMS)
+    return c_rows.mapInArrow(scan, SUMS)
 
 
 def silhouette_rows(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str,
                     sample: DataFrame | None = None) -> DataFrame:
     """Euclidean silhouette per sampled row against *all* rows: ``(id, cluster, a, b, silhouette)``.
 
-    A block pair is reduced to one distance sum per (row, cluster). A cluster of one
-    scores 0. With a sample, only clusters that occur in it count as neighbours.
+    A block pair is reduced to a few distance sums per row. A cluster of one scores 0. With a sample, only clusters that occur in it count as neighbours.
     """
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"),
+                     F.col(cluster_col).cast("bigint").alias("cluster"))
     if sample is None:
-        tiles = _all_pair_sums(df, id_col=id_col, x_col=x_col, cluster_col=cluster_col)
+        tiles = _block_sums(None, rows)
     else:
-        asked = df.join(sample.select(id_col).distinct(), id_col, "left_semi")
-        tiles = _sample_sums(df, asked, id_col=id_col, x_col=x_col, cluster_col=cluster_col)
-        present = asked.select(F.col(cluster_col).cast("bigint").alias("other")).distinct()
-        tiles = tiles.join(present, "other", "left_semi")
+        chosen = sample.select(F.col(id_col).cast("bigint").alias("id")).distinct()
+        asked = rows.join(chosen, "id", "left_semi")
+        present = asked.select(F.col("cluster").alias("other")).distinct()
+        neighbours = rows.join(present.withColumnRenamed("other", "cluster"), "cluster", "left_semi")
+        tiles = _sample_sums(neighbours, asked)
     per_pair = tiles.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("other") == F.col("cluster")
     ab = per_pair.groupBy("id", "cluster").agg(

@@ -32,16 +32,22 @@ def routing(df: DataFrame, columns: Sequence[str], *, cut: int = 10, inclusive:
     return cardinalities(df, columns).withColumn("encoding", F.when(few, "label").otherwise("onehot"))
 
 
-def fit_routing(df: DataFrame, columns: Sequence[str], *, cut: int = 10, inclusive: bool = False) -> dict[str, str]:
-    """The same decision as a dict; exact counts are only taken near the cut."""
+def fit_routing(df: DataFrame, columns: Sequence[str], *, cut: int = 10, inclusive: bool = False) -> tuple[dict[str, str], dict[str, list]]:
+    """The same decision as a dict, and the values of the label columns, from one more pass.
+
+    Exact distinct values are only taken where the approximate count is near the cut.
+    """
     if not columns:
-        return {}
+        return {}, {}
     rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    near = [c for c in columns if rough[c] <= 4 * cut]
-    out = {c: "onehot" for c in columns}
+    near = [c for c in columns if rough[c] <= 4 * cut]  # so at most a few dozen values each
+    seen: dict[str, list] = {c: [] for c in near}
     if near:
-        out.update({r["column"]: r["encoding"] for r in routing(df, near, cut=cut, inclusive=inclusive).collect()})
-    return out
+        melted = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in near])).alias("m"))
+        for r in melted.select("m.*").distinct().collect():
+            seen[r["column"]].append(r["value"])
+    few = lambda c: c in seen and (n := sum(v is not None for v in seen[c])) <= cut and (inclusive or n < cut)
+    return {c: "label" if few(c) else "onehot" for c in columns}, {c: v for c, v in seen.items() if few(c)}
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
 from sparkmine.lineage import cut, small_table
-from sparkmine.operators.blocks import MAX_BLOCK_ROWS, Block, Blocks, Cell, chunked_rows, join_blocks
+from sparkmine.operators.blocks import Block, chunked_rows, cluster_blocks, every_pair, join_blocks
 from sparkmine.operators.cluster_quality import mark_best, scores
 from sparkmine.operators.components import number_by_order
 
@@ -21,33 +20,15 @@ FEW = 256  # clusters whose pairwise sums the driver may hold
 MERGES = "height double, a bigint, b bigint, round int"
 
 
-def _block_sums(members: DataFrame, n: int, width: int, biggest: int, every_pair: bool) -> DataFrame:
+def _block_sums(members: DataFrame, n: int, width: int, biggest: int, all_sums: bool) -> DataFrame:
     """Cross-pair distance sums ``(cluster, other, size, other_size, total)``.
 
     ``members`` is ``(id, x, cluster, size)``. A cluster up to the block limit lives in
     one block, so its mean distance to another such cluster is known inside one task
-    and only the best candidate leaves it (all of them with ``every_pair``). A larger
+    and only the best candidate leaves it (all of them with ``all_sums``). A larger
     cluster is cut into parts whose sums are added up afterwards.
     """
-    limit = max(128, min(MAX_BLOCK_ROWS, math.ceil(n / 4)))
-    n_blocks = math.ceil(n / limit)
-    part = F.when(F.col("size") > limit, F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / limit))).otherwise(F.lit(0))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["cluster", "id"])
-        return pd.DataFrame({
-            "cell": [pdf["cell"].iloc[0]], "n": [len(pdf)], "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-            "xs": [np.stack(pdf["x"].to_numpy()).astype(np.float64).tobytes()],
-            "tags": [pdf["cluster"].to_numpy(np.int64).tobytes()], "vals": [pdf["size"].to_numpy(np.float64).tobytes()],
-        })
-
-    frame = (
-        members.withColumn("cell", F.pmod(F.xxhash64("cluster", part), F.lit(n_blocks)).cast("int"))
-        .groupBy("cell").applyInPandas(pack, "cell int, n int, ids binary, xs binary, tags binary, vals binary")
-        .withColumn("chunk", F.lit(0))
-    )
-    cells = {i: Cell(limit, limit, 0.0, 1) for i in range(n_blocks)}
-    blocks = Blocks(frame, cells, np.zeros((0, 0)), width, 2)
+    blocks, limit = cluster_blocks(members, n, width)
 
     def average(q: Block, c: Block) -> pd.DataFrame:
         qa, q_start, q_n = np.unique(q.tags, return_index=True, return_counts=True)
@@ -60,7 +41,7 @@ def _block_sums(members: DataFrame, n: int, width: int, biggest: int, every_pair
             total[owners] += np.add.reduceat(np.add.reduceat(distances(q.xs[s], c.xs), c_start, axis=1), first, axis=0)
         apart = qa[:, None] != ca[None, :]
         wanted = apart.copy()
-        if not every_pair:
+        if not all_sums:
             whole = apart & (q_n == q_size)[:, None] & (c_n == c_size)[None, :]
             mean = np.where(whole, total / (q_size[:, None] * c_size[None, :]), np.inf)
             wanted = apart & ~whole
@@ -73,7 +54,7 @@ def _block_sums(members: DataFrame, n: int, width: int, biggest: int, every_pair
             "total": total[r, k],
         })
 
-    tiles = join_blocks(blocks, blocks, [(i, j, 1) for i in cells for j in cells], average,
+    tiles = join_blocks(blocks, blocks, every_pair(blocks), average,
                         "cluster bigint, other bigint, size bigint, other_size bigint, total double")
     if biggest <= limit:  # no cluster is split, every sum is already complete
         return tiles

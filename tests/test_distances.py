@@ -192,3 +192,68 @@ def test_davies_bouldin_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(cluster_quality, "FEW_CLUSTERS", 0)
     many = cluster_quality.davies_bouldin(df, x_col="x", cluster_col="tag").first()
     assert few["n_clusters"] == many["n_clusters"] == 7 and abs(few["davies_bouldin"] - many["davies_bouldin"]) < 1e-9
+
+
+def plain_silhouette(x, label, present=None):
+    d, out = gaps(x), []
+    for i in range(len(x)):
+        own = (label == label[i]) & (np.arange(len(x)) != i)
+        if not own.any():
+            out.append(0.0)
+            continue
+        a = d[i, own].mean()
+        b = min((d[i, label == c].mean() for c in set(label if present is None else present) if c != label[i]), default=a)
+        out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("clusters", [2, 60])
+def test_silhouette_with_split_and_whole_clusters(spark, clusters):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(700, 3))
+    label = np.where(rng.random(700) < 0.5, 0, rng.integers(1, clusters, 700))  # cluster 0 outgrows a block
+    df = frame(spark, x, label.tolist())
+    got = {r["id"]: r["silhouette"] for r in cluster_quality.silhouette_rows(df, id_col="id", x_col="x", cluster_col="tag").collect()}
+    want = plain_silhouette(x, label)
+    assert np.allclose([got[i] for i in range(700)], want)
+    some = df.filter("id % 3 = 0")
+    part = {r["id"]: r["silhouette"] for r in cluster_quality.silhouette_rows(df, id_col="id", x_col="x", cluster_col="tag", sample=some).collect()}
+    want = plain_silhouette(x, label, label[::3])  # only clusters of the sample are neighbours
+    assert len(part) == 234 and np.allclose([part[i] for i in sorted(part)], want[sorted(part)])
+
+
+def test_large_sample_is_joined_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cluster_quality, "BROADCAST_BYTES", 0)
+    x = sample(7, 90, 30)
+    label = np.arange(90) % 4
+    df = frame(spark, x, label.tolist())
+    got = {r["id"]: r["silhouette"] for r in cluster_quality.silhouette_rows(df, id_col="id", x_col="x", cluster_col="tag", sample=df).collect()}
+    assert np.allclose([got[i] for i in range(90)], plain_silhouette(x, label))
+
+
+def test_kmeans_sweep_marks_the_best(spark):
+    df = frame(spark, sample(8, 120, 30))
+    rows = cluster_quality.sweep_kmeans(df, id_col="id", x_col="x", ks=(2, 3), sample_rows=None).orderBy("k").collect()
+    for r in rows:
+        fit = kmeans.kmeans(df, id_col="id", x_col="x", k=r["k"])
+        labelled = fit.transform(df, "x")
+        found = cluster_quality.scores(labelled, id_col="id", x_col="x", cluster_col="cluster")
+        assert np.allclose(found, (r["silhouette"], r["calinski_harabasz"], r["davies_bouldin"]))
+    best = max(rows, key=lambda r: r["silhouette"])
+    assert [r["is_best"] for r in rows] == [r is best for r in rows]
+
+
+def test_eps_sweep_equals_sequential(spark):
+    x = sample(10, 60, 8)
+    results, best = dbscan.sweep_eps(frame(spark, x), id_col="id", x_col="x", min_pts=4)
+    d = gaps(x)
+    kd = np.sort(d, axis=1)[:, 3]
+    p = np.quantile(kd, [0.25, 0.5, 0.75, 0.9])
+    for r, eps in zip(results.orderBy("step").collect(), [*p, 1.5 * p[3], 2 * p[3]]):
+        label = sequential_dbscan(x, eps, 4)
+        kept = [c for c in set(label) - {0} if (label == c).sum() >= 2]
+        assert r["eps"] == pytest.approx(eps) and r["n_noise"] == (label == 0).sum() and r["n_clusters"] == len(set(label) - {0})
+        mask = np.isin(label, kept)
+        want = plain_silhouette(x[mask], label[mask]).mean() if len(kept) > 1 else -1.0
+        assert r["silhouette"] == pytest.approx(want)
+        assert r["is_best"] == (r["eps"] == best)

@@ -35,7 +35,7 @@ def test_same_rows_as_sql(spark, sql, name):
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
 def test_runs_without_sql(spark, name):
-    assert contract.queries()[name](spark, SF).columns
+    assert contract.queries()[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
