@@ -329,8 +329,6 @@ def _(spark, d):
     return tuning.search(rows, _fit_forest, tuning.grid_of({"n_trees": [5, 10], "max_depth": [4]}), fold_col="fold", label_col="label", n_folds=3)
 
 
-
-
 _REFIT = f"""{EMB.replace('emb AS', 'every AS')}, {_SPLIT.replace('FROM emb', 'FROM every')}, emb AS MATERIALIZED (SELECT id, x, label FROM split WHERE NOT is_test),
   {_FOLDS[len(EMB) + 2:]}, best AS (SELECT k, weights FROM g ORDER BY round(mean_accuracy, 12) DESC, p, weights DESC, k LIMIT 1),
   far AS (SELECT q.id, q.label, c.id AS neighbor, c.label AS vote, list_distance(q.x, c.x) AS d, row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.x, c.x), c.id) AS rank

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from queries.base import EMB, EMB_LONG, EMB_PAIRS, USER_PLANE, USERS, check, embeddings, sql_key, sql_uniform, table, user_features, user_plane
+from queries.base import EMB_LONG, EMB_PAIRS, USER_PLANE, USERS, check, embeddings, sql_key, sql_uniform, table, user_features, user_plane
 from sparkmine.functions.keys import hash_key
 from sparkmine.lineage import cut
 from sparkmine.operators import cluster_quality, dbscan, kmeans, linkage, neighbors, sampling

@@ -3,7 +3,7 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from queries.base import DIRTY, THREE, USERS, check, dirty_orders, table, three_class, user_features
+from queries.base import DIRTY, USERS, check, dirty_orders, table, user_features
 from sparkmine.lineage import scratch_path
 from sparkmine.operators import cleaning, encoding, eda, reduction
 from sparkmine.plans.preprocess import PreprocessConfig, Preprocessor

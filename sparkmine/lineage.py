@@ -42,7 +42,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, under one folder per application so it can be dropped as a whole."""
+    return f"{scratch_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:

@@ -101,14 +101,14 @@ def cluster_blocks(members: DataFrame, n: int, width: int) -> tuple[Blocks, int]
     n_blocks = max(1, math.ceil(n / limit))
     part = F.when(F.col("size") > limit, F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / limit))).otherwise(F.lit(0))
     frame = members.select(
-        F.pmod(F.xxhash64("cluster", part), F.lit(n_blocks)).cast("int").alias("cell"), F.lit(0).alias("chunk"), "id", "x",
+        F.lit(0).alias("cell"), F.pmod(F.xxhash64("cluster", part), F.lit(n_blocks)).cast("int").alias("chunk"), "id", "x",
         F.col("cluster").alias("tag"), F.col("size").cast("double").alias("val"),
     ).groupBy("cell", "chunk").applyInPandas(_pack, PACKED)
-    return Blocks(frame, {i: Cell(limit, limit, 0.0, 1) for i in range(n_blocks)}, np.zeros((0, 0)), width, 2), limit
+    return Blocks(frame, {0: Cell(n, n, 0.0, n_blocks)}, np.zeros((0, 0)), width, 2), limit
 
 
-def every_pair(b: Blocks) -> list[tuple[int, int, int]]:
-    return [(i, j, c.chunks) for i in b.cells for j, c in b.cells.items()]
+def every_pair(q: Blocks, c: Blocks) -> list[tuple[int, int, int]]:
+    return [(i, j, cell.chunks) for i in q.cells for j, cell in c.cells.items()]
 
 
 def build_blocks(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.lineage import cut, small_table
 from sparkmine.functions.vectors import distances, matrix, minkowski
-from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, cluster_blocks, join_blocks, pairs_within
+from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, cluster_blocks, every_pair, join_blocks
 from sparkmine.operators.kmeans import lloyd_many, seed_centers
 from sparkmine.operators.sampling import sample_exact
 
@@ -59,8 +59,7 @@ def _block_sums(q_rows: DataFrame | None, c_rows: DataFrame) -> DataFrame:
     n, width = c_rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     c, _ = cluster_blocks(sized, n, width or 1)
     q = c if q_rows is None else build_blocks(q_rows, "id", "x", tag="cluster", pivots=np.zeros((0, 0)))
-    pairs = [(i, j, 1) for i in q.cells for j in c.cells]
-    return join_blocks(q, c, pairs, lambda a, b: _distance_sums(a, b, b.vals), SUMS)
+    return join_blocks(q, c, every_pair(q, c), lambda a, b: _distance_sums(a, b, b.vals), SUMS)
 
 
 def _sample_sums(c_rows: DataFrame, asked: DataFrame) -> DataFrame:
@@ -187,7 +186,7 @@ def davies_bouldin(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
     def worst(q: Block, c: Block) -> pd.DataFrame:
         return pd.DataFrame({"cluster": q.ids, "ratio": _worst_ratios(q.ids, q.xs, q.vals, c.ids, c.xs, c.vals)})
 
-    tiles = join_blocks(b, b, pairs_within(b, b, lambda _: 0.0), worst, "cluster bigint, ratio double")
+    tiles = join_blocks(b, b, every_pair(b, b), worst, "cluster bigint, ratio double")
     per = tiles.groupBy("cluster").agg(F.max("ratio").alias("ratio"))
     return per.agg(F.count(F.lit(1)).alias("n_clusters"), F.avg("ratio").alias("davies_bouldin"))
 
@@ -220,7 +219,7 @@ def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], s
             rows.append((k, fit.iterations, *scores(labelled, id_col=id_col, x_col=x_col, cluster_col="cluster", sample=sample)))
     finally:
         df.unpersist()
-    return mark_best(small_table(df.sparkSession, 
+    return mark_best(small_table(df.sparkSession,
         rows, "k int, iterations int, silhouette double, calinski_harabasz double, davies_bouldin double"
     ), "k")
 

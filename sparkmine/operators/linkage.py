@@ -54,7 +54,7 @@ def _block_sums(members: DataFrame, n: int, width: int, biggest: int, all_sums:
             "total": total[r, k],
         })
 
-    tiles = join_blocks(blocks, blocks, every_pair(blocks), average,
+    tiles = join_blocks(blocks, blocks, every_pair(blocks, blocks), average,
                         "cluster bigint, other bigint, size bigint, other_size bigint, total double")
     if biggest <= limit:  # no cluster is split, every sum is already complete
         return tiles
@@ -158,5 +158,5 @@ def sweep_linkage(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int])
     for k in ks:
         labelled = cut(base.join(cut_tree(df, tree, id_col=id_col, k=k), "id"))
         rows.append((k, *scores(labelled, id_col="id", x_col="x", cluster_col="cluster")))
-    return mark_best(small_table(df.sparkSession, 
+    return mark_best(small_table(df.sparkSession,
         rows, "k int, silhouette double, calinski_harabasz double, davies_bouldin double"), "k")

@@ -17,6 +17,7 @@ from sparkmine.operators.blocks import (
     build_blocks,
     choose_pivots,
     chunked_rows,
+    every_pair,
     join_blocks,
     knn_reach,
     pairs_within,
@@ -100,7 +101,7 @@ def distance_profile(df: DataFrame, *, id_col: str, x_col: str, p: int = 2) -> D
             }))
         return pd.concat(parts, ignore_index=True)
 
-    tiles = join_blocks(b, b, pairs_within(b, b, lambda _: 0.0), summarise,
+    tiles = join_blocks(b, b, every_pair(b, b), summarise,
                         "id bigint, n bigint, total double, low double, high double")
     return tiles.groupBy("id").agg(
         F.sum("n").alias("n_others"), F.sum("total").alias("sum_distance"), F.min("low").alias("min_distance"),
