@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import language, pieces, secrets
+from sparkmine.llm import language, pieces, repeats, secrets
 from sparkmine.sources.tables import read_parquet
 
 VOCABULARY = "piece_bpe_32k.model"
 
 
+def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.remove_repeats(read_parquet(spark, d, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(read_parquet(spark, d, "documents"))
 
@@ -24,5 +28,5 @@ def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_frame(read_parquet(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_language_id, op7_sentencepiece)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_secret_scan, op4_language_id, op7_sentencepiece)}
+SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL}
