@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import language, pieces, repeats, secrets
+from sparkmine.llm import language, pieces, repeats, secrets, toxicity
 from sparkmine.sources.tables import read_parquet
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -24,9 +24,13 @@ def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language.language(read_parquet(spark, d, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score(read_parquet(spark, d, "documents"), read_parquet(spark, d, "labels"))
+
+
 def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_frame(read_parquet(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_secret_scan, op4_language_id, op7_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op7_sentencepiece)}
 SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL}
