@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import language, overlap_join, pieces, quality, repeats, secrets, toxicity
+from sparkmine.llm import decontaminate, language, overlap_join, pieces, quality, repeats, secrets, toxicity
 from sparkmine.sources.tables import read_parquet
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -28,6 +28,10 @@ def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(read_parquet(spark, d, "documents"), read_parquet(spark, d, "labels"))
 
 
+def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.leaks(read_parquet(spark, d, "documents"), read_parquet(spark, d, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_frame(read_parquet(spark, d, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -40,5 +44,6 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.classify(read_parquet(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op7_sentencepiece, op8_jaccard_join, op10_quality)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op10_quality)}
 SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL}
