@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import decontaminate, language, overlap_join, pieces, quality, repeats, secrets, toxicity
+from sparkmine.llm import decontaminate, language, overlap_join, pieces, quality, repeats, secrets, toxicity, vector_links
 from sparkmine.sources.tables import read_parquet
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -40,10 +40,14 @@ def op8_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return overlap_join.jaccard_classes(read_parquet(spark, d, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return vector_links.vector_classes(read_parquet(spark, d, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.classify(read_parquet(spark, d, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op10_quality)}
-SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL}
+    op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op9_embedding_dedup, op10_quality)}
+SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL, "op9_embedding_dedup": vector_links.SQL}
