@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import decontaminate, language, overlap_join, pieces, quality, repeats, secrets, toxicity, vector_links
+from sparkmine.llm import decontaminate, language, main_text, overlap_join, pieces, quality, repeats, secrets, toxicity, vector_links
 from sparkmine.sources.tables import read_parquet
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -16,6 +16,10 @@ def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return repeats.remove_repeats(read_parquet(spark, d, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return main_text.extract(read_parquet(spark, d, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.scan(read_parquet(spark, d, "documents"))
 
@@ -49,5 +53,5 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op9_embedding_dedup, op10_quality)}
+    op1_substring_dedup, op2_html_extraction, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op9_embedding_dedup, op10_quality)}
 SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL, "op9_embedding_dedup": vector_links.SQL}
