@@ -12,16 +12,18 @@ from sparkmine.sources import tables as sources
 # -- trees ---------------------------------------------------------------------
 
 
-@check("impurity", "priority:s n:i gini:6 entropy:6", f"""WITH {THREE}, c AS (SELECT priority, label, count(*) AS c FROM three WHERE priority IS NOT NULL GROUP BY 1, 2),
+@check("impurity", "priority:s n:i gini:6 entropy:6", f"""WITH {THREE}, c AS (SELECT priority, label, count(*) AS c FROM three GROUP BY 1, 2),
   p AS (SELECT priority, c, sum(c) OVER (PARTITION BY priority) AS n FROM c)
   SELECT priority, n, 1 - sum((c / n) ** 2) AS gini, -sum(c / n * log2(c / n + 1e-12)) AS entropy FROM p GROUP BY 1, 2""")
 def _(spark, d):
-    return trees.impurity(three_class(spark, d).filter("priority IS NOT NULL"), label_col="label", by=["priority"])
+    return trees.impurity(three_class(spark, d), label_col="label", by=["priority"])
 
 
-def _split_sql(cols):
+def _split_sql(cols, criterion="gini"):
     values = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, id, label FROM three" for c in cols)
-    imp = lambda side: "(1 - " + " - ".join(f"({side}{i} / {side}n) ** 2" for i in range(3)) + ")"
+    gini = lambda side: "(1 - " + " - ".join(f"({side}{i} / {side}n) ** 2" for i in range(3)) + ")"
+    entropy = lambda side: "(0 - " + " - ".join(f"({side}{i} / {side}n) * log2({side}{i} / {side}n + 1e-12)" for i in range(3)) + ")"
+    imp = gini if criterion == "gini" else entropy
     return f"""long AS ({values}), v AS (SELECT feature, value, arg_min(label, id) AS first_label, arg_max(label, id) AS last_label,
       {', '.join(f'count(*) FILTER (label = {i}) AS c{i}' for i in range(3))} FROM long GROUP BY 1, 2),
     r AS (SELECT feature, value, last_label, lead(value) OVER w AS next_value, lead(first_label) OVER w AS next_label,
@@ -37,8 +39,13 @@ def _(spark, d):
     return trees.numeric_splits(three_class(spark, d), ["price", "cust", "month"], id_col="id", label_col="label", classes=[0, 1, 2])
 
 
+@check("best_numeric_split_entropy", "feature:s threshold:4 impurity:6", f"WITH {THREE}, {_split_sql(['price', 'cust', 'month'], 'entropy')} SELECT * FROM best")
+def _(spark, d):
+    return trees.numeric_splits(three_class(spark, d), ["price", "cust", "month"], id_col="id", label_col="label", classes=[0, 1, 2], criterion="entropy")
+
+
 _CATEGORICAL = """cat AS (SELECT count(*) AS n_values, sum(n * (1 - (c0 / n) ** 2 - (c1 / n) ** 2 - (c2 / n) ** 2)) / sum(n) AS impurity FROM (
-  SELECT coalesce(priority, '__MISSING__') AS value, count(*) AS n, count(*) FILTER (label = 0) AS c0, count(*) FILTER (label = 1) AS c1, count(*) FILTER (label = 2) AS c2 FROM three GROUP BY 1))"""
+  SELECT coalesce(priority, '(null)') AS value, count(*) AS n, count(*) FILTER (label = 0) AS c0, count(*) FILTER (label = 1) AS c1, count(*) FILTER (label = 2) AS c2 FROM three GROUP BY 1))"""
 
 
 @check("categorical_split", "feature:s n_values:i impurity:6", f"WITH {THREE}, {_CATEGORICAL} SELECT 'priority' AS feature, n_values, impurity FROM cat")
@@ -46,6 +53,13 @@ def _(spark, d):
     return trees.categorical_splits(three_class(spark, d), ["priority"], label_col="label", classes=[0, 1, 2])
 
 
+@check("categorical_split_entropy", "feature:s n_values:i impurity:6", f"""WITH {THREE}, c AS (SELECT priority, label, count(*) AS c FROM three GROUP BY 1, 2),
+  p AS (SELECT priority, c, sum(c) OVER (PARTITION BY priority) AS n FROM c), e AS (SELECT priority, n, -sum(c / n * log2(c / n + 1e-12)) AS h FROM p GROUP BY 1, 2)
+  SELECT 'priority' AS feature, count(*) AS n_values, sum(n * h) / sum(n) AS impurity FROM e""")
+def _(spark, d):
+    return trees.categorical_splits(three_class(spark, d), ["priority"], label_col="label", classes=[0, 1, 2], criterion="entropy")
+
+
 @check("tree_stump", "id:i prediction:i", f"""WITH {THREE}, {_split_sql(['price', 'cust', 'month'])},
   pick AS (SELECT feature, threshold FROM best ORDER BY round(impurity, 12), CASE feature WHEN 'price' THEN 0 WHEN 'cust' THEN 1 ELSE 2 END LIMIT 1),
   side AS (SELECT three.id, label, CASE feature WHEN 'price' THEN price WHEN 'cust' THEN cust ELSE month END >= threshold AS ge FROM three, pick),
@@ -63,10 +77,10 @@ def _(spark, d):
     return trees.tree_table(t, trees.grow_tree(t, id_col="id", numeric=["price", "cust"], categorical=["priority"], label_col="label", max_depth=3))
 
 
-@check("majority_class", "priority:s majority:i n:i", f"""WITH {THREE}, c AS (SELECT priority, label, count(*) AS c FROM three WHERE priority IS NOT NULL GROUP BY 1, 2)
+@check("majority_class", "priority:s majority:i n:i", f"""WITH {THREE}, c AS (SELECT priority, label, count(*) AS c FROM three GROUP BY 1, 2)
   SELECT priority, label AS majority, sum(c) OVER (PARTITION BY priority) AS n FROM c QUALIFY row_number() OVER (PARTITION BY priority ORDER BY c DESC, CAST(label AS VARCHAR)) = 1""")
 def _(spark, d):
-    return trees.majority_class(three_class(spark, d).filter("priority IS NOT NULL"), label_col="label", by=["priority"])
+    return trees.majority_class(three_class(spark, d), label_col="label", by=["priority"])
 
 
 _VOTES = f"""votes AS (SELECT o_orderkey AS id, tree, {sql_key('o_orderkey', "'vote-' || tree")} % 3 AS prediction FROM orders, (SELECT unnest(range(7)) AS tree))"""
@@ -144,14 +158,14 @@ def _(spark, d):
 @check("linear_svm", _PREDICTION)
 def _(spark, d):
     train, test = split_embeddings(spark, d)
-    return classify.linear_svm(train, max_iter=20).transform(test)
+    return classify.linear_svm(train).transform(test)
 
 
 def _kernel_check(kind, gamma):
     @check(f"kernel_svm_{kind}", _PREDICTION)
     def _(spark, d):
         train, test = split_embeddings(spark, d)
-        lifted, model = classify.kernel_svm(train.drop("features"), id_col="id", x_col="x", label_col="label", kind=kind, gamma=gamma, landmarks=64, max_iter=10)
+        lifted, model = classify.kernel_svm(train.drop("features"), id_col="id", x_col="x", label_col="label", kind=kind, gamma=gamma, landmarks=64)
         return model.transform(lifted.transform(test.drop("features"), "x"))
 
 
@@ -162,7 +176,7 @@ for _kind, _gamma in (("rbf", "scale"), ("poly", "scale"), ("sigmoid", "auto")):
 @check("logistic", _PREDICTION)
 def _(spark, d):
     train, test = split_embeddings(spark, d)
-    return classify.logistic(train, max_iter=30).transform(test)
+    return classify.logistic(train).transform(test)
 
 
 # -- metrics -------------------------------------------------------------------
@@ -207,10 +221,10 @@ def _(spark, d):
 
 def doc_scores(spark, d):
     return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select(
-        "doc_id", F.col("quality").alias("truth"), F.least(F.col("n_chars") / 4000, F.lit(1.0)).alias("score"))
+        "doc_id", F.col("quality").alias("truth"), F.col("n_chars").cast("double").alias("score"))
 
 
-_DOCS = "docs AS MATERIALIZED (SELECT doc_id, quality AS truth, least(n_chars / 4000, 1.0) AS score FROM documents JOIN labels USING (doc_id))"
+_DOCS = "docs AS MATERIALIZED (SELECT doc_id, quality AS truth, CAST(n_chars AS DOUBLE) AS score FROM documents JOIN labels USING (doc_id))"
 _ROC = """v AS (SELECT {by} score, count(*) FILTER (truth = 1) AS p, count(*) FILTER (truth <> 1) AS n FROM {src} GROUP BY ALL),
   c AS (SELECT *, sum(p) OVER w AS cp, sum(n) OVER w AS cn, sum(p) OVER ({part}) AS tp, sum(n) OVER ({part}) AS tn FROM v WINDOW w AS ({part} ORDER BY score DESC))"""
 
@@ -221,6 +235,15 @@ def _(spark, d):
     return metrics.roc_points(doc_scores(spark, d), truth_col="truth", score_col="score")
 
 
+@check("roc_points_ranged", "source:s threshold:6 tp:i fp:i tpr:6 fpr:6", f"""WITH docs AS (SELECT nullif(source, 'src1') AS source, quality AS truth, CAST(n_chars AS DOUBLE) AS score
+    FROM documents JOIN labels USING (doc_id)), {_ROC.format(by='source,', src='docs', part='PARTITION BY source')}
+  SELECT source, score AS threshold, cp AS tp, cn AS fp, CASE WHEN c.tp > 0 THEN cp / c.tp ELSE 0 END AS tpr, CASE WHEN c.tn > 0 THEN cn / c.tn ELSE 0 END AS fpr FROM c""")
+def _(spark, d):
+    scored = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").select(
+        F.when(F.col("source") != "src1", F.col("source")).alias("source"), F.col("quality").alias("truth"), F.col("n_chars").cast("double").alias("score"))
+    return metrics.roc_points(scored, truth_col="truth", score_col="score", by=["source"], rows_per_window=10)
+
+
 @check("auc", "n_pos:i n_neg:i auc:6", f"""WITH {_DOCS}, {_ROC.format(by='', src='docs', part='')}
   SELECT max(tp) AS n_pos, max(tn) AS n_neg, sum(n * (cp - p / 2)) / (max(tp) * max(tn)) AS auc FROM c""")
 def _(spark, d):
@@ -239,9 +262,26 @@ _PROBS = THREE + ", u AS (SELECT id, label, " + ", ".join(
   SELECT 'class ' || cls AS average, auc FROM a UNION ALL SELECT 'weighted', sum(auc * np) / sum(np) FROM a
   UNION ALL SELECT 'micro', sum(n * (cp - p / 2)) / (sum(p) * sum(n)) FROM mc""")
 def _(spark, d):
+    return metrics.multiclass_auc(_probabilities(spark, d), [0, 1, 2], label_col="label", probability_col="probability")
+
+
+def _probabilities(spark, d):
     u = [uniform(F.col("id"), f"p{i}") + F.when(F.col("label") == i, 0.3).otherwise(0) for i in range(3)]
-    rows = three_class(spark, d).select("label", F.array(*[x / (u[0] + u[1] + u[2]) for x in u]).alias("probability"))
-    return metrics.multiclass_auc(rows, [0, 1, 2], label_col="label", probability_col="probability")
+    return three_class(spark, d).select("label", F.array(*[x / (u[0] + u[1] + u[2]) for x in u]).alias("probability"))
+
+
+_POINTS = "score AS threshold, cp AS tp, cn AS fp, cp / c.tp AS tpr, cn / c.tn AS fpr FROM c"
+
+
+@check("roc_points_by_class", "curve:s threshold:9 tp:i fp:i tpr:6 fpr:6", f"""WITH {_PROBS}, {_ROC.format(by='cls,', src='ovr', part='PARTITION BY cls')}
+  SELECT 'class ' || cls AS curve, {_POINTS}""")
+def _(spark, d):
+    return metrics.multiclass_roc(_probabilities(spark, d), [0, 1, 2], label_col="label", probability_col="probability").filter("curve <> 'micro'")
+
+
+@check("roc_points_micro", "threshold:9 tp:i fp:i tpr:6 fpr:6", f"WITH {_PROBS}, {_ROC.format(by='', src='ovr', part='')} SELECT {_POINTS}")
+def _(spark, d):
+    return metrics.multiclass_roc(_probabilities(spark, d), [0, 1, 2], label_col="label", probability_col="probability").filter("curve = 'micro'")
 
 
 # -- search --------------------------------------------------------------------
@@ -309,14 +349,28 @@ def _(spark, d):
     return tuning.compare_models(rate(g), rate(better))
 
 
+def _gap_sql():
+    part = "guess{k} AS MATERIALIZED (SELECT id, label, prediction FROM guess WHERE (id % 5 = 0) = {test})"
+    sides = ", ".join(part.format(k=k, test=t) for k, t in (("tr", "FALSE"), ("te", "TRUE")))
+    melt = " UNION ALL ".join(f"""SELECT '{m}' AS metric, totala."{m}" AS train, totalb."{m}" AS test, totala."{m}" - totalb."{m}" AS gap FROM totala, totalb""" for m in tuning.METRICS)
+    return f"WITH {_GUESS}, {sides}, {_rates('guesstr', 'a')}, {_rates('guesste', 'b')} {melt}"
+
+
+@check("train_test_gap", "metric:s train:6 test:6 gap:6", _gap_sql())
+def _(spark, d):
+    rate = lambda x: metrics.summary(x, label_col="label", prediction_col="prediction")
+    g = guesses(spark, d)
+    return tuning.train_test_gap(rate(g.filter("id % 5 <> 0")), rate(g.filter("id % 5 = 0")))
+
+
 def _fit_svm(train, test, params, fold):
-    return classify.linear_svm(train, C=params["C"], max_iter=10).transform(test)
+    return classify.linear_svm(train, C=params["C"]).transform(test)
 
 
 @check("random_search_svm", "candidate:i params:s mean_score:4 std_score:4")
 def _(spark, d):
     rows = classify.with_vector(folded(spark, d), "x").select("id", "features", "label", "fold")
-    return tuning.search(rows, _fit_svm, tuning.random_draws({"C": (0.01, 10.0)}, 2), fold_col="fold", label_col="label", n_folds=2, scoring="f1")
+    return tuning.search(rows, _fit_svm, tuning.random_draws({"C": (0.01, 10.0)}, 2), fold_col="fold", label_col="label", n_folds=3, scoring="f1")
 
 
 def _fit_forest(train, test, params, fold):

@@ -167,7 +167,7 @@ def _(spark, d):
 
 @check("kmeans_sweep", "k:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b")
 def _(spark, d):
-    return cluster_quality.sweep_kmeans(embeddings(spark, d), id_col="id", x_col="x", ks=(2, 3, 4), max_iter=20)
+    return cluster_quality.sweep_kmeans(embeddings(spark, d), id_col="id", x_col="x", ks=(2, 3, 4))
 
 
 # -- quality -------------------------------------------------------------------

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from queries.base import EMB_LONG, EMB_PAIRS, THREE, USERS, check, embeddings, three_class, user_features
 from queries.preparation import _plain_users
+from sparkmine.lineage import cut, small_table
 from sparkmine.operators import classify, feature_select, outliers, reduction
 from sparkmine.operators.sampling import stratified_split
 
@@ -36,11 +37,23 @@ def _(spark, d):
     return _envelope(spark, d)
 
 
-@check("contamination_threshold", "contamination:3 threshold:6", f"WITH {_ENV} " + " UNION ALL ".join(
-    f"SELECT {c} AS contamination, quantile_cont(distance, {1 - c}) AS threshold FROM dist" for c in (0.01, 0.05, 0.1)))
+_THRESHOLDS = f"WITH {_ENV} " + " UNION ALL ".join(
+    f"SELECT {c} AS contamination, quantile_cont(distance, {1 - c}) AS threshold FROM dist" for c in (0.01, 0.05, 0.1))
+
+
+def _thresholds(spark, d, **sizes):
+    scored = cut(_envelope(spark, d))
+    return small_table(spark, [(c, outliers.upper_threshold(scored, "distance", c, **sizes)) for c in (0.01, 0.05, 0.1)], "contamination double, threshold double")
+
+
+@check("contamination_threshold", "contamination:3 threshold:6", _THRESHOLDS)
+def _(spark, d):
+    return _thresholds(spark, d)
+
+
+@check("contamination_threshold_ranged", "contamination:3 threshold:6", _THRESHOLDS)
 def _(spark, d):
-    scored = _envelope(spark, d)
-    return spark.createDataFrame([(c, outliers.upper_threshold(scored, "distance", c)) for c in (0.01, 0.05, 0.1)], "contamination double, threshold double")
+    return _thresholds(spark, d, small=0, accuracy=100, rows_per_window=10)
 
 
 @check("outlier_summary", "method:s n_rows:i n_outliers:i share:6 min_score:6 max_score:6 avg_score:6", f"""WITH {_ENV}
@@ -135,7 +148,7 @@ def _(spark, d):
 @check("select_recursive", "feature:s score:1 selected:b")
 def _(spark, d):
     v = _vectors(spark, d)
-    return feature_select.select_recursive(v, _NAMES, features_col="features", label_col="label", n_features=20, step=15, max_iter=20).table(v)
+    return feature_select.select_recursive(v, _NAMES, features_col="features", label_col="label", n_features=20, step=15).table(v)
 
 
 _BINS = THREE + ", " + ", ".join(
@@ -167,4 +180,4 @@ def _(spark, d):
     v = stratified_split(_vectors(spark, d), id_col="id", label_col="label")
     train, test = v.filter("NOT is_test"), v.filter("is_test")
     chosen = feature_select.select_l1(train, _NAMES, features_col="features", label_col="label", C=0.1)
-    return feature_select.compare_feature_sets(train, test, chosen, features_col="features", label_col="label", max_iter=20)
+    return feature_select.compare_feature_sets(train, test, chosen, features_col="features", label_col="label")

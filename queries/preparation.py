@@ -102,12 +102,23 @@ def _(spark, d):
     return cleaning.fill_strings(cleaning.placeholder_to_null(dirty_orders(spark, d)))
 
 
-@check("median_impute", "id:i price:6", f"""WITH {DIRTY}, m AS (SELECT quantile_cont(price, 0.5) AS m FROM dirty)
-  SELECT id, coalesce(price, m) AS price FROM dirty, m""")
+# the paths for columns and groups too large for one window, on the same tables
+RANGED = {"small": 0, "accuracy": 100, "rows_per_window": 10}
+
+_MEDIAN = f"""WITH {DIRTY}, m AS (SELECT quantile_cont(price, 0.5) AS m FROM dirty)
+  SELECT id, coalesce(price, m) AS price FROM dirty, m"""
+
+
+@check("median_impute", "id:i price:6", _MEDIAN)
 def _(spark, d):
     return cleaning.impute_median(dirty_orders(spark, d), ["price"])
 
 
+@check("median_impute_ranged", "id:i price:6", _MEDIAN)
+def _(spark, d):
+    return cleaning.impute_median(dirty_orders(spark, d), ["price"], **RANGED)
+
+
 @check("drop_ids", "id:i price:4", f"WITH {DIRTY} SELECT id, price FROM dirty")
 def _(spark, d):
     out = cleaning.drop_ids(dirty_orders(spark, d).withColumn("patient", F.col("id") * 2), ["id", "patient", "absent"], keep="id")
@@ -162,7 +173,15 @@ def _(spark, d):
     return encoding.routing(mixed_part(spark, d), _MIXED, inclusive=True)
 
 
-@check("label_encode", "id:i p_brand:s code:i", """SELECT p_partkey AS id, p_brand, dense_rank() OVER (ORDER BY p_brand) - 1 AS code FROM part""")
+_CODES = "SELECT p_partkey AS id, {c}, dense_rank() OVER (ORDER BY {c}) - 1 AS code FROM part"
+
+
+@check("label_encode_ranged", "id:i p_name:s code:i", _CODES.format(c="p_name"))
+def _(spark, d):
+    return encoding.label_encode(table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name"), "p_name", into="code", rows_per_window=10)
+
+
+@check("label_encode", "id:i p_brand:s code:i", _CODES.format(c="p_brand"))
 def _(spark, d):
     return encoding.label_encode(table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_brand"), "p_brand", into="code")
 
@@ -279,6 +298,19 @@ def _(spark, d):
     return eda.boxplot(table(spark, d, "events"), ["value"], "event_type")
 
 
+def _null_class(spark, d):
+    return table(spark, d, "events").withColumn("label", F.when(F.col("event_type") != "view", F.col("event_type")))
+
+
+@check("boxplot_ranged", "label:s column:s q1:4 median:4 q3:4 whisker_low:4 whisker_high:4 n_outliers:i n:i", """WITH e AS (SELECT nullif(event_type, 'view') AS label, value FROM events),
+  b AS (SELECT label, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 FROM e GROUP BY 1),
+  j AS (SELECT b.*, value AS x, value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM e JOIN b ON e.label IS NOT DISTINCT FROM b.label)
+  SELECT label, 'value' AS column, q1, median, q3, min(x) FILTER (inside) AS whisker_low, max(x) FILTER (inside) AS whisker_high,
+    count(*) FILTER (NOT inside) AS n_outliers, count(*) AS n FROM j GROUP BY label, q1, median, q3""")
+def _(spark, d):
+    return eda.boxplot(_null_class(spark, d), ["value"], "label", **RANGED)
+
+
 # -- principal components ------------------------------------------------------
 
 _EIGEN = USERS + """, c AS (SELECT avg(n_events) AS mx, avg(avg_value) AS my, covar_samp(n_events, n_events) AS a, covar_samp(n_events, avg_value) AS b,

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import cut, small_table
+from sparkmine.functions.joins import null_safe_join, side_table
+from sparkmine.lineage import cut
 
 ROWS_PER_WINDOW = 1_000_000
 SMALL_GROUP = 1_000_000
@@ -28,7 +29,8 @@ def running_sums(
 
     Input has one row per (``by``, ``order``). A group larger than
     ``rows_per_window`` is cut into value ranges: each range is summed in its own
-    task and shifted by the total of the ranges before it.
+    task and shifted by the total of the ranges before it. Null groups and null
+    values are kept, and ``order`` may have any sortable type.
     """
     df = cut(df)
     by = list(by)
@@ -39,27 +41,21 @@ def running_sums(
         w = Window.partitionBy(*by).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums])
 
-    parts = min(1000, 2 * math.ceil(biggest / rows_per_window) + 1)
-    grid = [i / parts for i in range(1, parts)]
-    key = by or ["_all"]
-    keyed = df if by else df.withColumn("_all", F.lit(0))
-    bounds = keyed.groupBy(*key).agg(F.percentile_approx(order, grid, ACCURACY).alias("_bounds"))
-    below = F.size(F.filter("_bounds", lambda b: b < F.col(order)))
-    ranged = keyed.join(bounds, key).withColumn(
-        "_range", F.when(F.col(order).isNull(), -1).otherwise(F.coalesce(below, F.lit(0)))
-    ).drop("_bounds")
-    if descending:
-        ranged = ranged.withColumn("_range", -F.col("_range"))
-    totals = ranged.groupBy(*key, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    total = df.count()
+    parts = 2 * math.ceil(total / rows_per_window) + 1
+    # ranges of any type, over groups and values together, so a large group takes several and a null group is one of them
+    ranged = cut(df.repartitionByRange(parts, *[F.col(c) for c in by], sort).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    # one row per group and range
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *key, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
+        *by, "_range", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
     )
-    w = Window.partitionBy(*key, "_range").orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
-    summed = ranged.join(offsets, [*key, "_range"]).select(
-        *df.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums]
+    w = Window.partitionBy(*by, "_range").orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.select("*", *[F.sum(c).over(w).alias(f"_w_{c}") for c in sums])
+    return null_safe_join(within, offsets, [*by, "_range"]).select(
+        *df.columns, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in sums]
     )
-    return summed
 
 
 def exact_quantiles(
@@ -70,6 +66,7 @@ def exact_quantiles(
     *,
     small: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
+    rows_per_window: int = ROWS_PER_WINDOW,
 ) -> dict[tuple, list]:
     """``{(group, column): [value per q]}`` with linear interpolation; nulls are skipped.
 
@@ -79,7 +76,7 @@ def exact_quantiles(
     """
     by_cols = [by] if by else []
     slack = 4.0 / accuracy  # wider than the approximation error plus two ranks
-    small = max(small, accuracy)
+    small = max(small, accuracy)  # below, the brackets would not be narrower than the column
     probes = [p for q in qs for p in (max(0.0, q - slack), min(1.0, q + slack))]
     first = df.groupBy(*by_cols).agg(
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
@@ -108,27 +105,26 @@ def exact_quantiles(
                 ranks[(group_of(r), c, j)] = (n - 1) * q
     group_type = df.schema[by].dataType.simpleString() if by else "string"
     spark = df.sparkSession
-    ranges = small_table(spark, brackets, f"g {group_type}, c string, j int, lo double, hi double")
+    ranges = side_table(spark, brackets, f"g {group_type}, c string, j int, lo double, hi double")
     melted = df.select(
         (F.col(by) if by else F.lit(None).cast("string")).alias("g"),
         F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])).alias("m"),
     ).select("g", "m.c", "m.x").filter("x IS NOT NULL")
     on = F.expr("a.c = b.c AND a.g <=> b.g")
-    # one row per (group, column, quantile): a bounded side
     counted = (
-        melted.alias("a").join(F.broadcast(ranges).alias("b"), on).filter("x <= hi")
+        melted.alias("a").join(ranges.alias("b"), on).filter("x <= hi")
         .select("b.g", "b.c", "b.j", F.expr("CASE WHEN x >= lo THEN x END").alias("x"))
         .groupBy("g", "c", "j", "x").agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = running_sums(counted, ["g", "c", "j"], "x", ["n"])
-    wanted = small_table(spark,
+    placed = running_sums(counted, ["g", "c", "j"], "x", ["n"], rows_per_window=rows_per_window)
+    wanted = side_table(spark,
         [(g, c, j, math.floor(h), math.floor(h) + 1) for (g, c, j), h in ranks.items()],
         f"g {group_type}, c string, j int, r0 bigint, r1 bigint",
     )
     at = lambda r: F.max(F.expr(f"CASE WHEN cum_n - n <= {r} AND {r} < cum_n THEN x END"))
     hits = (
         placed.alias("a")
-        .join(F.broadcast(wanted).alias("b"), F.expr("a.c = b.c AND a.j = b.j AND a.g <=> b.g"))
+        .join(wanted.alias("b"), F.expr("a.c = b.c AND a.j = b.j AND a.g <=> b.g"))
         .groupBy("b.g", "b.c", "b.j").agg(at("r0").alias("v0"), at("r1").alias("v1")).collect()
     )
     for r in hits:
@@ -153,8 +149,8 @@ def key_cuts(df: DataFrame, key: str, wanted: dict, by: str | None = None, *, bi
     spark = df.sparkSession
     group_type = df.schema[by].dataType.simpleString() if by else "int"
     while state:
-        prefixes = small_table(spark, [(g, p) for g, (p, _) in state.items()], f"g {group_type}, p bigint")
-        inside = frame.join(F.broadcast(prefixes), "g").filter(F.shiftright("k", shift) == F.col("p"))
+        prefixes = side_table(spark, [(g, p) for g, (p, _) in state.items()], f"g {group_type}, p bigint")
+        inside = null_safe_join(frame, prefixes, ["g"]).filter(F.shiftright("k", shift) == F.col("p"))
         step = max(0, shift - 12)
         hist = inside.groupBy("g", F.shiftright("k", step).alias("b")).count().collect()
         per_group: dict = {}
@@ -177,10 +173,10 @@ def key_cuts(df: DataFrame, key: str, wanted: dict, by: str | None = None, *, bi
             else:
                 nxt[g] = (found[0], found[1])
         if ready:
-            buckets = small_table(spark, ready, f"g {group_type}, p bigint, n bigint")
+            buckets = side_table(spark, ready, f"g {group_type}, p bigint, n bigint")
             w = Window.partitionBy("g").orderBy("k")
             picked = (
-                frame.join(F.broadcast(buckets), "g").filter(F.shiftright("k", step) == F.col("p"))
+                null_safe_join(frame, buckets, ["g"]).filter(F.shiftright("k", step) == F.col("p"))
                 .withColumn("rn", F.row_number().over(w)).filter("rn = n").collect()
             )
             cuts.update({r["g"]: r["k"] for r in picked})

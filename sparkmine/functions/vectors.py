@@ -13,10 +13,6 @@ def as_vector(*cols: Column | str) -> Column:
     return F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in cols])
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-
-
 def squared_l2(a: Column, b: Column) -> Column:
     return F.aggregate(
         F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v

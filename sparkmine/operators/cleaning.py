@@ -99,9 +99,9 @@ def fill_strings(df: DataFrame, value: str = "Unknown") -> DataFrame:
     return df.fillna(value, subset=string_columns(df)) if string_columns(df) else df
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Exact median per column; 0.0 for a column without values."""
-    found = exact_quantiles(df, columns, [0.5]) if columns else {}
+def medians(df: DataFrame, columns: Sequence[str], **sizes: int) -> dict[str, float]:
+    """Exact median per column; 0.0 for a column without values. ``sizes`` go to ``exact_quantiles``."""
+    found = exact_quantiles(df, columns, [0.5], **sizes) if columns else {}
     return {c: (found[(None, c)][0] if found.get((None, c)) and found[(None, c)][0] is not None else 0.0) for c in columns}
 
 
@@ -111,8 +111,8 @@ def fill_values(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     ])
 
 
-def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return fill_values(df, medians(df, columns))
+def impute_median(df: DataFrame, columns: Sequence[str], **sizes: int) -> DataFrame:
+    return fill_values(df, medians(df, columns, **sizes))
 
 
 def drop_ids(df: DataFrame, columns: Sequence[str], *, keep: str | None = None) -> DataFrame:

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import cut, small_table
+from sparkmine.functions.joins import null_safe_join
 from sparkmine.functions.vectors import distances, matrix, minkowski
 from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, cluster_blocks, every_pair, join_blocks
 from sparkmine.operators.kmeans import lloyd_many, seed_centers
 from sparkmine.operators.sampling import sample_exact
 
 FEW_CLUSTERS = 1024
-SAMPLE_ROWS = 5000
 SUMS = "id bigint, cluster bigint, other bigint, total double, n bigint"
 
 
@@ -200,10 +200,10 @@ def scores(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, sample:
 
 
 def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], seed: int = 42,
-                 sample_rows: int | None = SAMPLE_ROWS, max_iter: int = 300) -> DataFrame:
+                 sample_rows: int | None = None, max_iter: int = 300) -> DataFrame:
     """One row per k with its three scores; the first best silhouette is marked.
 
-    The silhouette is taken over ``sample_rows`` sampled rows against all rows.
+    The silhouette is taken over all rows, or over ``sample_rows`` sampled ones against all rows.
 
     Seeding is sequential, so the centres for the largest k serve every smaller one,
     and all k iterate in the same passes.
@@ -234,7 +234,7 @@ def contingency(df: DataFrame, *, cluster_col: str, label_col: str) -> DataFrame
     """Rows per (cluster, label) with the label's share of its cluster."""
     counts = df.groupBy(F.col(cluster_col).alias("cluster"), F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("cluster").agg(F.sum("n").alias("cluster_size"))
-    return counts.join(sizes, "cluster").withColumn("share", F.col("n") / F.col("cluster_size"))
+    return null_safe_join(counts, sizes, ["cluster"]).withColumn("share", F.col("n") / F.col("cluster_size"))
 
 
 def purity(df: DataFrame, *, cluster_col: str, label_col: str) -> DataFrame:

@@ -139,9 +139,10 @@ def sweep_eps(df: DataFrame, *, id_col: str, x_col: str, min_pts: int = 5) -> tu
     finally:
         df.unpersist()
     scored = [r for r in rows if r[3] > -1 and r[1] > 0]
-    best = max(scored, key=lambda r: r[3]) if scored else max(rows, key=lambda r: r[1])
+    best = max(scored, key=lambda r: r[3]) if scored else max(rows, key=lambda r: r[1])  # the first of equals
+    first = rows.index(best)
     results = small_table(
-        df.sparkSession, [(i + 1, *r, r[0] == best[0]) for i, r in enumerate(rows)],
+        df.sparkSession, [(i + 1, *r, i == first) for i, r in enumerate(rows)],
         "step int, eps double, n_clusters bigint, n_noise bigint, silhouette double, calinski_harabasz double, "
         "davies_bouldin double, is_best boolean",
     )

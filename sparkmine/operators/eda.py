@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import small_table
-from sparkmine.functions.ordered import exact_quantiles
+from sparkmine.functions.joins import null_safe_join, side_table
+from sparkmine.functions.ordered import ACCURACY, ROWS_PER_WINDOW, SMALL_GROUP, exact_quantiles
 
 
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
@@ -55,19 +56,19 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])).alias("p")).select("p.*")
 
 
-def boxplot(df: DataFrame, columns: Sequence[str], label_col: str) -> DataFrame:
-    """Per class and column: quartiles, whiskers at the last value within 1.5 IQR, outlier count."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=label_col)
+def boxplot(df: DataFrame, columns: Sequence[str], label_col: str, *, small: int = SMALL_GROUP, accuracy: int = ACCURACY,
+            rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
+    """Per class and column: quartiles, whiskers at the last value within 1.5 IQR, outlier count; a null class is a class."""
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=label_col, small=small, accuracy=accuracy, rows_per_window=rows_per_window)
     label_type = df.schema[label_col].dataType.simpleString()
     rows = [(g, c, *v) for (g, c), v in quartiles.items() if v[0] is not None]
-    # one row per (class, column)
-    boxes = small_table(df.sparkSession, rows, f"label {label_type}, column string, q1 double, median double, q3 double")
+    boxes = side_table(df.sparkSession, rows, f"label {label_type}, column string, q1 double, median double, q3 double")
     melted = df.select(F.col(label_col).alias("label"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("m")
     ).select("label", "m.*").filter("x IS NOT NULL")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
-    return melted.join(F.broadcast(boxes), ["label", "column"]).groupBy("label", "column", "q1", "median", "q3").agg(
+    return null_safe_join(melted, boxes, ["label", "column"]).groupBy("label", "column", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"), F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n"),
     )

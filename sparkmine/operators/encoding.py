@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.functions.ordered import running_sums
+from sparkmine.functions.ordered import ROWS_PER_WINDOW, running_sums
 
 
 def cardinalities(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,15 +50,15 @@ def fit_routing(df: DataFrame, columns: Sequence[str], *, cut: int = 10, inclusi
     return {c: "label" if few(c) else "onehot" for c in columns}, {c: v for c, v in seen.items() if few(c)}
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
+def label_codes(df: DataFrame, column: str, *, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
     """``(value, code)``: codes from 0 in sorted value order, one row per distinct value."""
     values = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct().withColumn("_one", F.lit(1))
-    ranked = running_sums(values, [], "value", ["_one"])
+    ranked = running_sums(values, [], "value", ["_one"], rows_per_window=rows_per_window)
     return ranked.select("value", (F.col("cum__one") - 1).cast("int").alias("code"))
 
 
-def label_encode(df: DataFrame, column: str, *, into: str) -> DataFrame:
-    codes = label_codes(df, column).withColumnRenamed("value", column).withColumnRenamed("code", into)
+def label_encode(df: DataFrame, column: str, *, into: str, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
+    codes = label_codes(df, column, rows_per_window=rows_per_window).withColumnRenamed("value", column).withColumnRenamed("code", into)
     return df.join(codes, column, "left")
 
 
@@ -113,7 +113,3 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def assemble(df: DataFrame, columns: Sequence[str], *, into: str = "features") -> DataFrame:
     """Dense ``array<double>`` of the columns in order."""
     return df.withColumn(into, F.array(*[F.col(c).cast("double") for c in columns]))
-
-
-def assemble_ml(df: DataFrame, columns: Sequence[str], *, into: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol=into, handleInvalid="keep").transform(df)

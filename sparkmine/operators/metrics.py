@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import small_table
-from sparkmine.functions.ordered import running_sums
+from sparkmine.functions.joins import null_safe_join
+from sparkmine.functions.ordered import ROWS_PER_WINDOW, running_sums
 
 
 def _counts(df: DataFrame, label_col: str, prediction_col: str) -> DataFrame:
@@ -61,27 +62,27 @@ def confusion(df: DataFrame, labels: Sequence[int], *, label_col: str, predictio
     return grid.join(counts, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _score_counts(df: DataFrame, by: Sequence[str], truth: Column, score_col: str) -> DataFrame:
+def _score_counts(df: DataFrame, by: Sequence[str], truth: Column, score_col: str, rows_per_window: int) -> DataFrame:
     counted = df.groupBy(*by, F.col(score_col).cast("double").alias("score")).agg(
         F.count_if(truth).alias("pos"), F.count_if(~truth).alias("neg"))
-    return running_sums(counted, by, "score", ["pos", "neg"], descending=True)
+    return running_sums(counted, by, "score", ["pos", "neg"], descending=True, rows_per_window=rows_per_window)
 
 
-def roc_points(df: DataFrame, *, truth_col: str, score_col: str, by: Sequence[str] = ()) -> DataFrame:
+def roc_points(df: DataFrame, *, truth_col: str, score_col: str, by: Sequence[str] = (), rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
     """``(by..., threshold, tp, fp, tpr, fpr)`` per distinct score, highest first.
 
     Scores are counted per value before they are ordered.
     """
-    placed = _score_counts(df, list(by), F.col(truth_col) == 1, score_col)
+    placed = _score_counts(df, list(by), F.col(truth_col) == 1, score_col, rows_per_window)
     totals = placed.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("m"))
-    joined = placed.join(totals, list(by)) if by else placed.join(F.broadcast(totals))
+    joined = null_safe_join(placed, totals, list(by))
     return joined.select(*by, F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                          _ratio(F.col("cum_pos"), F.col("p")).alias("tpr"), _ratio(F.col("cum_neg"), F.col("m")).alias("fpr"))
 
 
-def auc(df: DataFrame, *, truth_col: str, score_col: str, by: Sequence[str] = ()) -> DataFrame:
+def auc(df: DataFrame, *, truth_col: str, score_col: str, by: Sequence[str] = (), rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
     """``(by..., n_pos, n_neg, auc)``; a tie between the classes counts half. Null when a class is missing."""
-    placed = _score_counts(df, list(by), F.col(truth_col) == 1, score_col)
+    placed = _score_counts(df, list(by), F.col(truth_col) == 1, score_col, rows_per_window)
     area = F.sum(F.col("neg") * ((F.col("cum_pos") - F.col("pos")) + F.col("pos") / 2))
     return placed.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), area.alias("area")).select(
         *by, "n_pos", "n_neg", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("area") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
@@ -94,6 +95,15 @@ def one_vs_rest(df: DataFrame, labels: Sequence[int], *, label_col: str, probabi
         F.col(probability_col)[i].alias("score")) for i, c in enumerate(labels)])).alias("s")).select("s.*")
 
 
+def multiclass_roc(df: DataFrame, labels: Sequence[int], *, label_col: str, probability_col: str) -> DataFrame:
+    """Curve points of every class against the rest and of the micro average: ``(curve, threshold, tp, fp, tpr, fpr)``."""
+    long = one_vs_rest(df, labels, label_col=label_col, probability_col=probability_col)
+    each = roc_points(long, truth_col="truth", score_col="score", by=["class"])
+    micro = roc_points(long, truth_col="truth", score_col="score")
+    return each.withColumn("curve", F.concat(F.lit("class "), F.col("class").cast("string"))).drop("class").unionByName(
+        micro.withColumn("curve", F.lit("micro")))
+
+
 def multiclass_auc(df: DataFrame, labels: Sequence[int], *, label_col: str, probability_col: str) -> DataFrame:
     """AUC per class, their support-weighted mean and the micro average: ``(average, auc)``."""
     long = one_vs_rest(df, labels, label_col=label_col, probability_col=probability_col)

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import small_table
+from sparkmine.functions.joins import null_safe_join, side_table
 from sparkmine.functions.keys import WIDE_BITS, hash_key, uniform, wide_key
 from sparkmine.functions.ordered import key_cuts
 
-POISSON_TERMS = 12  # P(more than 12 draws) is below 1e-10
+POISSON_TERMS = 12  # more draws have a chance below 1e-10, less than the step of the 32-bit key that is inverted
 
 
 def sample_exact(df: DataFrame, n: int, *, id_col: str, seed: int = 42) -> DataFrame:
@@ -26,14 +27,14 @@ def sample_exact(df: DataFrame, n: int, *, id_col: str, seed: int = 42) -> DataF
 
 
 def stratified_split(df: DataFrame, *, id_col: str, label_col: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``; every class gives ``round(test_share * size)`` rows to the test side."""
+    """Add ``is_test``; every class gives ``round(test_share * size)`` rows to the test side; a null label is a class."""
     keyed = df.withColumn("_key", wide_key(F.col(id_col), seed))
     sizes = keyed.groupBy(label_col).count().collect()  # one row per class
     wanted = {r[label_col]: math.floor(test_share * r["count"] + 0.5) for r in sizes}
     cuts = key_cuts(keyed, "_key", wanted, by=label_col, bits=WIDE_BITS)
     label_type = df.schema[label_col].dataType.simpleString()
-    limits = small_table(df.sparkSession, list(cuts.items()), f"{label_col} {label_type}, _cut bigint")
-    return keyed.join(F.broadcast(limits), label_col).withColumn("is_test", F.col("_key") <= F.col("_cut")).select(
+    limits = side_table(df.sparkSession, list(cuts.items()), f"{label_col} {label_type}, _cut bigint")
+    return null_safe_join(keyed, limits, [label_col]).withColumn("is_test", F.col("_key") <= F.col("_cut")).select(
         *df.columns, "is_test"
     )
 

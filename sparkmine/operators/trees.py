@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.functions.joins import null_safe_join, side_table
 from sparkmine.functions.ordered import running_sums
 from sparkmine.lineage import cut, small_table
 from sparkmine.operators.sampling import bootstrap, feature_subsets
 
-MISSING = "__MISSING__"
 EPS = 1e-12
 
 
@@ -32,11 +34,11 @@ def impurity_of(counts: Sequence[Column], total: Column, criterion: str) -> Colu
 
 
 def impurity(df: DataFrame, *, label_col: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., n, gini, entropy)``."""
+    """``(by..., n, gini, entropy)``; a null group is a group, a null label a class."""
     counts = df.groupBy(*by, F.col(label_col).alias("_label")).agg(F.count(F.lit(1)).alias("c"))
     totals = counts.groupBy(*by).agg(F.sum("c").alias("n"))
     share = F.col("c") / F.col("n")
-    joined = counts.join(totals, list(by)) if by else counts.join(F.broadcast(totals))
+    joined = null_safe_join(counts, totals, list(by))
     return joined.groupBy(*by, "n").agg(
         (1.0 - F.sum(share * share)).alias("gini"), (-F.sum(share * F.log2(share + F.lit(EPS)))).alias("entropy"))
 
@@ -90,7 +92,7 @@ def categorical_splits(df: DataFrame, features: Sequence[str], *, label_col: str
                        criterion: str = "gini") -> DataFrame:
     """Multi-way split per (group, feature): ``(by..., feature, n_values, impurity)``; a null is its own value."""
     by = list(by)
-    long = _melt(df.withColumn("_label", F.col(label_col)), features, [*by, "_label"], "string").fillna(MISSING, ["value"])
+    long = _melt(df.withColumn("_label", F.col(label_col)), features, [*by, "_label"], "string")
     names = [f"c{i}" for i in range(len(classes))]
     counts = long.groupBy(*by, "feature", "value").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_label") == c).alias(n) for c, n in zip(classes, names)])
@@ -128,22 +130,17 @@ class Tree:
                 x = F.col(node.feature).cast("double")
                 return F.when(x < node.threshold, walk(node.children["l"])).when(x >= node.threshold, walk(node.children["ge"])).otherwise(here)
             out = here
-            value = F.coalesce(F.col(node.feature).cast("string"), F.lit(MISSING))
             for v, child in node.children.items():
-                out = F.when(value == v, walk(child)).otherwise(out)
+                value = F.col(node.feature).cast("string")
+                out = F.when(value.isNull() if v is None else value == v, walk(child)).otherwise(out)
             return out
         return walk(0)
 
     def predict(self, df: DataFrame, *, into: str = "prediction") -> DataFrame:
         """Class of the reached node; an unseen category or a null number stops at the current node."""
-        at = self.node_expr()
-        out = F.lit(None).cast(self.label_type)
-        for n in self.nodes.values():
-            out = F.when(at == n.number, F.lit(n.majority).cast(self.label_type)).otherwise(out)
-        routed = df.withColumn("_node", at)
-        names = small_table(df.sparkSession, [(n.number, n.majority) for n in self.nodes.values()], f"_node int, {into} {self.label_type}")
-        # one row per tree node
-        return routed.join(F.broadcast(names), "_node").select(*df.columns, into)
+        routed = df.withColumn("_node", self.node_expr())
+        names = side_table(df.sparkSession, [(n.number, n.majority) for n in self.nodes.values()], f"_node int, {into} {self.label_type}")
+        return routed.join(names, "_node").select(*df.columns, into)
 
 
 def grow_tree(df: DataFrame, *, id_col: str, numeric: Sequence[str], categorical: Sequence[str], label_col: str,
@@ -187,7 +184,7 @@ def grow_tree(df: DataFrame, *, id_col: str, numeric: Sequence[str], categorical
         values: dict[tuple, list] = {}
         wide = [r["feature"] for _, r in best.values() if r["feature"] in categorical]
         if wide:
-            seen = _melt(searched, sorted(set(wide)), ["_node"], "string").fillna(MISSING, ["value"]).distinct().collect()
+            seen = _melt(searched, sorted(set(wide)), ["_node"], "string").distinct().collect()
             for r in seen:
                 values.setdefault((r["_node"], r["feature"]), []).append(r["value"])
         frontier, number = [], max(tree.nodes) + 1
@@ -199,7 +196,7 @@ def grow_tree(df: DataFrame, *, id_col: str, numeric: Sequence[str], categorical
                 node.threshold = r["threshold"]
                 keys = ["l", "ge"]
             else:
-                keys = sorted(values[(i, r["feature"])])
+                keys = sorted(values[(i, r["feature"])], key=lambda v: (v is not None, v or ""))
             for key in keys:
                 node.children[key] = number
                 frontier.append(number)
@@ -236,18 +233,32 @@ def feature_importances(df: DataFrame, model, names: Sequence[str]) -> DataFrame
     return small_table(df.sparkSession, rows, "feature string, importance double")
 
 
-def exact_forest(df: DataFrame, *, id_col: str, features: Sequence[str], label_col: str, n_trees: int, subset: int, max_depth: int = 5,
-                 seed: int = 42) -> list[Tree]:
-    """Per-tree bootstrap and per-tree feature subset, each tree grown exactly."""
+def subset_size(n: int, rule: int | str) -> int:
+    """Number of features a tree sees: a number, ``sqrt``, ``log2`` or ``all``."""
+    size = {"sqrt": math.isqrt(n), "log2": int(math.log2(max(n, 1))), "all": n}.get(rule, rule)
+    return max(1, min(n, int(size)))
+
+
+def exact_forest(df: DataFrame, *, id_col: str, features: Sequence[str], label_col: str, n_trees: int, subset: int | str = "sqrt", max_depth: int = 5,
+                 categorical: Sequence[str] = (), criterion: str = "gini", min_samples_split: int = 2, seed: int = 42, parallelism: int = 4) -> list[Tree]:
+    """Per-tree bootstrap and per-tree feature subset, each tree grown exactly.
+
+    ``features`` are all columns, those also named in ``categorical`` split by value. The trees are grown from a few
+    driver threads, so the levels of several trees are searched at the same time.
+    """
     chosen: dict[int, list[str]] = {}
-    for r in feature_subsets(df, features, n_trees, subset, seed=seed).collect():
+    for r in feature_subsets(df, features, n_trees, subset_size(len(features), subset), seed=seed).collect():
         chosen.setdefault(r["tree"], []).append(r["feature"])
-    trees = []
     drawn = cut(bootstrap(df.select(id_col, label_col, *features), n_trees, id_col=id_col, seed=seed))
-    for t in range(n_trees):
+
+    def grow(t: int) -> Tree:
         rows = drawn.filter(F.col("tree") == t).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("weight"))))
-        trees.append(grow_tree(rows, id_col=id_col, numeric=sorted(chosen[t]), categorical=[], label_col=label_col, max_depth=max_depth))
-    return trees
+        mine = sorted(chosen[t])
+        return grow_tree(rows, id_col=id_col, numeric=[f for f in mine if f not in categorical], categorical=[f for f in mine if f in categorical],
+                         label_col=label_col, max_depth=max_depth, criterion=criterion, min_samples_split=min_samples_split)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(grow, range(n_trees)))
 
 
 def tree_votes(df: DataFrame, trees: Sequence[Tree], *, id_col: str) -> DataFrame:

@@ -82,6 +82,9 @@ def cross_validate(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame, d
     ``prediction``. Fits are submitted from a few driver threads; Spark runs them.
     """
     df = cut(df)
+    present = sorted(r[0] for r in df.select(fold_col).distinct().limit(n_folds + 1).collect())
+    if present != list(range(n_folds)):
+        raise ValueError(f"folds {present} do not match n_folds={n_folds}")
 
     def one(task: tuple[int, int]) -> tuple:
         i, fold = task
