@@ -200,7 +200,7 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE) -> tuple[np.ndarray, float] |
             "buckets": pa.ListArray.from_arrays(pa.array(ends), pa.array((key % BUCKETS).astype(np.int32))),
             "shares": pa.ListArray.from_arrays(pa.array(ends), pa.array((number / np.maximum(whole, 1)).astype(np.float32)))}
 
-    rows = _scan(docs.join(F.broadcast(chosen), "doc_id"), "doc_id long, pattern long, buckets array<int>, shares array<float>", ["doc_id", "pattern"], shares)
+    rows = _scan(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id long, pattern long, buckets array<int>, shares array<float>", ["doc_id", "pattern"], shares)
     rows = rows.toArrow().sort_by("doc_id").to_pylist()
     for r in rows:
         r["posterior"] = posterior[r["pattern"]]
