@@ -16,7 +16,7 @@ from sparkmine.llm.common import kept
 WINDOW, LEAST = 8, 4
 #: share of the windows of an item that a document must hold, or so many of them
 COVERAGE, ENOUGH = 0.5, 12
-#: share of the fillers of an item that must keep one value in the document
+#: share of the fillers that an item repeats which must keep one value in the document
 CONSISTENT = 0.7
 #: rows that may be broadcast: windows of the benchmark, matched pairs (a few dozen bytes each)
 BROADCAST_ROWS = 200_000
@@ -113,7 +113,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     filled = aligned.select("doc_id", "item_id", F.explode("s").alias("s")).groupBy("doc_id", "item_id", "s.b").agg(
         F.count_distinct("s.d").alias("values"), F.min(F.col("s.d")).alias("value"), F.count(F.lit(1)).alias("times"))
     kinds = filled.groupBy("doc_id", "item_id").agg(
-        F.avg((F.col("values") == 1).cast("double")).alias("consistent"),
+        F.avg(F.when(F.col("times") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"),
         F.min(((F.col("values") == 1) & (F.col("value") == F.col("b"))).cast("int")).alias("same"))
     pairs = passed.groupBy("doc_id", "item_id").agg(F.max("total").alias("total"), F.max("n_windows").alias("n_windows"))
     judged = pairs.join(kinds, ["doc_id", "item_id"], "left").filter(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
