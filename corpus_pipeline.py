@@ -25,9 +25,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class."""
+    """The document with the smallest id of each near-duplicate class; of rows that repeat an id one stays, without an id all."""
     classes = kept(overlap_join.jaccard_classes(docs).filter("not kept").select("doc_id"), "copies")
-    return docs.join(classes, "doc_id", "left_anti").select(*NAMES)
+    left = docs.join(classes, "doc_id", "left_anti").select(*NAMES)
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left
+    named = left.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*NAMES[1:])).alias("r")).select("doc_id", "r.*")
+    return named.union(left.filter("doc_id is null"))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
