@@ -264,7 +264,8 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
     sets = kept(grouped.select(*key, F.col("r.doc_id").alias("id"), "copies", F.col("r.sig").alias("sig")), "sets")
     loose = component_of(loose_edges(sets, runs_=runs_), "loose").withColumnRenamed("id", "doc_id")
     chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # a shuffle join at every size: what is read again grows with the documents, not with the settings
+    texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")
     members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members")
     found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "tokens"], _exact(threshold), "a long, b long, what int"), "links")
     classes = component_of(found.filter("what = 0").select("a", "b"), "class_id")
