@@ -22,9 +22,10 @@ from sparkmine.llm.links import component_of, forest, forest_between, runs, tile
 from sparkmine.llm.words import U, mix, windows, words
 
 SHINGLE, THRESHOLD = 5, 0.8
-SAMPLED, RUNS, DEPTH = 64, 8, 4
-#: a token is followed with probability BRANCHING / SAMPLED; similar sets share 0.8 * BRANCHING choices a level
-BRANCHING = 2.0
+SAMPLED, RUNS, DEPTH = 64, 8, 2
+#: a token is followed with probability BRANCHING / SAMPLED on the first level and DEEPER / SAMPLED below it, so that
+#: similar sets share 0.8 * BRANCHING choices at first, and one choice on average where a crowded path is split further
+BRANCHING, DEEPER = 2.0, 1.25
 SMALL = 64          # sets on a path that are compared at once
 CHUNK = 512         # sets on a deepest path that are compared with each other
 LOOSE = 0.6         # sampled agreement that puts two sets into one group
@@ -157,8 +158,9 @@ def _compare_paths(rows: DataFrame) -> DataFrame:
 def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCHING, depth: int = DEPTH) -> DataFrame:
     """Edges between sets that share a chosen path and agree on most sampled tokens.
 
-    The chance that one run brings a pair of similarity 0.8 to a shared path is that a branching process with
-    0.8 * ``branching`` children survives, about 0.64; ``runs_`` runs miss one pair in three thousand.
+    A pair of similarity 0.8 shares no first choice in one run with probability exp(-0.8 * ``branching``), about 0.2;
+    ``runs_`` runs miss fewer than three pairs in a million. On a crowded path a shared choice is kept with probability
+    1 - exp(-1) a level, or in the same chunk of the last one; the groups that crowd a path are linked many times over.
     """
     sig = sets.select("id", "sig")
     level = kept(_start(sets, runs_, branching), "paths")
@@ -174,7 +176,7 @@ def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCH
         if last:
             break
         many = shared.filter(F.col("count") > SMALL)
-        level = kept(_deeper(many.join(sig, "id"), branching).distinct(), "paths")
+        level = kept(_deeper(many.join(sig, "id"), DEEPER).distinct(), "paths")
     edges = found[0]
     for e in found[1:]:
         edges = edges.union(e)
