@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +34,34 @@ def scratch_dir(spark: SparkSession) -> str:
     return own
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch tables of the running operator", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``cut`` writes inside, once the caller holds a result that no longer reads them."""
+    paths: list[str] = []
+    before = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(before)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def scoped(operator: Callable) -> Callable:
+    """For operators whose result is made of driver values: their scratch tables go when they return."""
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options):
+        with scratch_scope(df.sparkSession):
+            return operator(df, *args, **options)
+
+    return run
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and drop its lineage: a table written to the shared folder.
 
@@ -37,6 +69,8 @@ def cut(df: DataFrame) -> DataFrame:
     choice; a checkpointed frame would carry old estimates and constraints along.
     """
     path = scratch_path(df.sparkSession, "cut")
+    if (held := _SCOPE.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -26,6 +26,7 @@ MAX_BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
 CELL_ROWS = 1024
 BROADCAST_BYTES = 64 << 20
+STRIPE_BYTES = 64 << 20  # payload of the blocks that a task holds while others stream by
 
 
 @dataclass
@@ -221,23 +222,29 @@ def join_blocks(
     pairs: list[tuple[int, int, int]],
     compare: Callable[[Block, Block], pd.DataFrame],
     schema: str,
+    merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
 ) -> DataFrame:
-    """Run ``compare`` on every listed block pair, one pair at a time inside a task."""
+    """Run ``compare`` on every listed block pair, one pair at a time inside a task.
+
+    ``merge`` reduces the collected results of several pairs to what is still needed of
+    them (the best candidates, the sums so far), so a task passes on a running result
+    instead of one for every pair. It must accept its own output.
+    """
     spark = q.frame.sparkSession
     width = q.width
+    if q.bytes > BROADCAST_BYTES and c.bytes > BROADCAST_BYTES:
+        return _join_stripes(q, c, pairs, compare, schema, merge)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(results: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+        return _gathered(results, merge)
+
+    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for i in range(batch.num_rows):
-                def block(side: str) -> Block:
-                    raw = lambda name, kind: np.frombuffer(cols[f"{side}_{name}"][i].as_buffer(), dtype=kind)
-                    ids = raw("ids", np.int64)
-                    return Block(ids, raw("xs", np.float64).reshape(len(ids), width), raw("tags", np.int64),
-                                 raw("vals", np.float64))
-                out = compare(block("q"), block("c"))
-                if len(out):
-                    yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+                yield compare(_block(batch, i, width, "q_"), _block(batch, i, width, "c_"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return gather(pairs_of(batches))
 
     links = small_table(spark, [(i, j, q.cells[i].chunks, n) for i, j, n in pairs], "q_cell int, c_cell int, q_chunks int, chunks int")
     tiles = sum(q.cells[i].chunks * n for i, _, n in pairs)
@@ -258,7 +265,7 @@ def join_blocks(
         # both sides were measured: copy them to the tasks and spread the pairs evenly
         index = index.repartition(spread)
     on_q, on_c = ["q_cell", "q_chunk"], ["c_cell", "c_chunk"]
-    # a measured small side is copied, a large one is shuffled once with the pair list
+    # the measured small side is copied to the pairs of the other, which is shuffled once
     if small_q:
         joined = index.join(F.broadcast(right) if small_c else right, on_c).join(F.broadcast(left), on_q)
     else:
@@ -268,6 +275,77 @@ def join_blocks(
     ).mapInArrow(run, schema)
 
 
+def _block(batch: pa.RecordBatch, i: int, width: int, prefix: str = "") -> Block:
+    raw = lambda name, kind: np.frombuffer(batch.column(prefix + name)[i].as_buffer(), dtype=kind)
+    ids = raw("ids", np.int64)
+    return Block(ids, raw("xs", np.float64).reshape(len(ids), width), raw("tags", np.int64), raw("vals", np.float64))
+
+
+def _gathered(results: Iterator[pd.DataFrame], merge: Callable[[pd.DataFrame], pd.DataFrame] | None, limit: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Results as Arrow batches; with ``merge``, one reduced result for as many pairs as fit."""
+    held: list[pd.DataFrame] = []
+    rows = 0
+    for out in results:
+        if not len(out):
+            continue
+        if merge is None:
+            yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+            continue
+        held.append(out)
+        rows += len(out)
+        if rows > limit:
+            reduced = merge(pd.concat(held, ignore_index=True))
+            held, rows = [reduced], len(reduced)
+            if rows > limit // 2:  # nothing left to reduce
+                yield pa.RecordBatch.from_pandas(reduced, preserve_index=False)
+                held, rows = [], 0
+    if held:
+        yield pa.RecordBatch.from_pandas(merge(pd.concat(held, ignore_index=True)), preserve_index=False)
+
+
+def _join_stripes(q: Blocks, c: Blocks, pairs: list[tuple[int, int, int]], compare: Callable, schema: str, merge: Callable | None) -> DataFrame:
+    """Both sides large: each is dealt into stripes, and a task compares one stripe with one stripe.
+
+    A block travels once for every stripe of the other side, the root of the number of
+    tasks. The task holds the blocks of its query stripe and streams the others.
+    """
+    spark = q.frame.sparkSession
+    width = q.width
+    rows = max(1, math.ceil(q.bytes / STRIPE_BYTES))
+    cols = max(1, math.ceil(c.bytes / STRIPE_BYTES))
+    wanted = {(i, j) for i, j, _ in pairs}
+
+    def side(b: Blocks, own: int, other: int, first: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("cell", "chunk"), F.lit(own)).cast("int")
+        all_of = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
+        base = b.frame.select("cell", "ids", "xs", "tags", "vals", mine.alias("mine")).withColumn("every", all_of)
+        return base.select((F.col("mine") if first else F.col("every")).alias("row"), (F.col("every") if first else F.col("mine")).alias("col"),
+                           F.lit(0 if first else 1).alias("side"), "cell", "ids", "xs", "tags", "vals")
+
+    both = side(q, rows, cols, True).union(side(c, cols, rows, False))
+
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        stripe, held = None, []
+        for batch in batches:
+            row, col, where, cell = (batch.column(k).to_pylist() for k in ("row", "col", "side", "cell"))
+            for i in range(batch.num_rows):
+                if stripe != (row[i], col[i]):
+                    stripe, held = (row[i], col[i]), []
+                block = _block(batch, i, width)
+                if where[i] == 0:
+                    held.append((cell[i], block))
+                    continue
+                for own, left in held:
+                    if (own, cell[i]) in wanted:
+                        yield compare(left, block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _gathered(results(batches), merge)
+
+    dealt = both.repartition(rows * cols, "row", "col").sortWithinPartitions("row", "col", "side")
+    return dealt.mapInArrow(run, schema)
+
+
 def chunked_rows(n_rows: int, n_cols: int, cells: int = 4_000_000) -> Iterator[slice]:
     """Row slices whose distance matrix stays within a few tens of megabytes."""
     step = max(1, cells // max(1, n_cols))

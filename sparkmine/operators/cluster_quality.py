@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import cut, small_table
+from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.functions.joins import null_safe_join
 from sparkmine.functions.vectors import distances, matrix, minkowski
 from sparkmine.operators.blocks import BROADCAST_BYTES, Block, build_blocks, chunked_rows, cluster_blocks, every_pair, join_blocks
@@ -59,7 +59,8 @@ def _block_sums(q_rows: DataFrame | None, c_rows: DataFrame) -> DataFrame:
     n, width = c_rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     c, _ = cluster_blocks(sized, n, width or 1)
     q = c if q_rows is None else build_blocks(q_rows, "id", "x", tag="cluster", pivots=np.zeros((0, 0)))
-    return join_blocks(q, c, every_pair(q, c), lambda a, b: _distance_sums(a, b, b.vals), SUMS)
+    return join_blocks(q, c, every_pair(q, c), lambda a, b: _distance_sums(a, b, b.vals), SUMS,
+                       lambda d: d.groupby(["id", "cluster", "other"], as_index=False).agg({"total": "sum", "n": "sum"}))
 
 
 def _sample_sums(c_rows: DataFrame, asked: DataFrame) -> DataFrame:
@@ -199,6 +200,7 @@ def scores(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, sample:
     return s, ch, db
 
 
+@scoped
 def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], seed: int = 42,
                  sample_rows: int | None = None, max_iter: int = 300) -> DataFrame:
     """One row per k with its three scores; the first best silhouette is marked.

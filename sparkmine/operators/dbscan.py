@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
-from sparkmine.lineage import cut, small_table
+from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, join_blocks, pairs_within
 from sparkmine.operators.cluster_quality import scores
 from sparkmine.operators.components import connected_components, number_by_order
@@ -113,6 +113,7 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     return rows.join(labels, "x").select("id", "cluster", "is_core")
 
 
+@scoped
 def sweep_eps(df: DataFrame, *, id_col: str, x_col: str, min_pts: int = 5) -> tuple[DataFrame, float]:
     """DBSCAN at six radii taken from the k-distance percentiles: results and the best radius.
 

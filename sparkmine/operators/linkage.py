@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
-from sparkmine.lineage import cut, small_table
+from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.operators.blocks import Block, chunked_rows, cluster_blocks, every_pair, join_blocks
 from sparkmine.operators.cluster_quality import mark_best, scores
 from sparkmine.operators.components import number_by_order
@@ -150,6 +150,7 @@ def average_linkage(df: DataFrame, *, id_col: str, x_col: str, k: int) -> DataFr
     return cut_tree(df, dendrogram(df, id_col=id_col, x_col=x_col), id_col=id_col, k=k)
 
 
+@scoped
 def sweep_linkage(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int]) -> DataFrame:
     """Scores per k from one dendrogram, the first best silhouette marked."""
     tree = cut(dendrogram(df, id_col=id_col, x_col=x_col))

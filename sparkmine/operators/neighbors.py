@@ -65,11 +65,14 @@ def knn_join(
             parts.append(pd.DataFrame({
                 "id": a.ids[s][rows], "neighbor": b.ids[cols], "distance": d[rows, cols],
             }))
-        found = pd.concat(parts, ignore_index=True).sort_values(["id", "distance", "neighbor"])
+        return closest(pd.concat(parts, ignore_index=True))
+
+    def closest(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(["id", "distance", "neighbor"])
         return found[found.groupby("id").cumcount() < k]
 
     found = join_blocks(
-        q, c, pairs_within(q, c, knn_reach(q, c, k)), nearest, "id bigint, neighbor bigint, distance double"
+        q, c, pairs_within(q, c, knn_reach(q, c, k)), nearest, "id bigint, neighbor bigint, distance double", closest
     )
     best = Window.partitionBy("id").orderBy("distance", "neighbor")
     return (
@@ -102,7 +105,8 @@ def distance_profile(df: DataFrame, *, id_col: str, x_col: str, p: int = 2) -> D
         return pd.concat(parts, ignore_index=True)
 
     tiles = join_blocks(b, b, every_pair(b, b), summarise,
-                        "id bigint, n bigint, total double, low double, high double")
+                        "id bigint, n bigint, total double, low double, high double",
+                        lambda d: d.groupby("id", as_index=False).agg({"n": "sum", "total": "sum", "low": "min", "high": "max"}))
     return tiles.groupBy("id").agg(
         F.sum("n").alias("n_others"), F.sum("total").alias("sum_distance"), F.min("low").alias("min_distance"),
         F.max("high").alias("max_distance"), (F.sum("total") / F.sum("n")).alias("mean_distance"),
@@ -157,7 +161,8 @@ def radius_profile(df: DataFrame, *, id_col: str, x_col: str, eps: float, p: int
         return pd.concat(parts, ignore_index=True)
 
     found = join_blocks(b, b, pairs_within(b, b, lambda _: eps), count,
-                        "id bigint, n double, first bigint, last bigint, total double")
+                        "id bigint, n double, first bigint, last bigint, total double",
+                        lambda d: d.groupby("id", as_index=False).agg({"n": "sum", "first": "min", "last": "max", "total": "sum"}))
     summed = found.groupBy("id").agg(
         F.sum("n").alias("n"), F.min("first").alias("first_neighbor"), F.max("last").alias("last_neighbor"),
         F.sum("total").alias("total"),

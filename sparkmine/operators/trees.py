@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.joins import null_safe_join, side_table
 from sparkmine.functions.ordered import running_sums
-from sparkmine.lineage import cut, small_table
+from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.operators.sampling import bootstrap, feature_subsets
 
 EPS = 1e-12
@@ -143,6 +143,7 @@ class Tree:
         return routed.join(names, "_node").select(*df.columns, into)
 
 
+@scoped
 def grow_tree(df: DataFrame, *, id_col: str, numeric: Sequence[str], categorical: Sequence[str], label_col: str,
               max_depth: int = 5, min_samples_split: int = 2, criterion: str = "gini") -> Tree:
     """Exact tree, one split search per level for all open nodes together."""
@@ -239,6 +240,7 @@ def subset_size(n: int, rule: int | str) -> int:
     return max(1, min(n, int(size)))
 
 
+@scoped
 def exact_forest(df: DataFrame, *, id_col: str, features: Sequence[str], label_col: str, n_trees: int, subset: int | str = "sqrt", max_depth: int = 5,
                  categorical: Sequence[str] = (), criterion: str = "gini", min_samples_split: int = 2, seed: int = 42, parallelism: int = 4) -> list[Tree]:
     """Per-tree bootstrap and per-tree feature subset, each tree grown exactly.

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import cut, small_table
+from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.operators.classify import NEAR_ZERO
 from sparkmine.operators.metrics import summary
 from sparkmine.operators.neighbors import knn_join
@@ -74,6 +74,7 @@ def grid_of(space: Mapping[str, Sequence]) -> list[dict]:
     return maps
 
 
+@scoped
 def cross_validate(df: DataFrame, fit_predict: Callable[[DataFrame, DataFrame, dict, int], DataFrame], params: Sequence[dict], *,
                    fold_col: str, label_col: str, n_folds: int, scoring: str = "accuracy", parallelism: int = 4) -> DataFrame:
     """Score every parameter map on every fold: ``(candidate, fold, score)``.

@@ -257,3 +257,21 @@ def test_eps_sweep_equals_sequential(spark):
         want = plain_silhouette(x[mask], label[mask]).mean() if len(kept) > 1 else -1.0
         assert r["silhouette"] == pytest.approx(want)
         assert r["is_best"] == (r["eps"] == best)
+
+
+def test_stripes_equal_copies_and_move_each_block_to_the_stripes_only(spark, many_cells, monkeypatch):
+    """Both sides too large to copy: same neighbours and sums, and one exchange of payloads before the comparison."""
+    x = sample(3)
+    df = frame(spark, x, (np.arange(len(x)) % 3).tolist())
+    run = lambda: (
+        set(map(tuple, neighbors.k_nearest(df, id_col="id", x_col="x", k=4).select("id", "neighbor", "rank").collect())),
+        sorted((r["id"], round(r["sum_distance"], 6), r["n_others"]) for r in neighbors.distance_profile(df, id_col="id", x_col="x").collect()),
+        sorted((r["id"], round(r["silhouette"], 9)) for r in cluster_quality.silhouette_rows(df, id_col="id", x_col="x", cluster_col="tag").collect()))
+    copied = run()
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(blocks, "STRIPE_BYTES", 2500)
+    assert run() == copied
+    b = blocks.build_blocks(df, "id", "x")
+    tiles = blocks.join_blocks(b, b, blocks.every_pair(b, b), lambda q, c: None, "id bigint")
+    plan = tiles._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("Union")[0] and plan.split("Union")[0].count("Exchange") == 1

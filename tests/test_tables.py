@@ -135,3 +135,38 @@ def test_results_as_parquet(spark):
     path = scratch_path(spark, "results")
     tables.write_results(small_table(spark, [(3, 0.5)], "k int, score double"), path, fmt="parquet")
     assert spark.read.parquet(path).first()["score"] == 0.5
+
+
+def test_ranges_keep_null_groups_and_sort_strings(spark):
+    rows = [(None if k % 4 == 0 else k % 4, f"v{(k * 37) % 500:03d}", 1) for k in range(500)]
+    df = spark.createDataFrame(rows, "g int, v string, n int").repartition(3)
+    for by in ([], ["g"]):
+        read = lambda d: sorted((r["g"] if r["g"] is not None else -1, r["v"], r["cum_n"]) for r in d.collect())
+        assert read(running_sums(df, by, "v", ["n"], rows_per_window=20)) == read(running_sums(df, by, "v", ["n"]))
+    assert exact_quantiles(df.select(F.col("n").cast("double").alias("x"), "g"), ["x"], [0.5], "g", small=0, accuracy=50, rows_per_window=5)[(None, "x")] == [1.0]
+
+
+def test_null_classes_are_split(spark):
+    df = spark.range(1500).withColumn("label", F.when(F.col("id") % 10 >= 3, F.col("id") % 2))
+    split = sampling.stratified_split(df, id_col="id", label_col="label")
+    assert split.count() == 1500 and split.filter("label is null and is_test").count() == 90
+
+
+def test_scope_drops_scratch_tables(spark):
+    import os
+
+    from sparkmine.lineage import cut, scratch_scope
+
+    with scratch_scope(spark):
+        kept = cut(spark.range(5))
+        path = kept.inputFiles()[0].removeprefix("file:").lstrip("/")
+        assert os.path.exists("/" + path)
+    assert not os.path.exists("/" + path)
+
+
+def test_folds_must_match(spark):
+    from sparkmine.operators import tuning
+
+    df = spark.range(30).withColumn("fold", F.col("id") % 3).withColumn("label", F.lit(1))
+    with pytest.raises(ValueError, match="n_folds"):
+        tuning.cross_validate(df, lambda tr, te, p, f: te.withColumn("prediction", F.lit(1)), [{}], fold_col="fold", label_col="label", n_folds=2)
