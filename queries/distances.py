@@ -22,6 +22,14 @@ def _(spark, d):
     return sampling.stratified_split(table(spark, d, "events").select("event_id", "event_type"), id_col="event_id", label_col="event_type")
 
 
+@check("stratified_split_null_class", "event_id:i event_type:s is_test:b", f"""WITH e AS (SELECT event_id, nullif(event_type, 'view') AS event_type FROM events),
+  r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY {sql_key('event_id', 42, 15)}) AS rn, count(*) OVER (PARTITION BY event_type) AS n FROM e)
+  SELECT event_id, event_type, rn <= floor(0.2 * n + 0.5) AS is_test FROM r""")
+def _(spark, d):
+    e = table(spark, d, "events").select("event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("event_type"))
+    return sampling.stratified_split(e, id_col="event_id", label_col="event_type")
+
+
 @check("kfold", "o_orderkey:i fold:i", f"SELECT o_orderkey, {sql_key('o_orderkey', 7)} % 5 AS fold FROM orders")
 def _(spark, d):
     return sampling.kfold(table(spark, d, "orders").select("o_orderkey"), 5, id_col="o_orderkey", seed=7)
@@ -233,6 +241,15 @@ def _(spark, d):
     return dbscan.dbscan(user_plane(spark, d), id_col="id", x_col="x", eps=EPS, min_pts=MIN_PTS)
 
 
+NEAR_CUSTOMERS = 0.99
+_DENSE_CUSTOMERS = CUSTOMERS.replace("cust AS", "plane AS") + ", " + _DBSCAN.replace(f"<= {EPS}", f"<= {NEAR_CUSTOMERS}").replace(f">= {MIN_PTS}", ">= 2")
+
+
+@check("dbscan_customers", "id:i cluster:i is_core:b", f"WITH RECURSIVE {_DENSE_CUSTOMERS} SELECT * FROM lab")
+def _(spark, d):
+    return dbscan.dbscan(customer_plane(spark, d), id_col="id", x_col="x", eps=NEAR_CUSTOMERS, min_pts=2)
+
+
 @check("cluster_sizes", "cluster:i n:i is_noise:b", f"WITH RECURSIVE {USER_PLANE}, {_DBSCAN} SELECT cluster, count(*) AS n, cluster = 0 AS is_noise FROM lab GROUP BY cluster")
 def _(spark, d):
     return cluster_quality.cluster_sizes(dbscan.dbscan(user_plane(spark, d), id_col="id", x_col="x", eps=EPS, min_pts=MIN_PTS), cluster_col="cluster")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from queries.base import DIRTY, USERS, check, dirty_orders, table, user_features
 from sparkmine.lineage import scratch_path
-from sparkmine.operators import cleaning, encoding, eda, reduction
+from sparkmine.operators import outliers, tuning, cleaning, encoding, eda, reduction
 from sparkmine.plans.preprocess import PreprocessConfig, Preprocessor
 from sparkmine.sources import tables as sources
 
@@ -357,3 +357,42 @@ def _(spark, d):
     split = stratified_split(embeddings(spark, d), id_col="id", label_col="label")
     model = reduction.fit_pca(split.filter("NOT is_test"), x_col="x", k=2)
     return model.coordinates(split.filter("is_test"), id_col="id", x_col="x")
+
+
+# the same operators on the two-column users, where the components have a closed form
+
+_AXES = "s1 * (p * (n_events - mx) + q * (avg_value - my)) AS pc1, s2 * (-q * (n_events - mx) + p * (avg_value - my)) AS pc2"
+_TRAINED = _EIGEN.replace("AS e FROM users)", "AS e FROM users WHERE id % 5 <> 0)")
+
+
+def _user_plane_projected(spark, d):
+    x = _plain_users(spark, d)
+    return reduction.fit_pca(x, x_col="x", k=2).coordinates(x, id_col="id", x_col="x")
+
+
+@check("pca_apply_to_new_users", "id:i pc1:4 pc2:4", f"WITH {_TRAINED}, {_V1} SELECT id, {_AXES} FROM users, s WHERE id % 5 = 0")
+def _(spark, d):
+    x = _plain_users(spark, d)
+    return reduction.fit_pca(x.filter("id % 5 <> 0"), x_col="x", k=2).coordinates(x.filter("id % 5 = 0"), id_col="id", x_col="x")
+
+
+@check("projection_table_users", "id:i pc1:4 pc2:4 label:i", f"WITH {_EIGEN}, {_V1} SELECT id, {_AXES}, id % 3 AS label FROM users, s")
+def _(spark, d):
+    labels = _plain_users(spark, d).select("id", (F.col("id") % 3).alias("kind"))
+    return eda.projection_by_class(_user_plane_projected(spark, d), labels, id_col="id", label_col="kind")
+
+
+@check("correct_projection_users", "id:i pc1:4 pc2:4 label:i prediction:i correct:b", f"""WITH {_EIGEN}, {_V1}
+  SELECT id, {_AXES}, id % 3 AS label, id % 2 AS prediction, id % 3 = id % 2 AS correct FROM users, s""")
+def _(spark, d):
+    guessed = _plain_users(spark, d).select("id", (F.col("id") % 3).alias("label"), (F.col("id") % 2).alias("prediction"))
+    return tuning.correct_projection(_user_plane_projected(spark, d), guessed, id_col="id")
+
+
+@check("flagged_projection_users", "id:i pc1:4 pc2:4 score:5 is_outlier:b", f"""WITH {_EIGEN}, {_V1}
+  SELECT id, {_AXES}, -sd_value AS score, sd_value > (SELECT quantile_cont(sd_value, 0.9) FROM users) AS is_outlier FROM users, s""")
+def _(spark, d):
+    u = user_features(spark, d)
+    limit = outliers.upper_threshold(u, "sd_value", 0.1)
+    flagged = u.select("id", (-F.col("sd_value")).alias("score"), (F.col("sd_value") > limit).alias("is_outlier"))
+    return outliers.flagged_projection(_user_plane_projected(spark, d), flagged, id_col="id")
