@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
 from sparkmine.lineage import cut, scoped, small_table
-from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, join_blocks, pairs_within
+from sparkmine.operators.blocks import Block, chunked_rows
 from sparkmine.operators.cluster_quality import scores
 from sparkmine.operators.components import connected_components, number_by_order
+from sparkmine.operators.grid import grid_for, join_cells
 from sparkmine.operators.neighbors import k_distance, k_distance_percentiles
 
 NOISE = 0
@@ -44,8 +45,8 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     """
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"))
     points = cut(rows.groupBy("x").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")))
-    all_blocks = build_blocks(points, "rep", "x", val="w")
-    near = pairs_within(all_blocks, all_blocks, lambda _: eps)
+    grid = grid_for(points, "x", eps)
+    all_blocks = grid.blocks(points, "rep", "x", val="w")
 
     def count(q: Block, c: Block) -> pd.DataFrame:
         parts = []
@@ -53,14 +54,15 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
             parts.append(pd.DataFrame({"rep": q.ids[s], "n": (distances(q.xs[s], c.xs) <= eps) @ c.vals}))
         return pd.concat(parts, ignore_index=True)
 
-    weights = join_blocks(all_blocks, all_blocks, near, count, "rep bigint, n double").groupBy("rep").agg(
+    weights = join_cells(all_blocks, all_blocks, grid.width, count, "rep bigint, n double",
+                         lambda d: d.groupby("rep", as_index=False).agg({"n": "sum"})).groupBy("rep").agg(
         (F.sum("n") - 1).alias("others")
     )
     core = cut(points.join(weights.filter(F.col("others") >= min_pts), "rep").select("rep", "x"))
     if core.isEmpty():
         return rows.select("id", F.lit(NOISE).alias("cluster"), F.lit(False).alias("is_core"))
 
-    core_blocks = build_blocks(core, "rep", "x", like=all_blocks)
+    core_blocks = grid.blocks(core, "rep", "x")
 
     def forest(q: Block, c: Block) -> pd.DataFrame:
         ids = np.concatenate([q.ids, c.ids])
@@ -77,13 +79,7 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
         sorted_ids = ids[order]
         return pd.DataFrame({"a": sorted_ids[node], "b": sorted_ids[root]}).query("a != b")
 
-    # a symmetric comparison: half of the cell pairs is enough
-    half = [(i, j, n) for i, j, n in pairs_within(core_blocks, core_blocks, lambda _: eps) if i <= j]
-    edges = join_blocks(core_blocks, core_blocks, half, forest, "a bigint, b bigint")
-    if sum(c.chunks for c in all_blocks.cells.values()) == 1:
-        linked = edges.select(F.col("a").alias("id"), F.col("b").alias("root")).distinct()  # one block: its forest is the answer
-    else:
-        linked = connected_components(edges)
+    linked = connected_components(join_cells(core_blocks, core_blocks, grid.width, forest, "a bigint, b bigint", symmetric=True))
     roots = core.select(F.col("rep").alias("id")).join(linked, "id", "left").select(
         F.col("id").alias("rep"), F.coalesce("root", "id").alias("root")
     )
@@ -92,8 +88,8 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     )
 
     border = points.join(core.select("rep"), "rep", "left_anti")
-    q = build_blocks(border, "rep", "x", like=all_blocks)
-    c = build_blocks(numbered, "rep", "x", like=all_blocks, tag="cluster")
+    q = grid.blocks(border, "rep", "x")
+    c = grid.blocks(numbered, "rep", "x", tag="cluster")
 
     def reach(a: Block, b: Block) -> pd.DataFrame:
         parts = []
@@ -103,7 +99,8 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
             parts.append(pd.DataFrame({"rep": a.ids[s], "cluster": low})[low < far])
         return pd.concat(parts, ignore_index=True)
 
-    reached = join_blocks(q, c, pairs_within(q, c, lambda _: eps), reach, "rep bigint, cluster bigint").groupBy(
+    reached = join_cells(q, c, grid.width, reach, "rep bigint, cluster bigint",
+                         lambda d: d.groupby("rep", as_index=False).agg({"cluster": "min"})).groupBy(
         "rep").agg(F.min("cluster").alias("cluster"))
     labels = (
         numbered.select("x", F.col("cluster").cast("int").alias("cluster"), F.lit(True).alias("is_core"))

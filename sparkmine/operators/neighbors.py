@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.ordered import exact_quantiles
 from sparkmine.functions.vectors import distances, matrix
+from sparkmine.lineage import cut
 from sparkmine.operators.blocks import (
     Block,
     build_blocks,
@@ -22,6 +23,7 @@ from sparkmine.operators.blocks import (
     knn_reach,
     pairs_within,
 )
+from sparkmine.operators.grid import grid_for, join_cells
 
 
 def knn_join(
@@ -142,7 +144,10 @@ def radius_profile(df: DataFrame, *, id_col: str, x_col: str, eps: float, p: int
     neighbourhood is summarised per block pair instead of listed, since inside a
     dense group the list would hold every pair.
     """
-    b = build_blocks(df, id_col, x_col, val=weight, p=p)
+    rows = cut(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"),
+                         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w")))
+    grid = grid_for(rows, "x", eps)
+    b = grid.blocks(rows, "id", "x", val="w")
 
     def count(q: Block, c: Block) -> pd.DataFrame:
         parts = []
@@ -160,14 +165,13 @@ def radius_profile(df: DataFrame, *, id_col: str, x_col: str, eps: float, p: int
             }))
         return pd.concat(parts, ignore_index=True)
 
-    found = join_blocks(b, b, pairs_within(b, b, lambda _: eps), count,
-                        "id bigint, n double, first bigint, last bigint, total double",
-                        lambda d: d.groupby("id", as_index=False).agg({"n": "sum", "first": "min", "last": "max", "total": "sum"}))
+    found = join_cells(b, b, grid.width, count, "id bigint, n double, first bigint, last bigint, total double",
+                       lambda d: d.groupby("id", as_index=False).agg({"n": "sum", "first": "min", "last": "max", "total": "sum"}))
     summed = found.groupBy("id").agg(
         F.sum("n").alias("n"), F.min("first").alias("first_neighbor"), F.max("last").alias("last_neighbor"),
         F.sum("total").alias("total"),
     )
-    return df.select(F.col(id_col).cast("bigint").alias("id")).join(summed, "id", "left").select(
+    return rows.select("id").join(summed, "id", "left").select(
         "id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_neighbors"), "first_neighbor", "last_neighbor",
         F.coalesce("total", F.lit(0.0)).alias("sum_distance"),
     )

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmine.operators import blocks, cluster_quality, components, dbscan, kmeans, linkage, neighbors
+from sparkmine.operators import blocks, cluster_quality, components, dbscan, grid, kmeans, linkage, neighbors
 
 
 def frame(spark, x, extra=None):
@@ -31,6 +31,8 @@ def nearest(d, k, same=None):
 def many_cells(monkeypatch):
     """Make a few hundred rows fill several cells and blocks."""
     monkeypatch.setattr(blocks, "CELL_ROWS", 25)
+    monkeypatch.setattr(grid, "CELL_ROWS", 25)
+    monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 40)
     real = blocks._measure
     monkeypatch.setattr(blocks, "_measure", lambda placed, tagged, block_rows, pivots: real(placed, tagged, 40, pivots))
 
@@ -275,3 +277,19 @@ def test_stripes_equal_copies_and_move_each_block_to_the_stripes_only(spark, man
     tiles = blocks.join_blocks(b, b, blocks.every_pair(b, b), lambda q, c: None, "id bigint")
     plan = tiles._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan.split("Union")[0] and plan.split("Union")[0].count("Exchange") == 1
+
+
+def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
+    monkeypatch.setattr(grid, "CELL_ROWS", 20)
+    monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 30)
+    rng = np.random.default_rng(8)
+    cells = []
+    for n in (100, 400):
+        x = rng.random((n, 2)) * 10
+        x[: n // 3] = 5.0
+        df = frame(spark, x)
+        g = grid.grid_for(df, "x", 0.1)
+        packed = g.blocks(df, "id", "x").selectExpr("gx", "gy", "length(ids) / 8 AS n").collect()
+        assert sum(r["n"] for r in packed) == n and max(r["n"] for r in packed) <= 60
+        cells.append(len({(r["gx"], r["gy"]) for r in packed}))
+    assert cells[1] > 2 * cells[0]
