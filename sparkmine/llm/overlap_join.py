@@ -30,7 +30,7 @@ SMALL = 64          # sets on a path that are compared at once
 CHUNK = 512         # sets on a deepest path that are compared with each other
 LOOSE = 0.6         # sampled agreement that puts two sets into one group
 STRIPE = 1_500_000  # shingles that a task holds of one stripe
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

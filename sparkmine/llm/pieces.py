@@ -25,7 +25,9 @@ SPACE = "▁"
 LETTERS = "A-Za-z\u00c0-\u024f"
 NONE = np.int64(1) << 40
 LONG = 64
-CACHE = 200_000
+#: bytes of text that are cut into chunks at a time, and chunks remembered between them
+SLICE = 1 << 20
+CACHE = 60_000
 PROBES = ("", " ", "a  b", " ﬁé ", "x\n\n\ty", "\U0001f642漢 　z", "<s></s><unk><0x41>")
 
 
@@ -210,7 +212,7 @@ def encode_frame(docs: DataFrame, path: str, *, keep: str = "doc_id long", text_
         model, cache = pieces(path), {}
         sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, SLICE):
                 texts = [t or "" for t in part.column(text_col).to_pylist()]
                 cut = [model.chunks(t) for t in texts]
                 if len(cache) > CACHE:

@@ -22,7 +22,7 @@ LABELLERS = ("marks", "capitals", "bars", "repeats", "sentences", "variety", "le
 BUCKETS = 1 << 12
 #: most texts that fit the scorer, half of them likely junk
 SAMPLE = 6_000
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: a labeller is built to call at most this share of the good texts junk; the estimate is held to that
 FALSE_JUNK = 0.001
 #: weight of an abstention: labellers that look for one defect each are far from independent when silent

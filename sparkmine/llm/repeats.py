@@ -23,7 +23,7 @@ from sparkmine.llm.common import kept, slices
 from sparkmine.llm.words import U, mix, windows, words
 
 SIZE, ANCHOR = 20, 6
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: paths that a task gathers before it collapses equal ones and passes them on
 GATHERED = 200_000
 PATH = "m long, h long, doc_id long, a int, n int"
