@@ -277,3 +277,17 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
     out = sketch.select("doc_id", *key).join(per_set, key, "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")) \
         .withColumn("kept", F.col("class_id") == F.col("doc_id"))
+
+
+# The same by comparing every pair that shares a shingle.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, list_slice(ws, i, i + 4) AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a), number AS (SELECT a, count(*) AS k FROM links GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(m, doc_id)) AS class_id, coalesce(k, 0) AS n_links, doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM documents LEFT JOIN low ON doc_id = low.a LEFT JOIN number ON doc_id = number.a"""

@@ -54,4 +54,5 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_html_extraction, op3_secret_scan, op4_language_id, op5_toxicity, op6_decontaminate, op7_sentencepiece, op8_jaccard_join, op9_embedding_dedup, op10_quality)}
-SQL: dict[str, str] = {"op1_substring_dedup": repeats.SQL, "op9_embedding_dedup": vector_links.SQL}
+SQL: dict[str, str] = {
+    "op1_substring_dedup": repeats.SQL, "op8_jaccard_join": overlap_join.SQL, "op9_embedding_dedup": vector_links.SQL}
