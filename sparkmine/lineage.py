@@ -68,13 +68,19 @@ def cut(df: DataFrame) -> DataFrame:
     A written table survives lost executors, and its real size feeds the next join
     choice; a checkpointed frame would carry old estimates and constraints along.
     """
-    path = scratch_path(df.sparkSession, "cut")
-    if (held := _SCOPE.get()) is not None:
-        held.append(path)
+    path = passing_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def passing_path(spark: SparkSession, name: str) -> str:
+    """A new path that the scope of the running operator drops."""
+    path = scratch_path(spark, name)
+    if (held := _SCOPE.get()) is not None:
+        held.append(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, under one folder per application so it can be dropped as a whole."""
     return f"{scratch_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
