@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.lineage import scratch_path
+from sparkmine.lineage import passing_path, scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -30,10 +30,13 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
-def kept(df: DataFrame, name: str = "kept") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends, its shuffle files go."""
+def kept(df: DataFrame, name: str = "kept", *, lasting: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends, its shuffle files go.
+
+    Inside a ``scratch_scope`` the table goes with the scope unless it is ``lasting``.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) if lasting else passing_path(spark, name)
     with shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import scratch_scope
 from sparkmine.llm.common import kept, slices
 from sparkmine.llm.links import component_of, forest, forest_between, runs, tiled_links
 from sparkmine.llm.words import U, mix, windows, words
@@ -260,20 +261,21 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
     A text without words links with nothing; one of fewer than ``size`` words is one shingle. Rows with a null id are
     left out; repeated rows of one id are one document (its smallest sketch counts if their texts differ).
     """
-    sketch = kept(_sketch(docs, size).groupBy("doc_id").agg(F.min(F.struct("n", "k1", "k2", "sig")).alias("s")).select("doc_id", "s.*"), "sketch")
-    key = ["n", "k1", "k2"]
-    grouped = sketch.filter("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("r"), F.count(F.lit(1)).alias("copies"))
-    sets = kept(grouped.select(*key, F.col("r.doc_id").alias("id"), "copies", F.col("r.sig").alias("sig")), "sets")
-    loose = component_of(loose_edges(sets, runs_=runs_), "loose").withColumnRenamed("id", "doc_id")
-    chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
-    # a shuffle join at every size: what is read again grows with the documents, not with the settings
-    texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")
-    members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members")
-    found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "tokens"], _exact(threshold), "a long, b long, what int"), "links")
-    classes = component_of(found.filter("what = 0").select("a", "b"), "class_id")
-    weight = found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others"))
-    per_set = kept(sets.select(*key, "id", "copies").join(classes, "id", "left").join(weight, "id", "left").select(
-        *key, F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links")), "classes")
+    with scratch_scope(docs.sparkSession):
+        sketch = kept(_sketch(docs, size).groupBy("doc_id").agg(F.min(F.struct("n", "k1", "k2", "sig")).alias("s")).select("doc_id", "s.*"), "sketch", lasting=True)
+        key = ["n", "k1", "k2"]
+        grouped = sketch.filter("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("r"), F.count(F.lit(1)).alias("copies"))
+        sets = kept(grouped.select(*key, F.col("r.doc_id").alias("id"), "copies", F.col("r.sig").alias("sig")), "sets")
+        loose = component_of(loose_edges(sets, runs_=runs_), "loose").withColumnRenamed("id", "doc_id")
+        chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
+        # a shuffle join at every size: what is read again grows with the documents, not with the settings
+        texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")
+        members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members")
+        found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "tokens"], _exact(threshold), "a long, b long, what int"), "links")
+        classes = component_of(found.filter("what = 0").select("a", "b"), "class_id")
+        weight = found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others"))
+        per_set = kept(sets.select(*key, "id", "copies").join(classes, "id", "left").join(weight, "id", "left").select(
+            *key, F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links")), "classes", lasting=True)
     out = sketch.select("doc_id", *key).join(per_set, key, "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")) \
         .withColumn("kept", F.col("class_id") == F.col("doc_id"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import scoped
 from sparkmine.llm.common import kept, slices
 from sparkmine.llm.words import U, Words, mix, words
 
@@ -174,6 +175,7 @@ def _pattern(w: Words) -> np.ndarray:
     return votes(w) @ PATTERN_BASE
 
 
+@scoped
 def fit(docs: DataFrame, *, sample: int = SAMPLE) -> tuple[np.ndarray, float] | None:
     """Weights and bias of the scorer; None for an empty table. Patterns are counted over all rows."""
     voted = kept(_scan(docs, "doc_id long, pattern long", ["doc_id"], lambda part, w: {"pattern": pa.array(_pattern(w))}), "votes")

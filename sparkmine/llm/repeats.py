@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import scratch_scope
 from sparkmine.llm.common import kept, slices
 from sparkmine.llm.words import U, mix, windows, words
 
@@ -177,7 +178,9 @@ def remove_repeats(docs: DataFrame, *, size: int = SIZE, text: bool = False) ->
     A null or empty text has no words; one shorter than ``size`` words loses none. A repeated doc_id counts as one
     document and gets one row for each input row; a null doc_id neither repeats others nor is repeated.
     """
-    places = kept(repeated_places(docs, size=size).groupBy("doc_id").agg(F.collect_list(F.struct("a", "bits")).alias("places")), "places")
+    with scratch_scope(docs.sparkSession):
+        spots = repeated_places(docs, size=size).groupBy("doc_id").agg(F.collect_list(F.struct("a", "bits")).alias("places"))
+        places = kept(spots, "places", lasting=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import scoped
 from sparkmine.llm.common import held_out, kept, slices
 
 #: bounds of the labelled samples: texts read for the lexicon, rows that fit trees and calibration
@@ -36,6 +37,7 @@ def _plain(word: str) -> str:
     return EDGE.sub("", word.lower())
 
 
+@scoped
 def lexicon(docs: DataFrame, labels: DataFrame, *, texts: int = LEXICON_TEXTS) -> dict[str, float]:
     """Words and word beginnings (``stem*``) that mark toxic texts, from at most ``texts`` labelled ones chosen by hash."""
     labelled = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -225,7 +227,7 @@ def score(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS) -
     the score of its (zero) features. Without labelled rows of both kinds every score is their share, or 0.
     """
     learned = lexicon(docs, labels)
-    table = kept(features(docs, learned), "features")
+    table = kept(features(docs, learned), "features", lasting=True)
     taught = labels.filter(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
     n = taught.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(1 << 30)) / float(1 << 30)

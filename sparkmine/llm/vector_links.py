@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import scratch_scope
 from sparkmine.llm.common import kept
 from sparkmine.llm.links import component_of, forest, forest_between, runs, tiled_links
 
@@ -187,21 +188,22 @@ def vector_classes(vectors: DataFrame, *, threshold: float = THRESHOLD, attempts
     Of repeated rows of one vec_id the smallest (label, vector) counts; rows without a vec_id are left out; an
     empty table gives an empty result.
     """
-    unit = kept(_unit(vectors), "unit")
-    reps = kept(unit.groupBy("g", "x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "reps")
-    graph = None
-    for attempt in range(attempts):
-        new = neighbour_graph(reps, trees=TREES * (attempt + 1), rounds=ROUNDS + attempt, seed=attempt + 1)
-        graph = new if graph is None else kept(graph.union(new), "graph")
-        loose = component_of(graph.filter(F.col("sim") >= LOOSE).select("a", "b"), "loose")
-        members = loose.join(reps.select("id", "x", "copies"), "id").withColumn("load", F.lit(1))
-        found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "x"], _exact(threshold), "a long, b long, what int"), "links")
-        weight = kept(found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others")), "weights")
-        if recall(reps, weight, threshold=threshold) >= TARGET:
-            break
-    classes = component_of(found.filter("what = 0").select("a", "b"), "component")
-    per_rep = reps.join(classes, "id", "left").join(weight, "id", "left").select(
-        "g", "x", F.coalesce("component", "id").alias("component_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    with scratch_scope(vectors.sparkSession):
+        unit = kept(_unit(vectors), "unit", lasting=True)
+        reps = kept(unit.groupBy("g", "x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "reps")
+        graph = None
+        for attempt in range(attempts):
+            new = neighbour_graph(reps, trees=TREES * (attempt + 1), rounds=ROUNDS + attempt, seed=attempt + 1)
+            graph = new if graph is None else kept(graph.union(new), "graph")
+            loose = component_of(graph.filter(F.col("sim") >= LOOSE).select("a", "b"), "loose")
+            members = loose.join(reps.select("id", "x", "copies"), "id").withColumn("load", F.lit(1))
+            found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "x"], _exact(threshold), "a long, b long, what int"), "links")
+            weight = kept(found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others")), "weights")
+            if recall(reps, weight, threshold=threshold) >= TARGET:
+                break
+        classes = component_of(found.filter("what = 0").select("a", "b"), "component")
+        per_rep = kept(reps.join(classes, "id", "left").join(weight, "id", "left").select(
+            "g", "x", F.coalesce("component", "id").alias("component_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes", lasting=True)
     linked = unit.join(per_rep, ["g", "x"]).select(F.col("id").alias("vec_id"), "component_id", "n_links")
     ids = vectors.filter("vec_id is not null").select("vec_id").distinct()
     out = ids.join(linked, "vec_id", "left").select(
