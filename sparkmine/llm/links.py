@@ -44,7 +44,7 @@ def forest_between(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> t
         if (new == label).all():
             break
         label = new
-    first = part.argmax(axis=1)  # some right-hand partner of each row keeps the row in its tree
+    first = part.argmax(axis=1) if m else rows  # some right-hand partner of each row keeps the row in its tree
     a = np.concatenate([left[rows], right[cols]])
     b = np.concatenate([right[cols[first]], left[rows[other]]]) if n and m else a[:0]
     return a[: len(b)], b

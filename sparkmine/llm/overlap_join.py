@@ -3,9 +3,10 @@
 Texts with the same shingle set are one set with a multiplicity. A set is embedded as a fixed number of sampled
 tokens (minimum hashes). In every run a set follows each of its tokens whose hash, given the path so far, is below
 a bound: similar sets share such choices at every level. Paths that few sets share are compared at once, longer
-ones are split further along more chosen tokens, and the deepest are cut by a hash. Sets found to resemble each
-other form loose groups, inside which every pair is compared on the whole shingle sets, so links and their numbers
-are exact for all that the runs bring together.
+ones are split further along more chosen tokens, and the deepest are compared whole, tile by tile. Sets found to
+resemble each other form loose groups, inside which every pair is compared on the whole shingle sets, so links and
+their numbers are exact for all that the runs bring together. Probes against all sets audit the runs; more follow
+until the target is met.
 """
 
 from __future__ import annotations
@@ -28,9 +29,12 @@ SAMPLED, RUNS, DEPTH = 64, 8, 2
 #: similar sets share 0.8 * BRANCHING choices at first, and one choice on average where a crowded path is split further
 BRANCHING, DEEPER = 2.0, 1.25
 SMALL = 64          # sets on a path that are compared at once
-CHUNK = 512         # sets on a deepest path that are compared with each other
+CHUNK = 512         # sets on a deepest path that are compared at once; a longer path goes on to tiles
+TILE = 4096         # sets of one side of a tile
 LOOSE = 0.6         # sampled agreement that puts two sets into one group
 STRIPE = 1_500_000  # shingles that a task holds of one stripe
+#: sets of the audit (compared with all sets by their samples), the recall asked for, and the attempts
+PROBES, TARGET, ATTEMPTS = 1024, 0.995, 4
 SLICE = 1 << 20
 
 
@@ -109,15 +113,15 @@ def _tokens(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), SAMPLED)
 
 
-def _start(sets: DataFrame, runs_: int, branching: float) -> DataFrame:
-    """First level: every set takes part in every run."""
+def _start(sets: DataFrame, runs_: int, branching: float, first: int = 0) -> DataFrame:
+    """First level: every set takes part in every run; runs are numbered from ``first``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             sig, ids = _tokens(batch.column("sig")), batch.column("id").to_numpy()
-            for r in range(runs_):
+            for r in range(first, first + runs_):
                 row, path = _choose(sig, np.full(len(ids), r, dtype=U), branching)
                 yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row])], names=["path", "id"])
 
@@ -156,15 +160,51 @@ def _compare_paths(rows: DataFrame) -> DataFrame:
     return rows.select("path", "id", "sig").repartition("path").sortWithinPartitions("path").mapInArrow(run, "a long, b long")
 
 
-def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCHING, depth: int = DEPTH) -> DataFrame:
+def _compare_tiles(rows: DataFrame) -> DataFrame:
+    """The same for crowded paths, whole: all sets ``(path, id, unit, sig)`` of a path meet, unless their ``unit`` is equal.
+
+    Units are groups found before, whose sets need no edge between them any more. A unit that fills a tile on a path has
+    stripes of its own, which do not meet; smaller ones are pooled. A row travels once for every stripe it meets.
+    """
+    size = rows.groupBy("path", "unit").agg(F.count(F.lit(1)).alias("n"))
+    pool = size.groupBy("path").agg(F.greatest(F.ceil(F.sum(F.when(F.col("n") <= TILE, F.col("n"))) / TILE), F.lit(1)).alias("pool"))
+    own = F.when(F.col("n") > TILE, F.col("unit"))
+    stripe = F.when(own.isNotNull(), F.xxhash64("unit", F.pmod(F.xxhash64("id", F.lit(43)), F.ceil(F.col("n") / TILE)))).otherwise(
+        F.pmod(F.xxhash64("unit", F.lit(43)), F.coalesce("pool", F.lit(1))))
+    placed = kept(rows.drop("sig").join(size, ["path", "unit"]).join(pool, "path").select("path", "id", own.alias("own"), stripe.alias("stripe")), "placed")
+    stripes = placed.select("path", "stripe", "own").distinct()
+    a, b = (stripes.select("path", F.col("stripe").alias(k), F.col("own").alias(f"own_{k}")) for k in "ij")
+    pairs = a.join(b, "path").filter((F.col("i") <= F.col("j")) & ~F.coalesce(F.col("own_i") == F.col("own_j"), F.lit(False)))
+    side = lambda k, n: pairs.select("path", F.col(k).alias("stripe"), "i", "j", F.lit(n).alias("side"))
+    meet = side("i", 0).union(side("j", 1).filter("i < j"))
+    sent = placed.select("path", "id", "stripe").join(meet, ["path", "stripe"]).select("path", "i", "j", "side", "id")
+    keys = ["path", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, keys):
+            sig, ids, of = _tokens(table.column("sig").combine_chunks()), table.column("id").to_numpy(), table.column("side").to_numpy()
+            if table.column("i")[0] == table.column("j")[0]:
+                one, two = forest(ids, _agreement(sig, sig) >= LOOSE * SAMPLED)
+            else:
+                one, two = forest_between(ids[of == 0], ids[of == 1], _agreement(sig[of == 0], sig[of == 1]) >= LOOSE * SAMPLED)
+            if len(one):
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+
+    full = sent.join(rows.select("id", "sig").dropDuplicates(["id"]), "id").select(*keys, "side", "id", "sig")
+    return full.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
+def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCHING, depth: int = DEPTH, first: int = 0) -> DataFrame:
     """Edges between sets that share a chosen path and agree on most sampled tokens.
 
     A pair of similarity 0.8 shares no first choice in one run with probability exp(-0.8 * ``branching``), about 0.2;
-    ``runs_`` runs miss fewer than three pairs in a million. On a crowded path a shared choice is kept with probability
-    1 - exp(-1) a level, or in the same chunk of the last one; the groups that crowd a path are linked many times over.
+    ``runs_`` runs miss fewer than three pairs in a million while the paths are not crowded. On a crowded path a shared
+    choice is kept with probability 1 - exp(-1) a level: a pair all of whose paths are crowded is missed by about three
+    in ten thousand, however many sets are there. Paths still longer than ``CHUNK`` on the last level are compared in
+    chunks cut by a hash, which links the large groups, then whole between the groups; that is quadratic in their sets.
     """
     sig = sets.select("id", "sig")
-    level = kept(_start(sets, runs_, branching), "paths")
+    level = kept(_start(sets, runs_, branching, first), "paths")
     found = []
     for step in range(depth):
         size = level.groupBy("path").count().filter("count > 1")
@@ -181,7 +221,55 @@ def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCH
     edges = found[0]
     for e in found[1:]:
         edges = edges.union(e)
-    return edges
+    crowded = shared.filter(F.col("count") > CHUNK).select("path", "id")
+    if crowded.isEmpty():
+        return edges
+    unit = crowded.join(component_of(edges, "unit"), "id", "left").withColumn("unit", F.coalesce("unit", "id"))
+    return edges.union(kept(_compare_tiles(unit.join(sig, "id")).distinct(), "edges"))
+
+
+def recall(sets: DataFrame, loose: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES) -> float:
+    """Share of the pairs of ``probes`` hash-chosen sets with any set that ``loose (id, loose)`` holds in one group.
+
+    Pairs are those whose samples agree to ``threshold``. Every probe with a partner weighs the same; 1 without any.
+    """
+    grouped = kept(sets.select("id", "sig").join(loose, "id", "left"), "audited")
+    chosen = grouped.orderBy(F.xxhash64("id", F.lit(53)), "id").limit(probes).toArrow()
+    if not chosen.num_rows:
+        return 1.0
+    ids, groups = chosen.column("id").to_numpy(), chosen.column("loose").fill_null(-1).to_numpy()
+    alone, own = ~chosen.column("loose").is_valid().to_numpy(), _tokens(chosen.column("sig").combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        true, held = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                close = _agreement(own, _tokens(part.column("sig"))) >= threshold * SAMPLED
+                close &= ids[:, None] != part.column("id").to_numpy()[None]
+                group = part.column("loose").fill_null(-1).to_numpy(zero_copy_only=False)
+                together = (groups[:, None] == group[None]) & part.column("loose").is_valid().to_numpy(zero_copy_only=False)[None] & ~alone[:, None]
+                true += close.sum(axis=1)
+                held += (close & together).sum(axis=1)
+        some = true > 0
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(true[some]), pa.array(held[some])], names=["id", "true", "held"])
+
+    counted = grouped.mapInArrow(run, "id long, true long, held long").groupBy("id").agg((F.sum("held") / F.sum("true")).alias("share"))
+    share = counted.agg(F.avg("share")).first()[0]
+    return 1.0 if share is None else share
+
+
+def loose_groups(sets: DataFrame, *, threshold: float, runs_: int) -> DataFrame:
+    """``id, loose`` from as many runs as the audit asks for."""
+    edges = None
+    for attempt in range(ATTEMPTS):
+        new = loose_edges(sets, runs_=runs_, first=attempt * runs_)
+        edges = new if edges is None else edges.union(new)
+        loose = component_of(edges, "loose")
+        found = recall(sets, loose, threshold=threshold)
+        if found >= TARGET:
+            return loose
+    raise RuntimeError(f"{ATTEMPTS * runs_} runs bring {found:.4f} of the audited pairs together, {TARGET} are asked for")
 
 
 def _bits(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -266,7 +354,7 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
         key = ["n", "k1", "k2"]
         grouped = sketch.filter("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("r"), F.count(F.lit(1)).alias("copies"))
         sets = kept(grouped.select(*key, F.col("r.doc_id").alias("id"), "copies", F.col("r.sig").alias("sig")), "sets")
-        loose = component_of(loose_edges(sets, runs_=runs_), "loose").withColumnRenamed("id", "doc_id")
+        loose = loose_groups(sets, threshold=threshold, runs_=runs_).withColumnRenamed("id", "doc_id")
         chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
         # a shuffle join at every size: what is read again grows with the documents, not with the settings
         texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")

@@ -120,6 +120,41 @@ def test_jaccard_join_equals_brute_force(spark, planted, monkeypatch):
     assert read(overlap_join.jaccard_classes(frame(spark, planted))) == want
 
 
+def test_jaccard_join_compares_crowded_paths_whole(spark, monkeypatch):
+    """Near copies made of popular passages share only frequent shingles."""
+    rng = np.random.default_rng(11)
+    passages = [[f"p{k}w{i}" for i in range(30)] for k in range(24)]
+    rows = []
+    for k in range(350):
+        words_ = [w for p in sorted(rng.choice(24, 8, replace=False)) for w in passages[p]]
+        rows.append((k, " ".join(words_)))
+        if k < 50:
+            rows.append((1000 + k, " ".join([*words_[:-1], f"edit{k}"])))
+    monkeypatch.setattr(overlap_join, "SMALL", 8)
+    monkeypatch.setattr(overlap_join, "CHUNK", 8)
+    monkeypatch.setattr(overlap_join, "TILE", 8, raising=False)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["kept"]) for r in overlap_join.jaccard_classes(frame(spark, rows)).collect()}
+    assert got == classes(rows)
+
+
+def test_jaccard_audit_repeats_runs_or_fails(spark, monkeypatch):
+    text = prose(60)
+    rows = [(k, " ".join([*text, f"end{k}"])) for k in range(5)]
+    real, firsts = overlap_join.loose_edges, []
+
+    def blind(sets, *, first, **more):
+        firsts.append(first)
+        edges = real(sets, first=first, **more)
+        return edges if first else edges.limit(0)
+
+    monkeypatch.setattr(overlap_join, "loose_edges", blind)
+    got = {r["doc_id"]: r["class_id"] for r in overlap_join.jaccard_classes(frame(spark, rows)).collect()}
+    assert set(got.values()) == {0} and firsts == [0, overlap_join.RUNS]
+    monkeypatch.setattr(overlap_join, "loose_edges", lambda sets, **more: real(sets, **more).limit(0))
+    with pytest.raises(RuntimeError):
+        overlap_join.jaccard_classes(frame(spark, rows))
+
+
 def test_jaccard_odd_rows(spark):
     t = " ".join(prose(30))
     rows = [(1, t), (1, t), (None, t), (2, None), (3, t)]
