@@ -33,6 +33,7 @@ CHUNK = 512         # sets on a deepest path that are compared at once; a longer
 TILE = 4096         # sets of one side of a tile
 LOOSE = 0.6         # sampled agreement that puts two sets into one group
 STRIPE = 1_500_000  # shingles that a task holds of one stripe
+ROWS = 2048         # sets of one stripe, as a comparison holds rows x rows matrices
 #: sets of the audit (compared with all sets by their samples), the recall asked for, and the attempts
 PROBES, TARGET, ATTEMPTS = 1024, 0.995, 4
 SLICE = 1 << 20
@@ -358,7 +359,7 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
         chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
         # a shuffle join at every size: what is read again grows with the documents, not with the settings
         texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")
-        members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members")
+        members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members").withColumn("load", F.greatest("load", F.lit(-(-STRIPE // ROWS))))
         found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "tokens"], _exact(threshold), "a long, b long, what int"), "links")
         classes = component_of(found.filter("what = 0").select("a", "b"), "class_id")
         weight = found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others"))

@@ -137,6 +137,20 @@ def test_jaccard_join_compares_crowded_paths_whole(spark, monkeypatch):
     assert got == classes(rows)
 
 
+def test_stripes_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(overlap_join, "ROWS", 16, raising=False)
+    text, real, stripes = prose(25), overlap_join.tiled_links, []
+
+    def spy(members, group, load, limit, *more):
+        stripes.extend((r["n"], r["s"]) for r in members.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum(load) / limit).alias("s")).collect())
+        return real(members, group, load, limit, *more)
+
+    monkeypatch.setattr(overlap_join, "tiled_links", spy)
+    rows = [(k, " ".join([*text[:-1], f"end{k}"])) for k in range(60)]
+    got = {r["doc_id"]: r["n_links"] for r in overlap_join.jaccard_classes(frame(spark, rows)).collect()}
+    assert set(got.values()) == {59} and all(n <= 16 * s for n, s in stripes)
+
+
 def test_jaccard_audit_repeats_runs_or_fails(spark, monkeypatch):
     text = prose(60)
     rows = [(k, " ".join([*text, f"end{k}"])) for k in range(5)]
