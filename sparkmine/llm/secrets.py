@@ -25,7 +25,7 @@ KINDS = ("assign", "access", "hex", "guess")
 
 CONTEXT = re.compile(
     r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|bearer|auth)"""
-    r"""["']?[ \t]*(?:[:=]|\bis\b)[ \t]*["']?([^\s"'<>]{8,128})""", re.I | re.A)
+    r"""["']?[ \t]*(?:[:=]|\bis\b)[ \t]*["']?([^\s"'<>]{8,})""", re.I | re.A)
 #: log10 of the guesses above which a credential value counts as a secret
 MIN_COST = 10.0
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -34,15 +34,36 @@ WORDS = {w: k + 1 for k, w in enumerate((
     "change placeholder your here none null true false master root guest default hello world dragon monkey love "
     "name value string number required optional expired invalid reset forgot account email from").split())}
 DATE = re.compile(r"(?:19|20)\d{2}[-/.]?(?:0?[1-9]|1[0-2])[-/.]?(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/.](?:0?[1-9]|1[0-2])[-/.](?:19|20)?\d{2}|(?:19|20)\d{2}")
+VOWEL = re.compile(r"[aeiouyàáâäæèéêëìíîïòóôöøùúûü]", re.I)
+CLUSTER = re.compile(r"[b-df-hj-np-tv-xz]{6}", re.I)
 LEET = str.maketrans("013457@$", "oleastas")
 STRAIGHT = {a + b for row in ROWS for a, b in zip(row, row[1:])}
 WALK = STRAIGHT | {p[::-1] for p in STRAIGHT}
 
 
-def _spans(value: str) -> Iterator[tuple[int, int, float]]:
-    """Cheap spans of a value: ``(start, end, log10 guesses)``."""
+def _run(holds: list[bool]) -> list[int]:
+    """For each place how many places from there on hold without a break."""
+    out = [0] * (len(holds) + 1)
+    for i in range(len(holds) - 1, -1, -1):
+        out[i] = out[i + 1] + 1 if holds[i] else 0
+    return out
+
+
+def _one_word(value: str) -> float:
+    """log10 guesses of a value that reads as one word, or a few with hyphens; infinite for anything else."""
+    parts = re.split("[-'’]", value)
+    reads = lambda p: p.isalpha() and (p[1:].islower() or p.isupper()) and VOWEL.search(p) and not CLUSTER.search(p)
+    return 6.0 + 3.0 * (len(parts) - 1) if all(map(reads, parts)) else math.inf
+
+
+def _spans(value: str, period: int) -> Iterator[tuple[int, int, float]]:
+    """Cheap spans of a value: ``(start, end, log10 guesses)``; repeats have up to ``period`` characters."""
     low, n = value.lower(), len(value)
+    if len(low) != n:
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(LEET)
+    walk = _run([low[i] + low[i + 1] in WALK for i in range(n - 1)]) + [0]
+    same = {size: _run([value[i] == value[i + size] for i in range(n - size)]) for size in range(1, period + 1)}
     for i in range(n):
         for j in range(i + 2, min(n, i + 12) + 1):
             for text, extra in ((low, 0.0), (plain, 0.6)):
@@ -50,25 +71,25 @@ def _spans(value: str) -> Iterator[tuple[int, int, float]]:
                     yield i, j, math.log10(rank * 2) + extra + (0.0 if value[i:j] == low[i:j] else 0.3)
         if (m := DATE.match(value, i)):
             yield i, m.end(), 2.1 if m.end() - i == 4 else 4.6
-        j = i + 1
-        while j < n and low[j - 1] + low[j] in WALK:
-            j += 1
+        j = i + 1 + walk[i]
         if j - i >= 3:
             yield i, j, 2.0 + math.log10(j - i)
-        for size in range(1, n // 2 + 1):
-            j = i + size
-            while j < n and value[j] == value[j - size]:
-                j += 1
+        for size in range(1, min(period, n - i) + 1):
+            j = i + size + same[size][i]
             if j - i >= max(3, 2 * size):
                 yield i, j, size + math.log10((j - i) / size)
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses for the cheapest segmentation; any single character costs a factor of ten or more."""
+def guess_cost(value: str, limit: float = math.inf) -> float:
+    """log10 of the guesses for the cheapest segmentation; any single character costs a factor of ten or more.
+
+    With ``limit`` it is right as far as being below it goes: a repeat of so many characters costs more by itself,
+    so that only shorter ones are looked for and the time is linear in the length.
+    """
     n = len(value)
     best = [0.0] + [math.inf] * n
     by_end: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in _spans(value):
+    for i, j, cost in _spans(value, int(min(n // 2, math.ceil(limit)) if limit < math.inf else n // 2)):
         by_end.setdefault(j, []).append((i, cost))
     for j in range(1, n + 1):
         c = value[j - 1]
@@ -76,12 +97,7 @@ def guess_cost(value: str) -> float:
         best[j] = best[j - 1] + brute
         for i, cost in by_end.get(j, ()):
             best[j] = min(best[j], best[i] + cost)
-    return best[n]
-
-
-def looks_random(value: str) -> bool:
-    """Letters only are prose or a name; a secret mixes letters with digits or marks."""
-    return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+    return min(best[n], _one_word(value)) if n else 0.0
 
 
 def find(text: str, min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
@@ -90,12 +106,13 @@ def find(text: str, min_cost: float = MIN_COST) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    base = list(out)
     for m in CONTEXT.finditer(text):
         a, b = m.span(1)
         while b > a and text[b - 1] in ".,;:!?)":
             b -= 1
         value = text[a:b]
-        if len(value) >= 8 and looks_random(value) and not any(s < b and a < e for s, _, e in out) and guess_cost(value) >= min_cost:
+        if b - a >= 8 and not any(s <= a and b <= e for s, _, e in base) and guess_cost(text[a:b], min_cost) >= min_cost:
             out.append((a, 3, b))
     return sorted(out)
 

@@ -74,6 +74,16 @@ def test_secrets(spark, documents):
     assert secrets.scan(docs(spark, [])).count() == 0
 
 
+def test_secrets_are_found_whole():
+    rng = np.random.default_rng(8)
+    token = "".join(rng.choice(list("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), 360))
+    assert (8, 3, 368) in secrets.find(f"bearer: {token}")
+    assert secrets.find("password: Tr0ub4dor&3xKp9!q") == [(0, 0, 19), (10, 3, 27)]
+    assert secrets.find("pwd=XkQzPvRtYmNw") == [(4, 3, 16)] and secrets.find("pwd: Xk!Qz%Pv&RtYm") == [(5, 3, 18)]
+    assert secrets.find("the password is incorrect or the secret is well-known") == []
+    assert len(secrets.find("pwd: " + "z" * 200_000)) == 0
+
+
 def test_guess_cost_prefers_the_cheapest_cut():
     assert secrets.guess_cost("password") < secrets.guess_cost("passw0rd!") < secrets.guess_cost("x7Qp!vZ2k")
     assert secrets.guess_cost("aaaaaaaaaaaa") < 4 and secrets.guess_cost("qwertyuiop") < 4 and secrets.guess_cost("20191010") < 6
