@@ -94,11 +94,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = matches(docs, benchmark)
     near = found.filter("hits >= least(2, n_windows)")
     total = F.sum("hits").over(Window.partitionBy("doc_id", "item_id"))
-    passed = near.withColumn("total", F.least(total, F.col("n_windows"))).filter(
-        (F.col("total") >= F.ceil(COVERAGE * F.col("n_windows"))) | (F.col("total") >= ENOUGH))
+    enough = lambda t: (F.col(t) >= F.ceil(COVERAGE * F.col("n_windows"))) | (F.col(t) >= ENOUGH)
+    passed = near.withColumn("total", F.least(total, F.col("n_windows"))).filter(enough("total"))
+    # runs in document order that go on in the item are parts of one copy; a run that goes back begins another
+    order = Window.partitionBy("doc_id", "item_id").orderBy(F.col("shift") + F.col("first"), "shift")
+    back = F.coalesce((F.col("first") <= F.lag("last").over(order)).cast("int"), F.lit(0))
+    passed = passed.withColumn("back", back).withColumn("copy", F.sum("back").over(order)).drop("back")
+    own = F.sum("hits").over(Window.partitionBy("doc_id", "item_id", "copy"))
+    passed = passed.withColumn("own", F.least(own, F.col("n_windows")))
     passed = kept(passed, "matches")
     texts = docs.select("doc_id", F.col("text").alias("doc_text")).filter("doc_text is not null")
-    wanted = _small(kept(passed.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "first", "last", "total", "n_windows")).alias("p")), "wanted"))
+    wanted = _small(kept(passed.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "copy", "first", "last")).alias("p")), "wanted"))
     doc_side = texts.join(wanted, "doc_id").groupBy("doc_id").agg(F.min(F.struct("doc_text", "p")).alias("s")).select(
         "doc_id", tokens(F.col("s.doc_text"), fillers=True).alias("d"), F.explode("s.p").alias("p")).select("doc_id", "d", "p.*")
     items = benchmark.filter("item_id is not null").groupBy("item_id").agg(F.min("text").alias("item_text"))
@@ -109,17 +115,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slots = F.filter(
         F.transform(span, lambda i: F.struct(F.try_element_at("b", i).alias("b"), F.try_element_at("d", i + F.col("shift")).alias("d"))),
         lambda s: F.substring(s["b"], 1, 1).isin(NUMBER, NAME, UNIT) & (F.substring(s["b"], 1, 1) == F.substring(s["d"], 1, 1)))
-    aligned = both.select("doc_id", "item_id", "total", "n_windows", slots.alias("s"))
-    filled = aligned.select("doc_id", "item_id", F.explode("s").alias("s")).groupBy("doc_id", "item_id", "s.b").agg(
+    # every copy that is enough by itself is judged; all runs together (copy -1) only where none is
+    each = F.explode(F.array(F.col("copy"), F.lit(-1)))
+    key = ["doc_id", "item_id", "copy"]
+    aligned = both.select(*key, slots.alias("s")).withColumn("copy", each)
+    filled = aligned.select(*key, F.explode("s").alias("s")).groupBy(*key, "s.b").agg(
         F.count_distinct("s.d").alias("values"), F.min(F.col("s.d")).alias("value"), F.count(F.lit(1)).alias("times"))
-    kinds = filled.groupBy("doc_id", "item_id").agg(
+    kinds = filled.groupBy(*key).agg(
         F.avg(F.when(F.col("times") > 1, (F.col("values") == 1).cast("double"))).alias("consistent"),
         F.min(((F.col("values") == 1) & (F.col("value") == F.col("b"))).cast("int")).alias("same"))
-    pairs = passed.groupBy("doc_id", "item_id").agg(F.max("total").alias("total"), F.max("n_windows").alias("n_windows"))
-    judged = pairs.join(kinds, ["doc_id", "item_id"], "left").filter(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
+    copies = passed.select("doc_id", "item_id", "total", "n_windows", "own", each.alias("copy")).groupBy(*key).agg(
+        F.max("total").alias("total"), F.max("n_windows").alias("n_windows"), F.max("own").alias("own"))
+    good = copies.filter((F.col("copy") < 0) != enough("own")).join(kinds, key, "left").filter(F.coalesce("consistent", F.lit(1.0)) >= CONSISTENT)
+    judged = good.groupBy("doc_id", "item_id").agg(
+        F.max("total").alias("total"), F.max("n_windows").alias("n_windows"), F.max(F.coalesce("same", F.lit(1))).alias("same"))
     return judged.select(
         "doc_id", "item_id", F.round(F.col("total") / F.col("n_windows"), 6).alias("coverage"), F.col("n_windows").cast("long").alias("n_windows"),
-        F.when(F.coalesce("same", F.lit(1)) == 1, "exact").otherwise("reparameterised").alias("kind"))
+        F.when(F.col("same") == 1, "exact").otherwise("reparameterised").alias("kind"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -214,6 +214,17 @@ def test_leaks(spark):
     assert decontaminate.leaks(frame(spark, []), bench).count() == 0 and decontaminate.leaks(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_judge_each_copy_of_an_item(spark):
+    bench = spark.createDataFrame([(1, ITEMS[0][1])], "item_id long, text string")
+    one = ITEMS[0][1]
+    two = "If 7 workers build a wall of 45 m in 7 days, how long do 21 workers need for the same wall in Paris?"
+    three = "If 5 workers build a wall of 60 m in 5 days, how long do 25 workers need for the same wall in Rome?"
+    bad = "If 7 workers build a wall of 45 m in 9 days, how long do 21 workers need for the same wall in Paris?"
+    rows = [(1, f"{one} {two}"), (2, f"{two} {three}"), (3, f"{bad} {bad}"), (4, f"{two} {one}")]
+    got = {r["doc_id"]: r["kind"] for r in decontaminate.leaks(frame(spark, rows), bench).collect()}
+    assert got == {1: "exact", 2: "reparameterised", 4: "exact"}
+
+
 def test_leaks_find_the_planted_items(spark):
     sf = "/root/testdata/sf0.01"
     docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
