@@ -273,6 +273,44 @@ def _(spark, d):
     return linkage.average_linkage(embeddings(spark, d), id_col="id", x_col="x", k=5)
 
 
-@check("linkage_sweep", "k:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b")
+# one pair merges a step; a recursion step sees the labels of the step before
+_APART = "dist AS MATERIALIZED (SELECT a.id AS a, b.id AS b, sqrt((a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2) AS d FROM plane a JOIN plane b ON a.id <> b.id)"
+_LINKED = f"""{_APART}, steps(step, id, cluster) AS (SELECT 0, id, id FROM plane UNION ALL
+    SELECT s.step + 1, s.id, CASE WHEN s.cluster = m.b THEN m.a ELSE s.cluster END
+    FROM steps s, (SELECT x.cluster AS a, y.cluster AS b FROM steps x JOIN dist ON dist.a = x.id JOIN steps y ON dist.b = y.id WHERE x.cluster < y.cluster
+      GROUP BY 1, 2 ORDER BY avg(d), 1, 2 LIMIT 1) m),
+  cuts AS (SELECT n - step AS k, id, dense_rank() OVER (PARTITION BY step ORDER BY cluster) - 1 AS cluster FROM steps, (SELECT count(*) AS n FROM plane) t)"""
+# scores of labelled rows lab (k, id, cluster) of the plane
+_SCORED = """per AS (SELECT l.k, l.id, l.cluster, o.cluster AS other, avg(d) AS m FROM lab l JOIN dist ON dist.a = l.id JOIN lab o ON o.k = l.k AND o.id = dist.b GROUP BY 1, 2, 3, 4),
+  ab AS (SELECT k, id, max(CASE WHEN other = cluster THEN m END) AS a, min(CASE WHEN other <> cluster THEN m END) AS b FROM per GROUP BY 1, 2),
+  sil AS (SELECT k, avg(CASE WHEN a IS NULL OR greatest(a, coalesce(b, a)) = 0 THEN 0 ELSE (coalesce(b, a) - a) / greatest(a, coalesce(b, a)) END) AS silhouette FROM ab GROUP BY k),
+  cen AS (SELECT k, cluster, avg(x1) AS c1, avg(x2) AS c2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1, 2),
+  mid AS (SELECT k, avg(x1) AS g1, avg(x2) AS g2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1),
+  far AS (SELECT k, cluster, avg(sqrt((x1 - c1) ** 2 + (x2 - c2) ** 2)) AS s, sum((x1 - c1) ** 2 + (x2 - c2) ** 2) AS w FROM lab JOIN plane USING (id) JOIN cen USING (k, cluster) GROUP BY 1, 2),
+  ch AS (SELECT k, (sum(cen.n * ((c1 - g1) ** 2 + (c2 - g2) ** 2)) / (count(*) - 1)) / (sum(w) / (max(mid.n) - count(*))) AS ch FROM cen JOIN far USING (k, cluster) JOIN mid USING (k) GROUP BY k),
+  worst AS (SELECT a.k, a.cluster, max((fa.s + fb.s) / sqrt((a.c1 - b.c1) ** 2 + (a.c2 - b.c2) ** 2)) AS r FROM cen a JOIN cen b ON a.k = b.k AND a.cluster <> b.cluster
+    JOIN far fa ON fa.k = a.k AND fa.cluster = a.cluster JOIN far fb ON fb.k = b.k AND fb.cluster = b.cluster GROUP BY 1, 2),
+  db AS (SELECT k, avg(r) AS db FROM worst GROUP BY k),
+  scored AS (SELECT k, silhouette, ch AS calinski_harabasz, db AS davies_bouldin FROM sil JOIN ch USING (k) JOIN db USING (k))"""
+
+
+@check("average_linkage_users", "id:i cluster:i", f"WITH RECURSIVE {USER_PLANE}, {_LINKED} SELECT id, cluster FROM cuts WHERE k = 5")
+def _(spark, d):
+    return linkage.average_linkage(user_plane(spark, d), id_col="id", x_col="x", k=5)
+
+
+@check("linkage_heights", "a:i b:i height:6", f"""WITH RECURSIVE {USER_PLANE}, {_LINKED},
+  joined AS (SELECT o.step, o.cluster AS a, o2.cluster AS b FROM (SELECT DISTINCT step, cluster FROM steps) o JOIN (SELECT DISTINCT step, cluster FROM steps) o2
+    ON o.step = o2.step AND o.cluster < o2.cluster JOIN (SELECT s.step, s.cluster AS was, t.cluster AS now FROM steps s JOIN steps t ON t.step = s.step + 1 AND t.id = s.id
+      WHERE s.cluster <> t.cluster GROUP BY ALL) m ON m.step = o.step AND m.was = o2.cluster AND m.now = o.cluster)
+  SELECT j.a, j.b, avg(d) AS height FROM joined j JOIN steps x ON x.step = j.step AND x.cluster = j.a JOIN steps y ON y.step = j.step AND y.cluster = j.b
+    JOIN dist ON dist.a = x.id AND dist.b = y.id GROUP BY j.step, j.a, j.b""")
+def _(spark, d):
+    return linkage.dendrogram(user_plane(spark, d), id_col="id", x_col="x")
+
+
+@check("linkage_sweep", "k:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b", f"""WITH RECURSIVE {USER_PLANE}, {_LINKED},
+  lab AS (SELECT * FROM cuts WHERE k IN (2, 3, 4)), {_SCORED}
+  SELECT *, k = first_value(k) OVER (ORDER BY silhouette DESC, k) AS is_best FROM scored""")
 def _(spark, d):
     return linkage.sweep_linkage(user_plane(spark, d), id_col="id", x_col="x", ks=(2, 3, 4))

@@ -1,128 +1,194 @@
-"""Average-linkage agglomeration by rounds of mutual-nearest-neighbour merges."""
+"""Average-linkage agglomeration by rounds of mutual-nearest-neighbour merges.
+
+Distances are taken once. From then on every cluster is a row that holds its sums of distances to all live clusters, its
+nearest cluster and the height of that merge: sums of merged clusters add up, so a round adds rows and columns together
+and looks for a new nearest only where a cluster, or its nearest, has merged.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
 from sparkmine.lineage import cut, scoped, small_table
-from sparkmine.operators.blocks import Block, chunked_rows, cluster_blocks, every_pair, join_blocks
+from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, every_pair, join_blocks
 from sparkmine.operators.cluster_quality import mark_best, scores
 from sparkmine.operators.components import number_by_order
 
-FEW = 256  # clusters whose pairwise sums the driver may hold
+FEW = 32  # clusters whose last merges one task makes
 MERGES = "height double, a bigint, b bigint, round int"
-
-
-def _block_sums(members: DataFrame, n: int, width: int, biggest: int, all_sums: bool) -> DataFrame:
-    """Cross-pair distance sums ``(cluster, other, size, other_size, total)``.
-
-    ``members`` is ``(id, x, cluster, size)``. A cluster up to the block limit lives in
-    one block, so its mean distance to another such cluster is known inside one task
-    and only the best candidate leaves it (all of them with ``all_sums``). A larger
-    cluster is cut into parts whose sums are added up afterwards.
-    """
-    blocks, limit = cluster_blocks(members, n, width)
-
-    def average(q: Block, c: Block) -> pd.DataFrame:
-        qa, q_start, q_n = np.unique(q.tags, return_index=True, return_counts=True)
-        ca, c_start, c_n = np.unique(c.tags, return_index=True, return_counts=True)
-        q_size, c_size = q.vals[q_start], c.vals[c_start]
-        total = np.zeros((len(qa), len(ca)))
-        code = np.repeat(np.arange(len(qa)), q_n)
-        for s in chunked_rows(len(q.ids), len(c.ids)):
-            owners, first = np.unique(code[s], return_index=True)
-            total[owners] += np.add.reduceat(np.add.reduceat(distances(q.xs[s], c.xs), c_start, axis=1), first, axis=0)
-        apart = qa[:, None] != ca[None, :]
-        wanted = apart.copy()
-        if not all_sums:
-            whole = apart & (q_n == q_size)[:, None] & (c_n == c_size)[None, :]
-            mean = np.where(whole, total / (q_size[:, None] * c_size[None, :]), np.inf)
-            wanted = apart & ~whole
-            rows, best = np.arange(len(qa)), mean.argmin(axis=1)
-            found = np.isfinite(mean[rows, best])
-            wanted[rows[found], best[found]] = True
-        r, k = np.nonzero(wanted)
-        return pd.DataFrame({
-            "cluster": qa[r], "other": ca[k], "size": q_size[r].astype(np.int64), "other_size": c_size[k].astype(np.int64),
-            "total": total[r, k],
-        })
-
-    tiles = join_blocks(blocks, blocks, every_pair(blocks, blocks), average,
-                        "cluster bigint, other bigint, size bigint, other_size bigint, total double")
-    if biggest <= limit:  # no cluster is split, every sum is already complete
-        return tiles
-    return tiles.groupBy("cluster", "other", "size", "other_size").agg(F.sum("total").alias("total"))
-
-
-def _mutual_pairs(sums: DataFrame, turn: int) -> DataFrame:
-    """Pairs that are each other's nearest: ``(height, a, b, round, merged)``."""
-    height = F.col("total") / (F.col("size") * F.col("other_size"))
-    # equal heights: the pair with the lowest ids goes first, seen from both sides
-    rank = F.struct(height, F.least("cluster", "other"), F.greatest("cluster", "other"))
-    best = F.struct(F.greatest("cluster", "other").alias("b"), F.least("cluster", "other").alias("a"), height.alias("height"),
-                    (F.col("size") + F.col("other_size")).alias("merged"))
-    near = sums.groupBy("cluster").agg(F.min_by(best, rank).alias("m"))
-    # both ends chose the pair exactly when it shows up twice
-    return near.groupBy("m.a", "m.b").agg(
-        F.min("m.height").alias("height"), F.max("m.merged").alias("merged"), F.count(F.lit(1)).alias("votes")
-    ).filter("votes = 2").select("height", "a", "b", F.lit(turn).alias("round"), "merged")
-
-
-def _finish(sums: pd.DataFrame, turn: int) -> list[tuple]:
-    """Remaining merges of at most ``FEW`` clusters, from their pairwise sums."""
-    names = np.unique(sums["cluster"])
-    total, size = np.full((len(names), len(names)), np.inf), np.ones(len(names))
-    row, col = np.searchsorted(names, sums["cluster"]), np.searchsorted(names, sums["other"])
-    total[row, col] = sums["total"]
-    size[row] = sums["size"]
-    out = []
-    for _ in range(len(names) - 1):
-        mean = total / (size[:, None] * size[None, :])
-        i, j = sorted(np.unravel_index(mean.argmin(), mean.shape))
-        out.append((float(mean[i, j]), int(names[i]), int(names[j]), turn))
-        total[i] += total[j]
-        total[:, i] = total[i]
-        total[i, i] = np.inf
-        total[j] = total[:, j] = np.inf
-        size[i] += size[j]
-    return out
+STATE = "cluster bigint, size bigint, near bigint, height double, totals binary"
+
+
+@dataclass
+class Live:
+    """Clusters in the order of the sums, with their sizes: as long as one row of the sums."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+
+    def nearest(self, cluster: np.ndarray, size: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest cluster and mean distance of each row; of equal ones the lowest id, so that both ends agree on a pair."""
+        mean = totals / (size[:, None] * self.sizes[None])
+        rows = np.arange(len(cluster))
+        mean[rows, np.searchsorted(self.ids, cluster)] = np.inf
+        best = mean.argmin(axis=1)
+        return self.ids[best], mean[rows, best]
+
+
+def _first_sums(points: DataFrame, live: Live) -> DataFrame:
+    """The state of single rows: every distance once, block pair by block pair."""
+    blocks = build_blocks(points, "id", "x", pivots=np.zeros((0, 0)))
+
+    def part(q: Block, c: Block) -> pd.DataFrame:
+        place = np.searchsorted(live.ids, c.ids).astype(np.int32).tobytes()
+        rows = [d.tobytes() for s in chunked_rows(len(q.ids), len(c.ids)) for d in distances(q.xs[s], c.xs)]
+        return pd.DataFrame({"cluster": q.ids, "place": [place] * len(rows), "part": rows})
+
+    parts = join_blocks(blocks, blocks, every_pair(blocks, blocks), part, "cluster bigint, place binary, part binary")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, row = None, np.zeros(0)
+
+        def told() -> pa.RecordBatch:
+            one = np.ones(1, dtype=np.int64)
+            near, height = live.nearest(np.array([at]), one, row[None])
+            return _batch(np.array([at]), one, near, height, row[None])
+
+        for batch in batches:
+            for cluster, place, piece in zip(batch.column("cluster").to_pylist(), batch.column("place"), batch.column("part")):
+                if cluster != at:
+                    if at is not None:
+                        yield told()
+                    at, row = cluster, np.zeros(len(live.ids))
+                row[np.frombuffer(place.as_buffer(), dtype=np.int32)] = np.frombuffer(piece.as_buffer())
+        if at is not None:
+            yield told()
+
+    return parts.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(whole, STATE)
+
+
+def _batch(cluster: np.ndarray, size: np.ndarray, near: np.ndarray, height: np.ndarray, totals: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cluster), pa.array(size), pa.array(near), pa.array(height), pa.array([t.tobytes() for t in totals], pa.binary())],
+        names=["cluster", "size", "near", "height", "totals"])
+
+
+def _read(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
+    cluster, size, near, height = (batch.column(c).to_numpy() for c in ("cluster", "size", "near", "height"))
+    return cluster, size, near, height, np.frombuffer(b"".join(batch.column("totals").to_pylist())).reshape(-1, width)
+
+
+def _mutual(state: DataFrame) -> DataFrame:
+    """Pairs that are each other's nearest: ``(height, a, b)``. Both ends chose a pair exactly when it shows up twice."""
+    return state.groupBy(F.least("cluster", "near").alias("a"), F.greatest("cluster", "near").alias("b")).agg(
+        F.min("height").alias("height"), F.count(F.lit(1)).alias("votes")).filter("votes = 2").select("height", "a", "b")
+
+
+def _merged(state: DataFrame, live: Live, a: np.ndarray, b: np.ndarray) -> tuple[DataFrame, Live]:
+    """The state after merging every ``b`` into its ``a``: columns are added in place, rows after one exchange."""
+    at_a, at_b = np.searchsorted(live.ids, a), np.searchsorted(live.ids, b)
+    sizes = live.sizes.copy()
+    sizes[at_a] += sizes[at_b]
+    after = Live(np.delete(live.ids, at_b), np.delete(sizes, at_b))
+    order = np.argsort(b)
+    from_b, to_a = b[order], a[order]
+    moved = np.sort(np.concatenate([a, b]))
+    width = len(live.ids)
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cluster, size, near, height, totals = _read(batch, width)
+            totals = totals.copy()
+            totals[:, at_a] += totals[:, at_b]
+            totals = np.delete(totals, at_b, axis=1)
+            stale = np.isin(cluster, moved) | np.isin(near, moved)
+            k = np.minimum(np.searchsorted(from_b, cluster), len(from_b) - 1)
+            into = np.where(from_b[k] == cluster, to_a[k], cluster)
+            yield _batch(into, size, np.where(stale, -1, near), np.where(stale, np.nan, height), totals)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+
+        def added(batch: pa.RecordBatch) -> pa.RecordBatch:
+            cluster, size, near, height, totals = _read(batch, len(after.ids))
+            first = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1]])
+            cluster, near, height = cluster[first], near[first].copy(), height[first].copy()
+            size, totals = np.add.reduceat(size, first), np.add.reduceat(totals, first, axis=0)
+            again = np.flatnonzero(np.isnan(height))
+            if len(again) and len(after.ids) > 1:
+                near[again], height[again] = after.nearest(cluster[again], size[again], totals[again])
+            return _batch(cluster, size, near, height, totals)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            cluster = batch.column("cluster").to_numpy()
+            last = int(np.searchsorted(cluster, cluster[-1]))  # a pair may go on in the next batch
+            if last:
+                yield added(batch.slice(0, last))
+            held = batch.slice(last)
+        if held is not None:
+            yield added(held)
+
+    return state.mapInArrow(columns, STATE).repartition("cluster").sortWithinPartitions("cluster").mapInArrow(rows, STATE), after
+
+
+def _finish(state: DataFrame, live: Live, turn: int) -> DataFrame:
+    """The merges of the last few clusters, by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cluster, size, _, _, total = (np.concatenate(x) for x in zip(*(_read(b, len(live.ids)) for b in batches if b.num_rows)))
+        order = np.argsort(cluster)
+        names, size, total = cluster[order], size[order].astype(float), total[order].copy()
+        np.fill_diagonal(total, np.inf)
+        out = []
+        for _ in range(len(names) - 1):
+            mean = total / (size[:, None] * size[None, :])
+            i, j = sorted(np.unravel_index(mean.argmin(), mean.shape))
+            out.append((float(mean[i, j]), int(names[i]), int(names[j]), turn))
+            total[i] += total[j]
+            total[:, i] = total[i]
+            total[i, i] = np.inf
+            total[j] = total[:, j] = np.inf
+            size[i] += size[j]
+        yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["height", "a", "b", "round"]).astype({"round": "int32"}), preserve_index=False)
+
+    return state.coalesce(1).mapInArrow(run, MERGES)
 
 
 def dendrogram(df: DataFrame, *, id_col: str, x_col: str) -> DataFrame:
     """All ``n - 1`` merges ``(height, a, b, round)``; ``b`` joins ``a``, the smaller id.
 
-    Average linkage is reducible, so every mutual-nearest pair can merge in the same
-    round and the tree equals the one built a merge at a time. Once ``FEW`` clusters
-    are left, their small table of sums finishes the tree.
+    Average linkage is reducible, so every mutual-nearest pair can merge in the same round and the tree equals the one
+    built a merge at a time. The last ``FEW`` clusters are merged by one task. Up to one row there is nothing to merge.
     """
-    members = cut(df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"),
-        F.col(id_col).cast("bigint").alias("cluster"), F.lit(1).cast("bigint").alias("size"),
-    ))
-    n, width = members.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    points = cut(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x")))
+    ids = np.sort(points.select("id").toArrow().column("id").to_numpy())
+    live = Live(ids, np.ones(len(ids), dtype=np.int64))
     spark = df.sparkSession
-    rounds, left, turn, biggest = [], n, 0, 1
-    while left > FEW:
+    if len(ids) < 2:
+        return small_table(spark, [], MERGES)
+    state, found, turn = cut(_first_sums(points, live)), [], 0
+    while len(live.ids) > FEW:
         turn += 1
-        mutual = cut(_mutual_pairs(_block_sums(members, n, width, biggest, False), turn))
-        merged, top = mutual.agg(F.count(F.lit(1)), F.max("merged")).first()
-        left, biggest = left - merged, max(biggest, top)
-        rounds.append(mutual.select("height", "a", "b", "round"))
-        moves = mutual.select(F.explode(F.array("a", "b")).alias("cluster"), "a", "merged")
-        members = members.join(moves, "cluster", "left").select(
-            "id", "x", F.coalesce("a", "cluster").alias("cluster"), F.coalesce("merged", "size").alias("size")
-        )
-        if turn % 4 == 0:
-            members = cut(members)
-    rest = _finish(_block_sums(members, n, width, biggest, True).toPandas(), turn + 1) if left > 1 else []
-    return reduce(DataFrame.union, rounds, small_table(spark, rest, MERGES))
+        pairs = _mutual(state).toArrow()
+        found += [(h, a, b, turn) for h, a, b in zip(*(pairs.column(c).to_pylist() for c in ("height", "a", "b")))]
+        merged, live = _merged(state, live, pairs.column("a").to_numpy(), pairs.column("b").to_numpy())
+        state = cut(merged)
+    merges = small_table(spark, found, MERGES)
+    return merges.union(cut(_finish(state, live, turn + 1))) if len(live.ids) > 1 else merges
 
 
 def cut_tree(df: DataFrame, merges: DataFrame, *, id_col: str, k: int) -> DataFrame:
