@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -28,8 +29,8 @@ from sparkmine.lineage import scratch_scope
 from sparkmine.llm.common import kept, slices
 
 CAPACITY, END = 2048, 1
-#: bytes of text tokenised at a time, words remembered between them (some hundred bytes each)
-SLICE, CACHE = 1 << 20, 250_000
+#: bytes of text tokenised at a time, words remembered between them (some two hundred bytes each)
+SLICE, CACHE = 1 << 20, 600_000
 
 #: blanks that the split of a text must leave to the tokenizer, as not everyone takes them for blanks
 ODD_BLANK = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -53,40 +54,40 @@ class Ids(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.part: dict[str, bytes] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
         self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         for probe in ("It's 12 O'Clock!? don't,", "Ünïcödé ÀÉ ½x²", "a<|b", "x" * 300):
-            if b"".join(map(self.__getitem__, probe.split())) != self.library(probe):
+            if self.encode(probe).tobytes() != self.library(probe):
                 raise ValueError("this tokenizer splits texts in a way that is not supported")
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if SIMPLE.fullmatch(word) is None or any(s in word for s in self.special):
+        if SIMPLE.fullmatch(word) is None:
             found = self.library(word)
         else:
-            part = self.part
-            found = b"".join([part.get(p) or self._ids(p) for p in PARTS.findall(word.lower())])
+            low = word.lower()
+            parts = [low] if low.isalpha() else PARTS.findall(low)
+            if len(parts) == 1 and parts[0] == word:
+                text = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+                found = array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
+            else:
+                found = b"".join([self[p] for p in parts])
         self[word] = found
         return found
 
-    def _ids(self, part: str) -> bytes:
-        text = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-        found = self.part[part] = np.array([t.id for t in self.model.tokenize(text)], dtype=self.dtype).tobytes()
-        return found
-
     def encode(self, text: str) -> np.ndarray:
+        if any([s in text for s in self.special]):
+            return np.frombuffer(self.library(text), dtype=self.dtype)
         words = text.split() if ODD_BLANK.search(text) is None else PLAIN_BLANK.split(text)
         return np.frombuffer(b"".join(map(self.__getitem__, words)), dtype=self.dtype)
 
     def shrink(self) -> None:
         if len(self) > CACHE:
             self.clear()
-        if len(self.part) > CACHE:
-            self.part.clear()
 
 
 @lru_cache(maxsize=1)
@@ -265,7 +266,6 @@ def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = END
     Sequences are numbered from 0; all are full, but for fewer than a dozen whose length is a smaller power of two. Rows that
     repeat a doc_id, and rows without one, are documents of their own; an empty table gives no rows.
     """
-    dtype = np.dtype("<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4")
     with scratch_scope(docs.sparkSession):
         told = kept(items(docs, path, capacity=capacity, end=end), "items", lasting=True)
         rests = told.filter("length > 0")
@@ -275,7 +275,7 @@ def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end: int = END
     shelf = docs.sparkSession.sparkContext.broadcast(shelves(slots))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_length = shelf.value
+        by_length, dtype = shelf.value, word_ids(path).dtype
         for batch in batches:
             length, rank, whole = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank", "doc_tokens"))
             row, piece = [], []
