@@ -21,10 +21,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     signature = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("bigint"))).first()
     was = signature(e)
     while was[0]:
-        # large star: link every larger neighbour of u to the minimum around u
+        # large star: link the larger end of every edge to the minimum around the smaller one
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "w")
+        large = e.join(low, e["v"] == low["w"]).select("u", F.col("m").alias("v")).distinct()
         # small star: link the smaller neighbours of u, and u itself, to their minimum
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u")
