@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from queries.base import EMB, EMB_PAIRS, THREE, check, embeddings, sql_key, sql_uniform, table, three_class
+from queries.distances import _poisson_sql
 from sparkmine.functions.keys import hash_key, uniform
 from sparkmine.lineage import cut, scratch_path
-from sparkmine.operators import classify, metrics, reduction, trees, tuning
+from sparkmine.operators import classify, metrics, reduction, stacked, trees, tuning
 from sparkmine.operators.sampling import fold_of, stratified_split
 from sparkmine.sources import tables as sources
 
@@ -71,7 +72,79 @@ def _(spark, d):
     return stump.predict(t)
 
 
-@check("tree_exact", "node:i depth:i size:i majority:s feature:s threshold:4 n_children:i")
+def _grown_sql(levels, numeric, categorical, chosen=None):
+    """Levels of trees over ``st0 (tree, node, w, id, label, columns...)``: nodes ``nd0..``, edges ``ed0..`` and the rows on every level."""
+    order = sorted([*numeric, *categorical]) if chosen else [*numeric, *categorical]
+    place = "CASE feature " + " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(order)) + " END"
+    gini = lambda side: "(1 - " + " - ".join(f"({side}{i} / {side}n) ** 2" for i in range(3)) + ")"
+    counts = ", ".join(f"coalesce(sum(w) FILTER (label = {i}), 0) AS c{i}" for i in range(3))
+    key = "CASE " + " ".join(f"WHEN feature = '{f}' THEN CASE WHEN {f} < threshold THEN 'l' WHEN {f} >= threshold THEN 'ge' END" for f in numeric) + " ".join(
+        f" WHEN feature = '{f}' THEN coalesce('=' || {f}, '?')" for f in categorical) + " END"
+    offered = f"SEMI JOIN {chosen} USING (tree, feature)" if chosen else ""
+    out = []
+    for d in range(levels + 1):
+        out.append(f"""mx{d} AS MATERIALIZED (SELECT tree, node, {counts} FROM st{d} GROUP BY 1, 2),
+          nd{d} AS MATERIALIZED (SELECT tree, node, {d} AS depth, c0 + c1 + c2 AS size, greatest(c0, c1, c2) < c0 + c1 + c2 AS impure,
+            CASE WHEN c0 = greatest(c0, c1, c2) THEN 0 WHEN c1 = greatest(c0, c1, c2) THEN 1 ELSE 2 END AS majority FROM mx{d})""")
+        if d == levels:
+            break
+        melt = " UNION ALL ".join(f"SELECT tree, node, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, w, id, label FROM so{d} WHERE {f} IS NOT NULL" for f in numeric)
+        cats = "".join(f" UNION ALL SELECT tree, node, '{f}' AS feature, coalesce('=' || {f}, '?') AS value, w, label FROM so{d}" for f in categorical)
+        out.append(f"""so{d} AS MATERIALIZED (SELECT s.* FROM st{d} s SEMI JOIN (SELECT tree, node FROM nd{d} WHERE impure AND size >= 2) o USING (tree, node)),
+          lo{d} AS (SELECT * FROM ({melt}) {offered}),
+          va{d} AS (SELECT tree, node, feature, value, arg_min(label, id) AS fl, arg_max(label, id) AS ll, {counts} FROM lo{d} GROUP BY 1, 2, 3, 4),
+          ru{d} AS (SELECT tree, node, feature, value, ll, lead(value) OVER v AS nv, lead(fl) OVER v AS nl,
+            {', '.join(f'CAST(sum(c{i}) OVER v AS DOUBLE) AS l{i}, CAST(sum(c{i}) OVER (PARTITION BY tree, node, feature) - sum(c{i}) OVER v AS DOUBLE) AS r{i}' for i in range(3))}
+            FROM va{d} WINDOW v AS (PARTITION BY tree, node, feature ORDER BY value)),
+          cu{d} AS (SELECT *, l0 + l1 + l2 AS ln, r0 + r1 + r2 AS rn FROM ru{d} WHERE ll <> nl),
+          ca{d} AS (SELECT tree, node, feature, value, CAST(c0 AS DOUBLE) AS l0, CAST(c1 AS DOUBLE) AS l1, CAST(c2 AS DOUBLE) AS l2, CAST(c0 + c1 + c2 AS DOUBLE) AS ln
+            FROM (SELECT tree, node, feature, value, {counts} FROM (SELECT NULL AS tree, NULL AS node, NULL AS feature, NULL AS value, NULL AS w, NULL AS label WHERE FALSE{cats}) {offered} GROUP BY 1, 2, 3, 4) x),
+          al{d} AS (SELECT tree, node, feature, (value + nv) / 2 AS threshold, (ln * {gini('l')} + rn * {gini('r')}) / (ln + rn) AS impurity FROM cu{d}
+            UNION ALL SELECT tree, node, feature, NULL, sum(ln * {gini('l')}) / sum(ln) FROM ca{d} GROUP BY 1, 2, 3 HAVING count(*) > 1),
+          be{d} AS MATERIALIZED (SELECT tree, node, feature, threshold FROM al{d} QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY round(impurity, 12), {place}, threshold) = 1),
+          ke{d} AS (SELECT * FROM (SELECT s.*, {key} AS key FROM so{d} s JOIN be{d} USING (tree, node)) WHERE key IS NOT NULL),
+          ed{d} AS MATERIALIZED (SELECT k.tree, node, key, last + row_number() OVER (PARTITION BY k.tree ORDER BY node, CASE WHEN key IN ('l', '?') THEN 0 ELSE 1 END, key) AS child
+            FROM (SELECT DISTINCT tree, node, key FROM ke{d}) k JOIN (SELECT tree, max(node) AS last FROM nd{d} GROUP BY 1) m ON m.tree = k.tree),
+          st{d + 1} AS MATERIALIZED (SELECT k.* REPLACE (e.child AS node) EXCLUDE (key) FROM ke{d} k JOIN ed{d} e ON e.tree = k.tree AND e.node = k.node AND e.key = k.key)""".replace(
+            "k.* REPLACE (e.child AS node) EXCLUDE (key)", "k.* EXCLUDE (key) REPLACE (e.child AS node)"))
+    return ",\n".join(out)
+
+
+def _nodes_sql(levels):
+    return " UNION ALL ".join(
+        f"SELECT tree, node, depth, size, majority, feature, threshold, coalesce(n, 0) AS n_children FROM nd{d} LEFT JOIN be{d} USING (tree, node) LEFT JOIN (SELECT tree, node, count(*) AS n FROM ed{d} GROUP BY 1, 2) USING (tree, node)"
+        for d in range(levels)) + f" UNION ALL SELECT tree, node, depth, size, majority, NULL, NULL, 0 FROM nd{levels}"
+
+
+_TREE_COLUMNS = "node:i depth:i size:i majority:s feature:s threshold:4 n_children:i"
+
+
+@check("tree_two_levels", _TREE_COLUMNS, f"""WITH {THREE}, st0 AS MATERIALIZED (SELECT 0 AS tree, 0 AS node, 1 AS w, id, label, price, cust, priority FROM three),
+  {_grown_sql(2, ['price', 'cust'], ['priority'])} {_nodes_sql(2)}""")
+def _(spark, d):
+    t = three_class(spark, d)
+    return trees.tree_table(t, trees.grow_tree(t, id_col="id", numeric=["price", "cust"], categorical=["priority"], label_col="label", max_depth=2))
+
+
+# two of three features and a bootstrap for each of three trees
+_BAGGED = f"""t AS (SELECT *, unnest(range(3)) AS tree FROM three), u AS (SELECT *, {sql_uniform('id', "'42-' || tree")} AS u FROM t),
+  st0 AS MATERIALIZED (SELECT tree, 0 AS node, w, id, label, price, cust, month FROM (SELECT *, {_poisson_sql('u')} AS w FROM u) WHERE w > 0),
+  chosen AS (SELECT tree, feature FROM (SELECT feature, unnest(range(3)) AS tree FROM (SELECT unnest(['price', 'cust', 'month']) AS feature))
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY {sql_key("feature || '-' || tree", 42)}, feature) <= 2)"""
+
+
+def bagged_trees(spark, d):
+    t = three_class(spark, d)
+    return t, trees.exact_forest(t, id_col="id", features=["price", "cust", "month"], label_col="label", n_trees=3, subset=2, max_depth=2)
+
+
+@check("exact_forest_nodes", "tree:i " + _TREE_COLUMNS, f"WITH {THREE}, {_BAGGED}, {_grown_sql(2, ['price', 'cust', 'month'], [], 'chosen')} {_nodes_sql(2)}")
+def _(spark, d):
+    return bagged_trees(spark, d)[1].nodes_table
+
+
+@check("tree_exact", "node:i depth:i size:i majority:s feature:s threshold:4 n_children:i", f"""WITH {THREE},
+  st0 AS MATERIALIZED (SELECT 0 AS tree, 0 AS node, 1 AS w, id, label, price, cust, priority FROM three), {_grown_sql(3, ['price', 'cust'], ['priority'])} {_nodes_sql(3)}""")
 def _(spark, d):
     t = three_class(spark, d)
     return trees.tree_table(t, trees.grow_tree(t, id_col="id", numeric=["price", "cust"], categorical=["priority"], label_col="label", max_depth=3))
@@ -115,10 +188,17 @@ def _(spark, d):
     return trees.ml_tree(train, features_col="features", label_col="label").transform(test)
 
 
-@check("exact_forest", "id:i prediction:i n_votes:i")
+_REACHED = ", ".join(f"at{d + 1} AS (SELECT a.id, a.tree, coalesce(e.child, a.node) AS node, price, cust, month, e.child IS NULL OR a.done AS done FROM at{d} a "
+                     f"LEFT JOIN be{d} b ON b.tree = a.tree AND b.node = a.node AND NOT a.done LEFT JOIN ed{d} e ON e.tree = a.tree AND e.node = a.node AND NOT a.done "
+                     f"AND e.key = CASE WHEN (CASE feature WHEN 'price' THEN price WHEN 'cust' THEN cust ELSE month END) < threshold THEN 'l' ELSE 'ge' END)" for d in range(2))
+
+
+@check("exact_forest", "id:i prediction:i n_votes:i", f"""WITH {THREE}, {_BAGGED}, {_grown_sql(2, ['price', 'cust', 'month'], [], 'chosen')}, nodes AS ({_nodes_sql(2)}),
+  at0 AS (SELECT id, tree, 0 AS node, price, cust, month, FALSE AS done FROM three, (SELECT unnest(range(3)) AS tree)), {_REACHED},
+  votes AS (SELECT id, majority FROM at2 JOIN nodes USING (tree, node)), counted AS (SELECT id, majority, count(*) AS c FROM votes GROUP BY 1, 2)
+  SELECT id, majority AS prediction, 3 AS n_votes FROM counted QUALIFY row_number() OVER (PARTITION BY id ORDER BY c DESC, majority) = 1""")
 def _(spark, d):
-    t = three_class(spark, d)
-    forest = trees.exact_forest(t, id_col="id", features=["price", "cust", "month"], label_col="label", n_trees=3, subset=2, max_depth=2)
+    t, forest = bagged_trees(spark, d)
     return trees.hard_vote(trees.tree_votes(t, forest, id_col="id"), [0, 1, 2])
 
 
@@ -363,14 +443,19 @@ def _(spark, d):
     return tuning.train_test_gap(rate(g.filter("id % 5 <> 0")), rate(g.filter("id % 5 = 0")))
 
 
-def _fit_svm(train, test, params, fold):
-    return classify.linear_svm(train, C=params["C"]).transform(test)
+@check("random_search_svm", "candidate:i params:s mean_score:4 std_score:4")
+def _(spark, d):
+    return stacked.search_linear(folded(spark, d), tuning.random_draws({"C": (0.01, 10.0)}, 2), id_col="id", x_col="x", label_col="label", fold_col="fold", n_folds=3, scoring="f1")
 
 
-@check("random_search_svm", "candidate:i params:s mean_score:4 std_score:4")
+@check("random_search_svm_wide", "candidate:i params:s mean_score:4 std_score:4")
 def _(spark, d):
-    rows = classify.with_vector(folded(spark, d), "x").select("id", "features", "label", "fold")
-    return tuning.search(rows, _fit_svm, tuning.random_draws({"C": (0.01, 10.0)}, 2), fold_col="fold", label_col="label", n_folds=3, scoring="f1")
+    return stacked.search_linear(folded(spark, d), tuning.random_draws({"C": (0.01, 10.0)}, 10), id_col="id", x_col="x", label_col="label", fold_col="fold", n_folds=3)
+
+
+@check("grid_search_logistic", "candidate:i params:s mean_score:4 std_score:4")
+def _(spark, d):
+    return stacked.search_linear(folded(spark, d), tuning.grid_of({"C": [0.01, 0.1, 1.0, 10.0]}), id_col="id", x_col="x", label_col="label", fold_col="fold", n_folds=3, loss="logistic")
 
 
 def _fit_forest(train, test, params, fold):

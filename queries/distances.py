@@ -223,6 +223,13 @@ def _(spark, d):
     return cluster_quality.contingency(fit.transform(e, "x"), cluster_col="cluster", label_col="label")
 
 
+@check("purity", "n_rows:i purity:6", f"""WITH {EMB_LONG}, {_lloyd_sql(4, 3)}, c AS (SELECT cluster, label, count(*) AS n FROM a3 JOIN emb USING (id) GROUP BY 1, 2)
+  SELECT sum(n) AS n_rows, sum(top) / sum(n) AS purity FROM (SELECT cluster, max(n) AS top, sum(n) AS n FROM c GROUP BY cluster)""")
+def _(spark, d):
+    e, fit = lloyd_fit(spark, d)
+    return cluster_quality.purity(fit.transform(e, "x"), cluster_col="cluster", label_col="label")
+
+
 # -- density clustering --------------------------------------------------------
 
 EPS, MIN_PTS = 0.35, 4
@@ -261,11 +268,56 @@ def _(spark, d):
     return cluster_quality.cluster_summary(dbscan.dbscan(user_plane(spark, d), id_col="id", x_col="x", eps=EPS, min_pts=MIN_PTS), cluster_col="cluster")
 
 
-@check("dbscan_sweep", "step:i eps:6 n_clusters:i n_noise:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b")
+_APART = "dist AS MATERIALIZED (SELECT a.id AS a, b.id AS b, sqrt((a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2) AS d FROM plane a JOIN plane b ON a.id <> b.id)"
+# scores of labelled rows lab (k, id, cluster) of the plane
+_SCORED = """per AS (SELECT l.k, l.id, l.cluster, o.cluster AS other, avg(d) AS m FROM lab l JOIN dist ON dist.a = l.id JOIN lab o ON o.k = l.k AND o.id = dist.b GROUP BY 1, 2, 3, 4),
+  ab AS (SELECT k, id, max(CASE WHEN other = cluster THEN m END) AS a, min(CASE WHEN other <> cluster THEN m END) AS b FROM per GROUP BY 1, 2),
+  sil AS (SELECT k, avg(CASE WHEN a IS NULL OR greatest(a, coalesce(b, a)) = 0 THEN 0 ELSE (coalesce(b, a) - a) / greatest(a, coalesce(b, a)) END) AS silhouette FROM ab GROUP BY k),
+  cen AS (SELECT k, cluster, avg(x1) AS c1, avg(x2) AS c2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1, 2),
+  mid AS (SELECT k, avg(x1) AS g1, avg(x2) AS g2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1),
+  far AS (SELECT k, cluster, avg(sqrt((x1 - c1) ** 2 + (x2 - c2) ** 2)) AS s, sum((x1 - c1) ** 2 + (x2 - c2) ** 2) AS w FROM lab JOIN plane USING (id) JOIN cen USING (k, cluster) GROUP BY 1, 2),
+  ch AS (SELECT k, (sum(cen.n * ((c1 - g1) ** 2 + (c2 - g2) ** 2)) / (count(*) - 1)) / (sum(w) / (max(mid.n) - count(*))) AS ch FROM cen JOIN far USING (k, cluster) JOIN mid USING (k) GROUP BY k),
+  worst AS (SELECT a.k, a.cluster, max((fa.s + fb.s) / sqrt((a.c1 - b.c1) ** 2 + (a.c2 - b.c2) ** 2)) AS r FROM cen a JOIN cen b ON a.k = b.k AND a.cluster <> b.cluster
+    JOIN far fa ON fa.k = a.k AND fa.cluster = a.cluster JOIN far fb ON fb.k = b.k AND fb.cluster = b.cluster GROUP BY 1, 2),
+  db AS (SELECT k, avg(r) AS db FROM worst GROUP BY k),
+  scored AS (SELECT k, silhouette, ch AS calinski_harabasz, db AS davies_bouldin FROM sil JOIN ch USING (k) JOIN db USING (k))"""
+
+
+_RADII = " UNION ALL ".join(f"SELECT {i + 1} AS step, {f} * quantile_cont(d, {q}) AS eps FROM kd" for i, (q, f) in enumerate(((0.25, 1.0), (0.5, 1.0), (0.75, 1.0), (0.9, 1.0), (0.9, 1.5), (0.9, 2.0))))
+
+
+@check("dbscan_sweep", "step:i eps:6 n_clusters:i n_noise:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b", f"""WITH RECURSIVE {USER_PLANE}, {_APART},
+  kd AS (SELECT a AS id, d FROM dist QUALIFY row_number() OVER (PARTITION BY a ORDER BY d, b) = 4), radii AS MATERIALIZED ({_RADII}),
+  near AS MATERIALIZED (SELECT step, a, b FROM radii JOIN dist ON d <= eps), core AS MATERIALIZED (SELECT step, a AS id FROM near GROUP BY 1, 2 HAVING count(*) >= 5),
+  ce AS MATERIALIZED (SELECT n.* FROM near n SEMI JOIN core x ON x.step = n.step AND x.id = n.a SEMI JOIN core y ON y.step = n.step AND y.id = n.b),
+  walk(step, id, root) AS (SELECT step, id, id FROM core UNION SELECT ce.step, ce.b, walk.root FROM walk JOIN ce ON ce.step = walk.step AND ce.a = walk.id),
+  num AS (SELECT step, id, dense_rank() OVER (PARTITION BY step ORDER BY root) AS cluster FROM (SELECT step, id, min(root) AS root FROM walk GROUP BY 1, 2)),
+  edge AS (SELECT near.step, near.a AS id, min(cluster) AS cluster FROM near JOIN num ON num.step = near.step AND num.id = near.b GROUP BY 1, 2),
+  every AS MATERIALIZED (SELECT r.step, p.id, coalesce(num.cluster, edge.cluster, 0) AS cluster FROM plane p CROSS JOIN radii r
+    LEFT JOIN num ON num.step = r.step AND num.id = p.id LEFT JOIN edge ON edge.step = r.step AND edge.id = p.id),
+  sizes AS MATERIALIZED (SELECT step, cluster, count(*) AS n FROM every GROUP BY 1, 2),
+  told AS (SELECT step, count(*) FILTER (cluster > 0) AS n_clusters, coalesce(sum(n) FILTER (cluster = 0), 0) AS n_noise, count(*) FILTER (cluster > 0 AND n >= 2) AS valid FROM sizes GROUP BY step),
+  lab AS MATERIALIZED (SELECT step AS k, id, cluster FROM every SEMI JOIN (SELECT step, cluster FROM sizes WHERE cluster > 0 AND n >= 2) v USING (step, cluster)
+    SEMI JOIN (SELECT step FROM told WHERE n_clusters > 1 AND valid > 1) t USING (step)), {_SCORED},
+  res AS (SELECT step, eps, n_clusters, n_noise, coalesce(silhouette, -1) AS silhouette, coalesce(calinski_harabasz, -1) AS calinski_harabasz,
+    coalesce(davies_bouldin, -1) AS davies_bouldin FROM radii JOIN told USING (step) LEFT JOIN scored ON k = step)
+  SELECT *, step = first_value(step) OVER (ORDER BY CASE WHEN silhouette > -1 THEN 0 ELSE 1 END, CASE WHEN silhouette > -1 THEN -silhouette ELSE -n_clusters END, step) AS is_best FROM res""")
 def _(spark, d):
     return dbscan.sweep_eps(user_plane(spark, d), id_col="id", x_col="x", min_pts=5)[0]
 
 
+@check("dbscan_levels", "id:i level:i cluster:i", f"""WITH RECURSIVE {USER_PLANE}, {_APART}, radii AS (SELECT unnest([0, 1, 2]) AS step, unnest([0.2, 0.35, 0.6]) AS eps),
+  near AS MATERIALIZED (SELECT step, a, b FROM radii JOIN dist ON d <= eps), core AS MATERIALIZED (SELECT step, a AS id FROM near GROUP BY 1, 2 HAVING count(*) >= 4),
+  ce AS MATERIALIZED (SELECT n.* FROM near n SEMI JOIN core x ON x.step = n.step AND x.id = n.a SEMI JOIN core y ON y.step = n.step AND y.id = n.b),
+  walk(step, id, root) AS (SELECT step, id, id FROM core UNION SELECT ce.step, ce.b, walk.root FROM walk JOIN ce ON ce.step = walk.step AND ce.a = walk.id),
+  num AS (SELECT step, id, dense_rank() OVER (PARTITION BY step ORDER BY root) AS cluster FROM (SELECT step, id, min(root) AS root FROM walk GROUP BY 1, 2)),
+  edge AS (SELECT near.step, near.a AS id, min(cluster) AS cluster FROM near JOIN num ON num.step = near.step AND num.id = near.b GROUP BY 1, 2)
+  SELECT p.id, r.step AS level, coalesce(num.cluster, edge.cluster, 0) AS cluster FROM plane p CROSS JOIN radii r
+    LEFT JOIN num ON num.step = r.step AND num.id = p.id LEFT JOIN edge ON edge.step = r.step AND edge.id = p.id""")
+def _(spark, d):
+    return dbscan.dbscan_levels(user_plane(spark, d), id_col="id", x_col="x", radii=(0.2, 0.35, 0.6), min_pts=4)
+
+
 # -- linkage -------------------------------------------------------------------
 
 @check("average_linkage", "id:i cluster:i")
@@ -274,24 +326,34 @@ def _(spark, d):
 
 
 # one pair merges a step; a recursion step sees the labels of the step before
-_APART = "dist AS MATERIALIZED (SELECT a.id AS a, b.id AS b, sqrt((a.x1 - b.x1) ** 2 + (a.x2 - b.x2) ** 2) AS d FROM plane a JOIN plane b ON a.id <> b.id)"
 _LINKED = f"""{_APART}, steps(step, id, cluster) AS (SELECT 0, id, id FROM plane UNION ALL
     SELECT s.step + 1, s.id, CASE WHEN s.cluster = m.b THEN m.a ELSE s.cluster END
     FROM steps s, (SELECT x.cluster AS a, y.cluster AS b FROM steps x JOIN dist ON dist.a = x.id JOIN steps y ON dist.b = y.id WHERE x.cluster < y.cluster
       GROUP BY 1, 2 ORDER BY avg(d), 1, 2 LIMIT 1) m),
   cuts AS (SELECT n - step AS k, id, dense_rank() OVER (PARTITION BY step ORDER BY cluster) - 1 AS cluster FROM steps, (SELECT count(*) AS n FROM plane) t)"""
-# scores of labelled rows lab (k, id, cluster) of the plane
-_SCORED = """per AS (SELECT l.k, l.id, l.cluster, o.cluster AS other, avg(d) AS m FROM lab l JOIN dist ON dist.a = l.id JOIN lab o ON o.k = l.k AND o.id = dist.b GROUP BY 1, 2, 3, 4),
-  ab AS (SELECT k, id, max(CASE WHEN other = cluster THEN m END) AS a, min(CASE WHEN other <> cluster THEN m END) AS b FROM per GROUP BY 1, 2),
-  sil AS (SELECT k, avg(CASE WHEN a IS NULL OR greatest(a, coalesce(b, a)) = 0 THEN 0 ELSE (coalesce(b, a) - a) / greatest(a, coalesce(b, a)) END) AS silhouette FROM ab GROUP BY k),
-  cen AS (SELECT k, cluster, avg(x1) AS c1, avg(x2) AS c2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1, 2),
-  mid AS (SELECT k, avg(x1) AS g1, avg(x2) AS g2, count(*) AS n FROM lab JOIN plane USING (id) GROUP BY 1),
-  far AS (SELECT k, cluster, avg(sqrt((x1 - c1) ** 2 + (x2 - c2) ** 2)) AS s, sum((x1 - c1) ** 2 + (x2 - c2) ** 2) AS w FROM lab JOIN plane USING (id) JOIN cen USING (k, cluster) GROUP BY 1, 2),
-  ch AS (SELECT k, (sum(cen.n * ((c1 - g1) ** 2 + (c2 - g2) ** 2)) / (count(*) - 1)) / (sum(w) / (max(mid.n) - count(*))) AS ch FROM cen JOIN far USING (k, cluster) JOIN mid USING (k) GROUP BY k),
-  worst AS (SELECT a.k, a.cluster, max((fa.s + fb.s) / sqrt((a.c1 - b.c1) ** 2 + (a.c2 - b.c2) ** 2)) AS r FROM cen a JOIN cen b ON a.k = b.k AND a.cluster <> b.cluster
-    JOIN far fa ON fa.k = a.k AND fa.cluster = a.cluster JOIN far fb ON fb.k = b.k AND fb.cluster = b.cluster GROUP BY 1, 2),
-  db AS (SELECT k, avg(r) AS db FROM worst GROUP BY k),
-  scored AS (SELECT k, silhouette, ch AS calinski_harabasz, db AS davies_bouldin FROM sil JOIN ch USING (k) JOIN db USING (k))"""
+def _plane_seeds(k):
+    """D² seeding on the plane, one CTE per centre, and the start of every run."""
+    out = f"s0 AS MATERIALIZED (SELECT id FROM plane ORDER BY {sql_key('id', repr('42-0'))}, id LIMIT 1)"
+    for r in range(1, k):
+        seen = " UNION ALL ".join(f"SELECT id FROM s{i}" for i in range(r))
+        out += f""", d{r} AS MATERIALIZED (SELECT e.id, min(sqrt((e.x1 - c.x1) ** 2 + (e.x2 - c.x2) ** 2)) AS d FROM plane e, ({seen}) s JOIN plane c ON c.id = s.id GROUP BY e.id),
+          s{r} AS MATERIALIZED (SELECT id FROM d{r} WHERE d > 0 ORDER BY -ln({sql_uniform('id', repr(f'42-{r}'))}) / (d * d), id LIMIT 1)"""
+    start = " UNION ALL ".join(f"SELECT k, {r} AS cluster, x1, x2 FROM s{r} JOIN plane USING (id), ks WHERE k > {r}" for r in range(k))
+    return f"{out}, ks AS (SELECT unnest([2, 3, 4]) AS k), start AS MATERIALIZED ({start})"
+
+
+# sixty rounds are more than any of the runs needs; an empty cluster keeps its centre
+_RUNS = f"""{_plane_seeds(4)}, runs(it, k, cluster, c1, c2) AS (SELECT 0, k, cluster, x1, x2 FROM start UNION ALL
+    SELECT l.it + 1, l.k, l.cluster, coalesce(m1, l.c1), coalesce(m2, l.c2) FROM runs l LEFT JOIN (SELECT k, own, avg(x1) AS m1, avg(x2) AS m2 FROM
+      (SELECT r.k, p.id, p.x1, p.x2, arg_min(r.cluster, (p.x1 - r.c1) ** 2 + (p.x2 - r.c2) ** 2) AS own FROM runs r, plane p GROUP BY ALL) GROUP BY 1, 2) m
+      ON m.k = l.k AND m.own = l.cluster WHERE l.it < 60),
+  lab AS MATERIALIZED (SELECT k, id, arg_min(cluster, (x1 - c1) ** 2 + (x2 - c2) ** 2) AS cluster FROM runs, plane WHERE it = 60 GROUP BY 1, 2)"""
+
+
+@check("kmeans_sweep_users", "k:i silhouette:4 calinski_harabasz:4 davies_bouldin:4 is_best:b", f"""WITH RECURSIVE {USER_PLANE}, {_APART}, {_RUNS}, {_SCORED}
+  SELECT *, k = first_value(k) OVER (ORDER BY silhouette DESC, k) AS is_best FROM scored""")
+def _(spark, d):
+    return cluster_quality.sweep_kmeans(user_plane(spark, d), id_col="id", x_col="x", ks=(2, 3, 4))
 
 
 @check("average_linkage_users", "id:i cluster:i", f"WITH RECURSIVE {USER_PLANE}, {_LINKED} SELECT id, cluster FROM cuts WHERE k = 5")

@@ -113,9 +113,16 @@ def _(spark, d):
     return outliers.pairwise_overlap(_flags(spark, d), _METHODS)
 
 
-@check("overlap_common", "id:i", f"WITH {_FLAGS} SELECT id FROM flags GROUP BY id HAVING count(*) = 3")
+# counts that go together, so that some users stand out by all of them
+_TOGETHER = ("n_events", "n_view", "n_click")
+
+
+@check("overlap_common", "id:i", "WITH " + USERS + ", flags AS MATERIALIZED (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS method, id FROM users WHERE {m} > (SELECT quantile_cont({m}, 0.7) FROM users)" for m in _TOGETHER) + ") SELECT id FROM flags GROUP BY id HAVING count(*) = 3")
 def _(spark, d):
-    return outliers.common_outliers(_flags(spark, d), len(_METHODS))
+    u = user_features(spark, d)
+    flagged = outliers.flags({m: u.select("id", (F.col(m) > outliers.upper_threshold(u, m, 0.3)).alias("is_outlier")) for m in _TOGETHER})
+    return outliers.common_outliers(flagged, len(_TOGETHER))
 
 
 @check("overlap_unique", "id:i method:s", f"WITH {_FLAGS} SELECT id, min(method) AS method FROM flags GROUP BY id HAVING count(*) = 1")

@@ -3,9 +3,9 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from queries.base import DIRTY, USERS, check, dirty_orders, table, user_features
+from queries.base import DIRTY, EMB_LONG, USERS, check, dirty_orders, embeddings, table, user_features
 from sparkmine.lineage import scratch_path
-from sparkmine.operators import outliers, tuning, cleaning, encoding, eda, reduction
+from sparkmine.operators import outliers, tuning, cleaning, encoding, eda, moments, reduction
 from sparkmine.plans.preprocess import PreprocessConfig, Preprocessor
 from sparkmine.sources import tables as sources
 
@@ -283,6 +283,17 @@ def _(spark, d):
 _CORR = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
+_HOLED = EMB_LONG + """, h AS MATERIALIZED (SELECT id, dim, CASE WHEN (id + dim) % 7 > 0 THEN v END AS v FROM emb_long),
+  p AS (SELECT x.dim AS a, y.dim AS b, count(*) AS n, covar_samp(x.v, y.v) AS covariance, corr(x.v, y.v) AS r FROM h x JOIN h y ON x.id = y.id AND x.dim <= y.dim
+    WHERE x.v IS NOT NULL AND y.v IS NOT NULL GROUP BY 1, 2)"""
+
+
+@check("pair_statistics", "a:i b:i n:i covariance:6 r:6", f"WITH {_HOLED} SELECT * FROM p")
+def _(spark, d):
+    holed = F.transform("x", lambda v, k: F.when((F.col("id") + k) % 7 > 0, v))
+    return moments.pair_statistics(embeddings(spark, d).select(holed.alias("x")), "x", tile=24)
+
+
 @check("correlation", "a:s b:s r:6", " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM lineitem" for i, a in enumerate(_CORR) for b in _CORR[i:]))
 def _(spark, d):

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.functions.ordered import running_sums
 from sparkmine.functions.vectors import distances
 from sparkmine.lineage import cut, scoped, small_table
 from sparkmine.operators.blocks import Block, chunked_rows
 from sparkmine.operators.cluster_quality import scores
 from sparkmine.operators.components import connected_components, number_by_order
 from sparkmine.operators.grid import grid_for, join_cells
-from sparkmine.operators.neighbors import k_distance, k_distance_percentiles
+from sparkmine.operators.neighbors import k_distance_percentiles, k_nearest
 
 NOISE = 0
 
@@ -110,30 +112,134 @@ def dbscan(df: DataFrame, *, id_col: str, x_col: str, eps: float, min_pts: int)
     return rows.join(labels, "x").select("id", "cluster", "is_core")
 
 
+def _levels_of(block: Block, other: Block, radii: np.ndarray):
+    """Pairs of two blocks by level, some rows at a time: slices of ``block`` with the first radius that covers each pair."""
+    for s in chunked_rows(len(block.ids), len(other.ids)):
+        yield s, np.searchsorted(radii, distances(block.xs[s], other.xs), side="left")
+
+
+def _joined(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Roots after joining ``u`` with ``v``, and the edges between former roots that do it."""
+    a, b = root[u], root[v]
+    apart = a != b
+    if not apart.any():
+        return root, u[:0], u[:0]
+    _, new = _forest(len(root), a[apart], b[apart])
+    moved = np.flatnonzero((root == np.arange(len(root))) & (new != root))
+    return new[root], moved, new[moved]
+
+
+def reachability(points: DataFrame, radii: Sequence[float]) -> DataFrame:
+    """A spanning forest by mutual reachability: ``(a, b, level, border)``, from one comparison at the largest radius.
+
+    ``points`` is ``(rep, x, level)``: the first radius at which a point is core, or their number if it never is. Two cores
+    are joined from the level on at which both are core and the radius covers them (``border`` false): the edges up to
+    a level connect what the radius of that level connects. A point that is not core yet reaches core ``b`` from the
+    level on (``border`` true). A block pair keeps a forest of its cores and one edge for each tree that a point reaches.
+    """
+    steps = np.asarray(radii, dtype=float)
+    never = len(steps)
+    grid = grid_for(points, "x", float(steps[-1]))
+    blocks = grid.blocks(points, "rep", "x", tag="level")
+
+    def compare(q: Block, c: Block) -> pd.DataFrame:
+        ids, place = np.unique(np.concatenate([q.ids, c.ids]), return_inverse=True)
+        at_q, at_c = place[:len(q.ids)], place[len(q.ids):]
+        n = len(ids)
+        forest = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in steps]
+        reached: list[set[int]] = [set() for _ in steps]
+        for s, near in _levels_of(q, c, steps):
+            both = np.maximum(np.maximum(near, q.tags[s][:, None]), c.tags[None])
+            root, roots = np.arange(n), []
+            for level in range(never):
+                row, col = np.nonzero(both == level)
+                u = np.concatenate([forest[level][0], at_q[s][row]])
+                v = np.concatenate([forest[level][1], at_c[col]])
+                root, one, two = _joined(root, u, v)
+                forest[level] = (one, two)
+                roots.append(root)
+            for own, core, core_at, own_tags, core_tags, flip in ((at_q[s], c, at_c, q.tags[s], c.tags, False), (at_c, q, at_q[s], c.tags, q.tags[s], True)):
+                from_level = np.maximum(near.T if flip else near, core_tags[None])
+                from_level = np.where(from_level < own_tags[:, None], from_level, never)
+                for level in range(never):
+                    row, col = np.nonzero(from_level == level)
+                    if len(row):
+                        reached[level].update((own[row] * n + roots[level][core_at[col]]).tolist())
+        parts = [pd.DataFrame({"a": ids[u], "b": ids[v], "level": level, "border": False}) for level, (u, v) in enumerate(forest)]
+        before: np.ndarray = np.zeros(0, np.int64)
+        root = np.arange(n)
+        for level, some in enumerate(reached):
+            root, _, _ = _joined(root, *forest[level])
+            code = np.fromiter(some, dtype=np.int64, count=len(some))
+            code = np.unique(code // n * n + root[code % n]) if len(code) else code
+            before = np.unique(before // n * n + root[before % n]) if len(before) else before
+            new = np.setdiff1d(code, before, assume_unique=True)
+            parts.append(pd.DataFrame({"a": ids[new // n], "b": ids[new % n], "level": level, "border": True}))
+            before = np.concatenate([before, new])
+        return pd.concat(parts, ignore_index=True).astype({"level": "int32"})
+
+    return join_cells(blocks, blocks, grid.width, compare, "a bigint, b bigint, level int, border boolean", symmetric=True)
+
+
+def dbscan_levels(df: DataFrame, *, id_col: str, x_col: str, radii: Sequence[float], min_pts: int, core_distance: DataFrame | None = None) -> DataFrame:
+    """``(id, level, cluster)`` for every row and every radius (ascending), as ``dbscan`` labels it at that radius.
+
+    ``core_distance`` ``(id, distance)`` is the distance to the ``min_pts``-th other row; a row without one is never core.
+    All radii are cuts of one forest: one comparison of the rows, one component search and one numbering serve them all.
+    """
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x"))
+    if core_distance is None:
+        core_distance = k_nearest(df, id_col=id_col, x_col=x_col, k=min_pts).filter(F.col("rank") == min_pts).select("id", "distance")
+    never = len(radii)
+    level = F.when(F.col("distance").isNull(), never).otherwise(sum(((F.col("distance") > r).cast("int") for r in radii), F.lit(0)))
+    points = cut(rows.join(core_distance, "id", "left").groupBy("x").agg(F.min("id").alias("rep"), F.min(level).cast("int").alias("level")))
+    edges = cut(reachability(points, radii))
+    upto = lambda last: F.explode(F.sequence(F.col("level"), last)).alias("at")
+    joined = edges.filter("NOT border").select("a", "b", upto(F.lit(never - 1))).select(
+        F.struct("at", F.col("a").alias("id")).alias("a"), F.struct("at", F.col("b").alias("id")).alias("b"))
+    roots = connected_components(joined).select("id.at", F.col("id.id").alias("rep"), F.col("root.id").alias("root"))
+    cores = points.filter(F.col("level") < never).select("rep", upto(F.lit(never - 1)))
+    cores = cut(cores.join(roots, ["at", "rep"], "left").select("at", "rep", F.coalesce("root", "rep").alias("root")))
+    distinct = cores.select("at", "root").distinct().withColumn("_one", F.lit(1))
+    names = running_sums(distinct, ["at"], "root", ["_one"]).select("at", "root", F.col("cum__one").cast("int").alias("cluster"))
+    numbered = cut(cores.join(names, ["at", "root"]).select("at", "rep", "cluster"))
+    own = points.select(F.col("rep").alias("a"), F.col("level").alias("own"))
+    border = edges.filter("border").join(own, "a").select("a", F.col("b").alias("rep"), upto(F.col("own") - 1))
+    reached = border.join(numbered, ["at", "rep"]).groupBy("at", F.col("a").alias("rep")).agg(F.min("cluster").alias("cluster"))
+    labels = numbered.union(reached).join(points.select("rep", "x"), "rep").select("at", "x", "cluster")
+    every = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(never - 1))))
+    return every.join(labels, ["at", "x"], "left").select("id", F.col("at").alias("level"), F.coalesce("cluster", F.lit(NOISE)).alias("cluster"))
+
+
 @scoped
 def sweep_eps(df: DataFrame, *, id_col: str, x_col: str, min_pts: int = 5) -> tuple[DataFrame, float]:
     """DBSCAN at six radii taken from the k-distance percentiles: results and the best radius.
 
-    Scores cover clusters of two rows or more and need at least two of them,
-    otherwise they are -1. The best silhouette wins; without any score, the radius
-    with the most clusters does.
+    Scores cover clusters of two rows or more and need at least two of them, otherwise they are -1. The best silhouette
+    wins; without any score, the radius with the most clusters does. One neighbour join gives the radii and the core
+    distances, one comparison the labels of all radii.
     """
-    df = df.select(id_col, x_col).persist()
+    df = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x")).persist()
     try:
-        kd = k_distance(df, id_col=id_col, x_col=x_col, min_pts=min_pts)
+        near = cut(k_nearest(df, id_col="id", x_col="x", k=min_pts).filter(F.col("rank") >= min_pts - 1))
+        kd = near.filter(F.col("rank") == min_pts - 1).select("id", F.col("distance").alias("k_distance"))
         p25, p50, p75, p90 = k_distance_percentiles(kd)
+        radii = [p25, p50, p75, p90, 1.5 * p90, 2.0 * p90]
+        core = near.filter(F.col("rank") == min_pts).select("id", "distance")
+        found = cut(dbscan_levels(df, id_col="id", x_col="x", radii=radii, min_pts=min_pts, core_distance=core))
+        sizes = cut(found.groupBy("level", "cluster").agg(F.count(F.lit(1)).alias("n")))
+        real = F.col("cluster") != NOISE
+        told = {r["level"]: r for r in sizes.groupBy("level").agg(
+            F.count_if(real).alias("clusters"), F.coalesce(F.sum(F.when(~real, F.col("n"))), F.lit(0)).alias("noise"), F.count_if(real & (F.col("n") >= 2)).alias("valid")).collect()}
+        valid = sizes.filter(real & (F.col("n") >= 2)).select("level", "cluster")
         rows = []
-        for eps in (p25, p50, p75, p90, 1.5 * p90, 2.0 * p90):
-            found = cut(dbscan(df, id_col=id_col, x_col=x_col, eps=eps, min_pts=min_pts))
-            sizes = found.groupBy("cluster").count()
-            n_clusters = sizes.filter(F.col("cluster") != NOISE).count()
-            noise = sizes.filter(F.col("cluster") == NOISE).agg(F.sum("count")).first()[0] or 0
-            valid = sizes.filter((F.col("cluster") != NOISE) & (F.col("count") >= 2)).select("cluster")
+        for level, eps in enumerate(radii):
+            n = told[level]
             result = (-1.0, -1.0, -1.0)
-            if n_clusters > 1 and valid.count() > 1:
-                kept = df.withColumnRenamed(id_col, "id").join(found.join(valid, "cluster", "left_semi"), "id")
-                result = scores(cut(kept), id_col="id", x_col=x_col, cluster_col="cluster")
-            rows.append((float(eps), n_clusters, noise, *result))
+            if n["clusters"] > 1 and n["valid"] > 1:
+                own = found.join(valid, ["level", "cluster"], "left_semi").filter(F.col("level") == level)
+                result = scores(cut(df.join(own.select("id", "cluster"), "id")), id_col="id", x_col="x", cluster_col="cluster")
+            rows.append((float(eps), n["clusters"], n["noise"], *result))
     finally:
         df.unpersist()
     scored = [r for r in rows if r[3] > -1 and r[1] > 0]

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from sparkmine.lineage import small_table
 from sparkmine.functions.joins import null_safe_join, side_table
 from sparkmine.functions.ordered import ACCURACY, ROWS_PER_WINDOW, SMALL_GROUP, exact_quantiles
+from sparkmine.operators.moments import pair_statistics
+
+NARROW = 32  # columns whose pairs are counted by one expression each
 
 
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
@@ -46,8 +49,16 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
 
 
-def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations, long form ``(a, b, r)`` with ``a <= b`` in column order."""
+def correlation(df: DataFrame, columns: Sequence[str], *, narrow: int = NARROW) -> DataFrame:
+    """Pairwise-complete Pearson correlations, long form ``(a, b, r)`` with ``a <= b`` in column order.
+
+    More than ``narrow`` columns travel as one vector and are counted in tiles, without an expression for each pair.
+    """
+    if len(columns) > narrow:
+        found = pair_statistics(df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x")), "x")
+        names = small_table(df.sparkSession, list(enumerate(columns)), "k int, name string")
+        side = lambda k: F.broadcast(names.select(F.col("k").alias(k), F.col("name").alias(f"_{k}")))
+        return found.join(side("a"), "a").join(side("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"), "r")
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
     x = [F.col(c).cast("double") for c in columns]
     row = df.agg(*[F.corr(x[i], x[j]).alias(f"r{i}_{j}") for i, j in pairs])

@@ -97,12 +97,14 @@ def mutual_information(df: DataFrame, *, discrete: Sequence[str], numeric: Seque
         F.struct(F.lit(c).alias("feature"), v.alias("value")) for c, v in value.items()])).alias("m")
     ).select("label", "m.*").filter("value IS NOT NULL")
     joint = long.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("n"))
-    # sum n log n over each margin: I = (S_xy - S_x - S_y + N log N) / N
-    s = lambda d: d.groupBy("feature").agg(F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("s"))
-    margin = lambda k: joint.groupBy("feature", k).agg(F.sum("n").alias("n"))
-    total = joint.groupBy("feature").agg(F.sum("n").alias("n"))
-    j = s(joint).withColumnRenamed("s", "sxy").join(s(margin("value")).withColumnRenamed("s", "sx"), "feature").join(
-        s(margin("label")).withColumnRenamed("s", "sy"), "feature").join(total, "feature")
+    # sum n log n over each margin: I = (S_xy - S_x - S_y + N log N) / N; the joint counts go through one set of groupings
+    side = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    value, label = F.col("value"), F.col("label").cast("string")
+    margins = joint.select("feature", "n", F.explode(F.array(
+        side("xy", F.struct(value.alias("value"), label.alias("label"))), side("x", F.struct(value.alias("value"), F.lit(None).cast("string").alias("label"))),
+        side("y", F.struct(F.lit(None).cast("string").alias("value"), label.alias("label"))))).alias("m")).groupBy("feature", "m.kind", "m.key").agg(F.sum("n").alias("n"))
+    log_sum = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n") * F.log(F.col("n").cast("double")))).alias(f"s{kind}")
+    j = margins.groupBy("feature").agg(log_sum("xy"), log_sum("x"), log_sum("y"), F.sum(F.when(F.col("kind") == "x", F.col("n"))).alias("n"))
     score = (F.col("sxy") - F.col("sx") - F.col("sy")) / F.col("n") + F.log(F.col("n").cast("double"))
     return j.select("feature", F.greatest(score, F.lit(0.0)).alias("score"))
 

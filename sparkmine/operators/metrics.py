@@ -12,8 +12,8 @@ from sparkmine.functions.joins import null_safe_join
 from sparkmine.functions.ordered import ROWS_PER_WINDOW, running_sums
 
 
-def _counts(df: DataFrame, label_col: str, prediction_col: str) -> DataFrame:
-    return df.groupBy(F.col(label_col).cast("int").alias("label"), F.col(prediction_col).cast("int").alias("prediction")).agg(
+def _counts(df: DataFrame, label_col: str, prediction_col: str, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by, F.col(label_col).cast("int").alias("label"), F.col(prediction_col).cast("int").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -21,26 +21,26 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(0.0)
 
 
-def per_class(df: DataFrame, *, label_col: str, prediction_col: str) -> DataFrame:
-    """``(label, precision, recall, f1, support)`` for classes seen as label or prediction; 0/0 counts as 0."""
-    counts = _counts(df, label_col, prediction_col)
-    sides = counts.select(F.explode(F.array(
+def per_class(df: DataFrame, *, label_col: str, prediction_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., label, precision, recall, f1, support)`` for classes seen as label or prediction; 0/0 counts as 0."""
+    counts = _counts(df, label_col, prediction_col, by)
+    sides = counts.select(*by, F.explode(F.array(
         F.struct(F.col("label").alias("label"), F.col("n").alias("actual"), F.lit(0).cast("bigint").alias("predicted"),
                  F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hit")),
         F.struct(F.col("prediction").alias("label"), F.lit(0).cast("bigint").alias("actual"), F.col("n").alias("predicted"),
                  F.lit(0).cast("bigint").alias("hit")),
-    )).alias("s")).select("s.*")
-    t = sides.groupBy("label").agg(F.sum("actual").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hit").alias("hit"))
+    )).alias("s")).select(*by, "s.*")
+    t = sides.groupBy(*by, "label").agg(F.sum("actual").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hit").alias("hit"))
     rated = t.withColumn("precision", _ratio(F.col("hit"), F.col("predicted"))).withColumn("recall", _ratio(F.col("hit"), F.col("support")))
     f1 = _ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return rated.select("label", "precision", "recall", f1.alias("f1"), "support", "hit")
+    return rated.select(*by, "label", "precision", "recall", f1.alias("f1"), "support", "hit")
 
 
-def summary(df: DataFrame, *, label_col: str, prediction_col: str) -> DataFrame:
-    """``(n_rows, accuracy, precision, recall, f1)``, the last three weighted by support."""
-    p = per_class(df, label_col=label_col, prediction_col=prediction_col)
+def summary(df: DataFrame, *, label_col: str, prediction_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., n_rows, accuracy, precision, recall, f1)``, the last three weighted by support."""
+    p = per_class(df, label_col=label_col, prediction_col=prediction_col, by=by)
     weighted = lambda c: (F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c)
-    return p.agg(F.sum("support").alias("n_rows"), (F.sum("hit") / F.sum("support")).alias("accuracy"),
+    return p.groupBy(*by).agg(F.sum("support").alias("n_rows"), (F.sum("hit") / F.sum("support")).alias("accuracy"),
                  weighted("precision"), weighted("recall"), weighted("f1"))
 
 
