@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -57,3 +58,11 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
 def held_out(doc_id) -> F.Column:
     """True for the fifth of the documents that no model may learn from; a null id is held out as well."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def given_back() -> None:
+    """Return freed memory to the system at the end of a task: a worker goes on with other operators, beside other workers."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -9,22 +9,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.common import kept
+from sparkmine.llm.common import given_back, kept
 from sparkmine.operators.components import connected_components
 
 
+#: cells of a matrix that are worked on at a time
+CELLS = 1 << 18
+
+
 def lowest(linked: np.ndarray) -> np.ndarray:
-    """Smallest index that each index reaches over a square matrix of links."""
+    """Smallest index that each index reaches over a square matrix of links; some rows at a time, to hold little."""
     n = len(linked)
-    label = np.arange(n)
+    label = np.arange(n, dtype=np.int32)
+    step = max(1, CELLS // max(1, n))
     while True:
-        new = np.minimum(label, np.where(linked, label[None], n).min(axis=1, initial=n))
+        new = label.copy()
+        for k in range(0, n, step):
+            np.minimum(new[k:k + step], np.where(linked[k:k + step], label[None], np.int32(n)).min(axis=1, initial=n), out=new[k:k + step])
         new = new[new]
         if (new == label).all():
-            return label
+            return label.astype(np.int64)
         label = new
 
 
+def unit_forest(units: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the units whose rows the links join, fewer than there are units."""
+    unit, of = np.unique(units, return_inverse=True)
+    if len(unit) == len(units):
+        order = np.argsort(units, kind="stable")
+        return forest(units[order], linked[np.ix_(order, order)])
+    between = np.zeros((len(unit), len(unit)), dtype=bool)
+    row, col = np.nonzero(linked)
+    between[of[row], of[col]] = True
+    return forest(unit, between)
+
+
 def forest(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join exactly what the links join: every id to the smallest index it reaches."""
     root = lowest(linked)
@@ -35,19 +54,24 @@ def forest(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def forest_between(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The same for links between two different blocks."""
     rows, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    if not len(rows):
+        return left[:0], right[:0]
     part = linked[np.ix_(rows, cols)]
     n, m = part.shape
-    label, other = np.arange(n), np.full(m, n)
-    while n and m:
-        other = np.where(part, label[:, None], n).min(axis=0)
-        new = np.minimum(label, np.where(part, other[None], n).min(axis=1))
+    step = max(1, CELLS // m)
+    label = np.arange(n, dtype=np.int32)
+    while True:
+        other = np.full(m, n, dtype=np.int32)
+        for k in range(0, n, step):
+            np.minimum(other, np.where(part[k:k + step], label[k:k + step, None], np.int32(n)).min(axis=0), out=other)
+        new = label.copy()
+        for k in range(0, n, step):
+            np.minimum(new[k:k + step], np.where(part[k:k + step], other[None], np.int32(n)).min(axis=1), out=new[k:k + step])
         if (new == label).all():
             break
         label = new
-    first = part.argmax(axis=1) if m else rows  # some right-hand partner of each row keeps the row in its tree
-    a = np.concatenate([left[rows], right[cols]])
-    b = np.concatenate([right[cols[first]], left[rows[other]]]) if n and m else a[:0]
-    return a[: len(b)], b
+    first = part.argmax(axis=1)  # some right-hand partner of each row keeps the row in its tree
+    return np.concatenate([left[rows], right[cols]]), np.concatenate([right[cols[first]], left[rows[other]]])
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -100,5 +124,6 @@ def tiled_links(members: DataFrame, group: str, load: str, limit: int, payload:
             left, right = table.filter(pa.array(side == 0)), table.filter(pa.array(side == 1))
             if left.num_rows and right.num_rows:
                 yield from compare(left, right)
+        given_back()
 
     return tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.lineage import scratch_scope
-from sparkmine.llm.common import kept, slices
-from sparkmine.llm.links import component_of, forest, forest_between, runs, tiled_links
+from sparkmine.llm.common import given_back, kept, slices
+from sparkmine.llm.links import component_of, forest, forest_between, runs, tiled_links, unit_forest
 from sparkmine.llm.words import U, mix, windows, words
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -30,12 +30,18 @@ SAMPLED, RUNS, DEPTH = 64, 8, 2
 BRANCHING, DEEPER = 2.0, 1.25
 SMALL = 64          # sets on a path that are compared at once
 CHUNK = 512         # sets on a deepest path that are compared at once; a longer path goes on to tiles
-TILE = 4096         # sets of one side of a tile
+TILE = 1024         # sets of one side of a tile, on average
 LOOSE = 0.6         # sampled agreement that puts two sets into one group
-STRIPE = 1_500_000  # shingles that a task holds of one stripe
+STRIPE = 750_000    # shingles that a task holds of one stripe
 ROWS = 2048         # sets of one stripe, as a comparison holds rows x rows matrices
+BLOCK = 1 << 16     # shingles that are bit columns at a time
+AHEAD = 1 << 20     # number of the run that goes ahead of the others
 #: sets of the audit (compared with all sets by their samples), the recall asked for, and the attempts
 PROBES, TARGET, ATTEMPTS = 1024, 0.995, 4
+#: sampled agreement below the threshold at which the audit still asks for a pair: few pairs of the threshold agree less
+MARGIN = 0.1
+#: samples of a band and bands by which the audit finds sets that have a partner
+BAND, BANDS = 4, 4
 SLICE = 1 << 20
 
 
@@ -85,19 +91,20 @@ def sample_tokens(value: np.ndarray, first: np.ndarray, t: int = SAMPLED) -> np.
     return (mix(out + np.arange(t, dtype=U)) >> U(32)).astype(np.uint32)
 
 
+def _sums(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size of every set and two sums over it; equal ones mean equal sets."""
+    one, two = np.r_[U(0), np.cumsum(value)], np.r_[U(0), np.cumsum(mix(value + U(77)))]
+    return np.diff(first).astype(np.int32), (one[first[1:]] - one[first[:-1]]).view(np.int64), (two[first[1:]] - two[first[:-1]]).view(np.int64)
+
+
 def _sketch(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 value, first = shingle_sets(part.column("text"), size)
-                n = np.diff(first)
-                mixed = mix(value + U(77))
-                sums = np.r_[U(0), np.cumsum(value)]
-                twice = np.r_[U(0), np.cumsum(mixed)]
                 sig = sample_tokens(value, first)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(n.astype(np.int32)), pa.array((sums[first[1:]] - sums[first[:-1]]).view(np.int64)),
-                    pa.array((twice[first[1:]] - twice[first[:-1]]).view(np.int64)), pa.array([r.tobytes() for r in sig], pa.binary())],
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *map(pa.array, _sums(value, first)), pa.array([r.tobytes() for r in sig], pa.binary())],
                     names=["doc_id", "n", "k1", "k2", "sig"])
 
     return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, n int, k1 long, k2 long, sig binary")
@@ -115,18 +122,18 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def _start(sets: DataFrame, runs_: int, branching: float, first: int = 0) -> DataFrame:
-    """First level: every set takes part in every run; runs are numbered from ``first``."""
+    """First level: every set ``(id, unit, sig)`` takes part in every run; runs are numbered from ``first``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, ids = _tokens(batch.column("sig")), batch.column("id").to_numpy()
+            sig, ids, units = _tokens(batch.column("sig")), batch.column("id").to_numpy(), batch.column("unit").to_numpy()
             for r in range(first, first + runs_):
                 row, path = _choose(sig, np.full(len(ids), r, dtype=U), branching)
-                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row])], names=["path", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(ids[row]), pa.array(units[row])], names=["path", "id", "unit"])
 
-    return sets.select("id", "sig").mapInArrow(run, "path long, id long")
+    return sets.select("id", "unit", "sig").mapInArrow(run, "path long, id long, unit long")
 
 
 def _deeper(rows: DataFrame, branching: float) -> DataFrame:
@@ -135,9 +142,10 @@ def _deeper(rows: DataFrame, branching: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             row, path = _choose(_tokens(batch.column("sig")), batch.column("path").to_numpy().view(U), branching)
-            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(batch.column("id").to_numpy()[row])], names=["path", "id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(path.view(np.int64)), *(pa.array(batch.column(c).to_numpy()[row]) for c in ("id", "unit"))], names=["path", "id", "unit"])
 
-    return rows.select("path", "id", "sig").mapInArrow(run, "path long, id long")
+    return rows.select("path", "id", "unit", "sig").mapInArrow(run, "path long, id long, unit long")
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -148,72 +156,98 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare_paths(rows: DataFrame) -> DataFrame:
-    """Edges of a forest over the sets of a path that agree loosely: ``(a, b)``."""
+    """Edges between the units of a path whose sets agree loosely, a forest for each path: ``(a, b)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["path"]):
             if table.num_rows > 1:
                 sig = _tokens(table.column("sig").combine_chunks())
-                a, b = forest(table.column("id").to_numpy(), _agreement(sig, sig) >= LOOSE * SAMPLED)
+                a, b = unit_forest(table.column("unit").to_numpy(), _agreement(sig, sig) >= LOOSE * SAMPLED)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return rows.select("path", "id", "sig").repartition("path").sortWithinPartitions("path").mapInArrow(run, "a long, b long")
+    return rows.select("path", "unit", "sig").repartition("path").sortWithinPartitions("path").mapInArrow(run, "a long, b long")
 
 
 def _compare_tiles(rows: DataFrame) -> DataFrame:
-    """The same for crowded paths, whole: all sets ``(path, id, unit, sig)`` of a path meet, unless their ``unit`` is equal.
+    """The same for crowded paths, whole: all sets ``(path, id, unit, count, sig)`` of a path meet, unless their ``unit`` is equal.
 
     Units are groups found before, whose sets need no edge between them any more. A unit that fills a tile on a path has
-    stripes of its own, which do not meet; smaller ones are pooled. A row travels once for every stripe it meets.
+    stripes of its own, which do not meet; the sets of smaller ones are pooled. Either are dealt to stripes by a hash of the
+    set, so that a stripe has about ``TILE`` rows whatever the units. A row travels once for every stripe it meets.
     """
     size = rows.groupBy("path", "unit").agg(F.count(F.lit(1)).alias("n"))
-    pool = size.groupBy("path").agg(F.greatest(F.ceil(F.sum(F.when(F.col("n") <= TILE, F.col("n"))) / TILE), F.lit(1)).alias("pool"))
     own = F.when(F.col("n") > TILE, F.col("unit"))
-    stripe = F.when(own.isNotNull(), F.xxhash64("unit", F.pmod(F.xxhash64("id", F.lit(43)), F.ceil(F.col("n") / TILE)))).otherwise(
-        F.pmod(F.xxhash64("unit", F.lit(43)), F.coalesce("pool", F.lit(1))))
-    placed = kept(rows.drop("sig").join(size, ["path", "unit"]).join(pool, "path").select("path", "id", own.alias("own"), stripe.alias("stripe")), "placed")
+    chunk = lambda n: F.pmod(F.xxhash64("id", F.lit(43)), n)
+    stripe = F.when(own.isNotNull(), F.xxhash64("unit", chunk(F.ceil(F.col("n") / TILE)))).otherwise(chunk(F.ceil(F.col("count") / TILE)))
+    placed = kept(rows.drop("sig").join(size, ["path", "unit"]).select("path", "id", "unit", own.alias("own"), stripe.alias("stripe")), "placed")
     stripes = placed.select("path", "stripe", "own").distinct()
     a, b = (stripes.select("path", F.col("stripe").alias(k), F.col("own").alias(f"own_{k}")) for k in "ij")
     pairs = a.join(b, "path").filter((F.col("i") <= F.col("j")) & ~F.coalesce(F.col("own_i") == F.col("own_j"), F.lit(False)))
     side = lambda k, n: pairs.select("path", F.col(k).alias("stripe"), "i", "j", F.lit(n).alias("side"))
     meet = side("i", 0).union(side("j", 1).filter("i < j"))
-    sent = placed.select("path", "id", "stripe").join(meet, ["path", "stripe"]).select("path", "i", "j", "side", "id")
+    sent = placed.select("path", "id", "unit", "stripe").join(meet, ["path", "stripe"]).select("path", "i", "j", "side", "id", "unit")
     keys = ["path", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, keys):
-            sig, ids, of = _tokens(table.column("sig").combine_chunks()), table.column("id").to_numpy(), table.column("side").to_numpy()
+            sig, units, of = _tokens(table.column("sig").combine_chunks()), table.column("unit").to_numpy(), table.column("side").to_numpy()
             if table.column("i")[0] == table.column("j")[0]:
-                one, two = forest(ids, _agreement(sig, sig) >= LOOSE * SAMPLED)
+                one, two = unit_forest(units, _agreement(sig, sig) >= LOOSE * SAMPLED)
             else:
-                one, two = forest_between(ids[of == 0], ids[of == 1], _agreement(sig[of == 0], sig[of == 1]) >= LOOSE * SAMPLED)
+                one, two = forest_between(units[of == 0], units[of == 1], _agreement(sig[of == 0], sig[of == 1]) >= LOOSE * SAMPLED)
+                apart = np.unique(np.stack([one, two])[:, one != two], axis=1)
+                one, two = apart[0], apart[1]
             if len(one):
                 yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+        given_back()
 
-    full = sent.join(rows.select("id", "sig").dropDuplicates(["id"]), "id").select(*keys, "side", "id", "sig")
+    full = sent.join(rows.select("id", "sig").dropDuplicates(["id"]), "id").select(*keys, "side", "unit", "sig")
     return full.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
+def _shared(level: DataFrame) -> DataFrame:
+    """Rows of the paths that hold sets of several units, with the number of sets on the path."""
+    size = level.groupBy("path").agg(F.count(F.lit(1)).alias("count"), F.min("unit").alias("_low"), F.max("unit").alias("_high"))
+    return level.join(size.filter("_low <> _high").select("path", "count"), "path")
+
+
 def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCHING, depth: int = DEPTH, first: int = 0) -> DataFrame:
-    """Edges between sets that share a chosen path and agree on most sampled tokens.
+    """Edges between units of sets ``(id, unit, sig)`` that share a chosen path and agree on most sampled tokens.
+
+    One run more goes ahead, its paths cut into chunks by a hash, and what it joins is contracted before the others follow:
+    those then only tell what joins groups, so the component search gets a few edges for a set however many runs there are.
+    """
+    ahead = _chunked(_shared(kept(_start(sets, 1, branching, AHEAD + first), "paths")))
+    found = kept(_compare_paths(ahead.join(sets.select("id", "sig"), "id")).distinct(), "edges")
+    units = kept(contracted(sets.select("id", F.col("unit").alias("a"), "unit", "sig"), found), "units")
+    star = units.filter("a <> unit").select("a", F.col("unit").alias("b")).distinct()
+    return star.union(_edges_of_runs(units, runs_, branching, depth, first))
+
+
+def _chunked(shared: DataFrame) -> DataFrame:
+    """``path, id, unit`` with paths of more than ``CHUNK`` sets cut into chunks."""
+    chunks = F.ceil(F.col("count") / CHUNK)
+    return shared.select(F.when(chunks > 1, F.xxhash64("path", F.pmod(F.xxhash64("id", "path"), chunks))).otherwise(F.col("path")).alias("path"), "id", "unit")
+
+
+def _edges_of_runs(sets: DataFrame, runs_: int, branching: float, depth: int, first: int) -> DataFrame:
+    """Edges that ``runs_`` runs find between units, each path given as a forest.
 
     A pair of similarity 0.8 shares no first choice in one run with probability exp(-0.8 * ``branching``), about 0.2;
     ``runs_`` runs miss fewer than three pairs in a million while the paths are not crowded. On a crowded path a shared
     choice is kept with probability 1 - exp(-1) a level: a pair all of whose paths are crowded is missed by about three
     in ten thousand, however many sets are there. Paths still longer than ``CHUNK`` on the last level are compared in
     chunks cut by a hash, which links the large groups, then whole between the groups; that is quadratic in their sets.
+    A path that holds one unit only has nothing to add and is left out.
     """
     sig = sets.select("id", "sig")
     level = kept(_start(sets, runs_, branching, first), "paths")
     found = []
     for step in range(depth):
-        size = level.groupBy("path").count().filter("count > 1")
-        shared = level.join(size, "path")
         last = step == depth - 1
-        few = shared if last else shared.filter(F.col("count") <= SMALL)
-        chunks = F.ceil(F.col("count") / CHUNK)
-        few = few.select(F.when(chunks > 1, F.xxhash64("path", F.pmod(F.xxhash64("id", "path"), chunks))).otherwise(F.col("path")).alias("path"), "id")
+        shared = kept(_shared(level), "shared") if last else _shared(level)
+        few = _chunked(shared if last else shared.filter(F.col("count") <= SMALL))
         found.append(kept(_compare_paths(few.join(sig, "id")).distinct(), "edges"))
         if last:
             break
@@ -222,78 +256,107 @@ def loose_edges(sets: DataFrame, *, runs_: int = RUNS, branching: float = BRANCH
     edges = found[0]
     for e in found[1:]:
         edges = edges.union(e)
-    crowded = shared.filter(F.col("count") > CHUNK).select("path", "id")
+    crowded = shared.filter(F.col("count") > CHUNK)
     if crowded.isEmpty():
         return edges
-    unit = crowded.join(component_of(edges, "unit"), "id", "left").withColumn("unit", F.coalesce("unit", "id"))
-    return edges.union(kept(_compare_tiles(unit.join(sig, "id")).distinct(), "edges"))
+    crowded = kept(contracted(crowded, edges), "crowded")
+    return edges.union(kept(_compare_tiles(crowded.join(sig, "id")).distinct(), "edges"))
+
 
+def contracted(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` with every unit replaced by the smallest that ``edges`` joins it to."""
+    joined = component_of(edges, "whole").withColumnRenamed("id", "unit")
+    return rows.join(joined, "unit", "left").withColumn("unit", F.coalesce("whole", "unit")).drop("whole")
 
-def recall(sets: DataFrame, loose: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES) -> float:
-    """Share of the pairs of ``probes`` hash-chosen sets with any set that ``loose (id, loose)`` holds in one group.
 
-    Pairs are those whose samples agree to ``threshold``. Every probe with a partner weighs the same; 1 without any.
+def _probes(sets: DataFrame, probes: int) -> DataFrame:
+    """Hash-chosen sets ``(id)`` of those that share a band of samples with another set, so that most have a partner.
+
+    The bands do not depend on the paths that the runs choose.
+    """
+    bands = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.substring("sig", 1 + 4 * BAND * k, 4 * BAND).alias("band")) for k in range(BANDS)]))
+    shared = sets.select("id", bands.alias("b")).groupBy("b").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a <> z")
+    return shared.select(F.explode(F.array("a", "z")).alias("id")).distinct().orderBy(F.xxhash64("id", F.lit(53)), "id").limit(probes)
+
+
+def recall(sets: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES) -> tuple[float, int]:
+    """Share of the pairs of probes with any set that stand in one unit, and the number of probes that have a partner.
+
+    ``sets`` is ``(id, unit, sig)``. Pairs are those whose samples agree to ``threshold`` less ``MARGIN``, which the samples of
+    nearly all pairs of that similarity do. Every probe with a partner weighs the same; without any the share is 1.
     """
-    grouped = kept(sets.select("id", "sig").join(loose, "id", "left"), "audited")
-    chosen = grouped.orderBy(F.xxhash64("id", F.lit(53)), "id").limit(probes).toArrow()
+    chosen = sets.select("id", "unit", "sig").join(F.broadcast(_probes(sets, probes)), "id").toArrow()
     if not chosen.num_rows:
-        return 1.0
-    ids, groups = chosen.column("id").to_numpy(), chosen.column("loose").fill_null(-1).to_numpy()
-    alone, own = ~chosen.column("loose").is_valid().to_numpy(), _tokens(chosen.column("sig").combine_chunks())
+        return 1.0, 0
+    ids, groups, own = chosen.column("id").to_numpy(), chosen.column("unit").to_numpy(), _tokens(chosen.column("sig").combine_chunks())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         true, held = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
-                close = _agreement(own, _tokens(part.column("sig"))) >= threshold * SAMPLED
+                close = _agreement(own, _tokens(part.column("sig"))) >= (threshold - MARGIN) * SAMPLED
                 close &= ids[:, None] != part.column("id").to_numpy()[None]
-                group = part.column("loose").fill_null(-1).to_numpy(zero_copy_only=False)
-                together = (groups[:, None] == group[None]) & part.column("loose").is_valid().to_numpy(zero_copy_only=False)[None] & ~alone[:, None]
                 true += close.sum(axis=1)
-                held += (close & together).sum(axis=1)
+                held += (close & (groups[:, None] == part.column("unit").to_numpy()[None])).sum(axis=1)
         some = true > 0
         yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(true[some]), pa.array(held[some])], names=["id", "true", "held"])
 
-    counted = grouped.mapInArrow(run, "id long, true long, held long").groupBy("id").agg((F.sum("held") / F.sum("true")).alias("share"))
-    share = counted.agg(F.avg("share")).first()[0]
-    return 1.0 if share is None else share
+    counted = sets.select("id", "unit", "sig").mapInArrow(run, "id long, true long, held long").groupBy("id").agg((F.sum("held") / F.sum("true")).alias("share"))
+    share, partnered = counted.agg(F.avg("share"), F.count(F.lit(1))).first()
+    return (1.0 if share is None else share), partnered
 
 
 def loose_groups(sets: DataFrame, *, threshold: float, runs_: int) -> DataFrame:
-    """``id, loose`` from as many runs as the audit asks for."""
-    edges = None
+    """``id, loose`` for the sets that share a group with others, from as many runs as the audit asks for."""
+    units = kept(sets.select("id", F.col("id").alias("unit"), "sig"), "units")
     for attempt in range(ATTEMPTS):
-        new = loose_edges(sets, runs_=runs_, first=attempt * runs_)
-        edges = new if edges is None else edges.union(new)
-        loose = component_of(edges, "loose")
-        found = recall(sets, loose, threshold=threshold)
+        units = kept(contracted(units, loose_edges(units, runs_=runs_, first=attempt * runs_)), "units")
+        found, _ = recall(units, threshold=threshold)
         if found >= TARGET:
-            return loose
+            several = units.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("unit")
+            return units.select("id", "unit").join(several, "unit").select("id", F.col("unit").alias("loose"))
     raise RuntimeError(f"{ATTEMPTS * runs_} runs bring {found:.4f} of the audited pairs together, {TARGET} are asked for")
 
 
-def _bits(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of two blocks as bit rows over the tokens that occur more than once."""
-    token, number = np.unique(np.concatenate([left, right]), return_inverse=True)
-    often = np.bincount(number, minlength=len(token)) > 1
-    code = np.cumsum(often) - 1
-    width = -(-int(often.sum()) // 64) * 8 + 8
-    out = []
-    for numbers, of, rows in ((number[:len(left)], of_left, n), (number[len(left):], of_right, m)):
-        keep = often[numbers]
-        c, r = code[numbers[keep]], of[keep]
-        bits = np.zeros((rows, width), dtype=np.uint8)
-        np.bitwise_or.at(bits, (r, c >> 3), (np.uint8(1) << (c & 7).astype(np.uint8)))
-        out.append(bits.view(np.uint64))
-    return out[0], out[1]
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty((len(a), len(b)), dtype=np.int32)
-    step = max(1, (1 << 22) // max(1, b.size))
-    for k in range(0, len(a), step):
-        out[k:k + step] = np.bitwise_count(a[k:k + step, None, :] & b[None]).sum(axis=2, dtype=np.int32)
+def _common(left: np.ndarray, right: np.ndarray, of_left: np.ndarray, of_right: np.ndarray, n: int, m: int) -> np.ndarray:
+    """Number of tokens that each row of one block shares with each row of the other.
+
+    Tokens that occur in both blocks become bits, ``BLOCK`` of them at a time, and the counts are added up.
+    """
+    token = np.intersect1d(np.unique(left), np.unique(right), assume_unique=True)
+    out = np.zeros((n, m), dtype=np.int32)
+    if not len(token):
+        return out
+
+    def shared(tokens: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.minimum(np.searchsorted(token, tokens), len(token) - 1)
+        some = np.flatnonzero(token[place] == tokens)
+        order = some[np.argsort(place[some], kind="stable")]
+        return place[order].astype(np.int32), of[order].astype(np.int32)
+
+    sides = [shared(left, of_left), shared(right, of_right)]
+    for at in range(0, len(token), BLOCK):
+        width = -(-min(BLOCK, len(token) - at) // 64) * 8
+        bits = []
+        for (place, of), rows in zip(sides, (n, m)):
+            a, b = np.searchsorted(place, [at, at + BLOCK])
+            c, r = place[a:b] - at, of[a:b]
+            flat = np.zeros((rows, width), dtype=np.uint8)
+            np.bitwise_or.at(flat, (r, c >> 3), np.uint8(1) << (c & 7).astype(np.uint8))
+            bits.append(flat.view(np.uint64))
+        step = max(1, (1 << 20) // max(1, bits[1].size))
+        for k in range(0, n, step):
+            out[k:k + step] += np.bitwise_count(bits[0][k:k + step, None, :] & bits[1][None]).sum(axis=2, dtype=np.int32)
+    return out
+
+
+def _linked(common: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float) -> np.ndarray:
+    """Where the Jaccard similarity reaches the threshold, some rows at a time."""
+    out = np.empty(common.shape, dtype=bool)
+    for k in range(0, len(common), 256):
+        some = common[k:k + 256]
+        out[k:k + 256] = some >= threshold * (na[k:k + 256, None] + nb[None] - some) - 1e-9
     return out
 
 
@@ -308,9 +371,7 @@ def _exact(threshold: float):
     def compare(left: pa.Table, right: pa.Table | None) -> Iterator[pa.RecordBatch]:
         a, of_a, na, ida, ca = flat(left)
         b, of_b, nb, idb, cb = flat(right) if right is not None else (a, of_a, na, ida, ca)
-        bits_a, bits_b = _bits(a, b, of_a, of_b, len(na), len(nb))
-        common = _common(bits_a, bits_b)
-        linked = common >= threshold * (na[:, None] + nb[None] - common) - 1e-9
+        linked = _linked(_common(a, b, of_a, of_b, len(na), len(nb)), na, nb, threshold)
         if right is None:
             np.fill_diagonal(linked, False)
             edge = forest(ida, linked)
@@ -328,15 +389,18 @@ def _exact(threshold: float):
 
 
 def _whole_sets(docs: DataFrame, size: int) -> DataFrame:
+    """Shingle sets of the texts ``(doc_id, text, loose, copies, n, k1, k2)`` that the sums ``n, k1, k2`` belong to."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 value, first = shingle_sets(part.column("text"), size)
+                own = pa.array(np.all([s == part.column(k).to_numpy() for s, k in zip(_sums(value, first), ("n", "k1", "k2"))], axis=0))
                 raw = value.tobytes()
                 tokens = [raw[8 * a:8 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in ("doc_id", "loose", "copies")), pa.array(np.diff(first)), pa.array(tokens, pa.binary())],
-                    names=["id", "loose", "copies", "load", "tokens"])
+                    names=["id", "loose", "copies", "load", "tokens"]).filter(own)
 
     return docs.mapInArrow(run, "id long, loose long, copies long, load long, tokens binary")
 
@@ -356,7 +420,7 @@ def jaccard_classes(docs: DataFrame, *, threshold: float = THRESHOLD, size: int
         grouped = sketch.filter("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "sig")).alias("r"), F.count(F.lit(1)).alias("copies"))
         sets = kept(grouped.select(*key, F.col("r.doc_id").alias("id"), "copies", F.col("r.sig").alias("sig")), "sets")
         loose = loose_groups(sets, threshold=threshold, runs_=runs_).withColumnRenamed("id", "doc_id")
-        chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies"), "doc_id"), "chosen")
+        chosen = kept(loose.join(sets.select(F.col("id").alias("doc_id"), "copies", *key), "doc_id"), "chosen")
         # a shuffle join at every size: what is read again grows with the documents, not with the settings
         texts = docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id")
         members = kept(_whole_sets(texts, size).dropDuplicates(["id"]), "members").withColumn("load", F.greatest("load", F.lit(-(-STRIPE // ROWS))))
