@@ -2,9 +2,10 @@
 
 Equal vectors of a label are one with a multiplicity. Random hyperplanes give a first graph; rounds of local joins
 (all neighbours and reverse neighbours of a vector meet each other) improve it, and lists that are full of near
-copies grow with every round. Close neighbours form loose groups inside which all pairs are compared in double
-precision, so links are counted exactly and no list limits them. A probe of a few vectors against all audits the
-recall; below the target the graph gets more hyperplanes and more rounds.
+copies are doubled. Close neighbours form loose groups inside which all pairs are compared in double precision, so
+links are counted exactly and no list limits them. Probes against all vectors audit the recall, more of them until enough
+have a link; below the target the graph gets more hyperplanes and more rounds, and if that does not help, all vectors of
+a label are compared block by block.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ THRESHOLD, LOOSE = 0.98, 0.97
 K, TREES, ROUNDS = 6, 6, 2
 LEAF, CHUNK, STRIPE = 64, 256, 2048
 #: vectors of the recall audit (compared with all rows), the recall asked for, and the attempts
-PROBES, TARGET, ATTEMPTS = 256, 0.995, 3
+PROBES, TARGET, ATTEMPTS = 1024, 0.995, 3
+#: probes with a link that an audit should rest on, and the most probes that it draws for that
+PARTNERED, MOST_PROBES = 32, 1 << 15
 
 
 def _unit(vectors: DataFrame) -> DataFrame:
@@ -106,23 +109,30 @@ def _meet(rows: DataFrame, k: int) -> DataFrame:
     return cut.repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk").mapInArrow(run, "a long, b long, sim float")
 
 
-def _best(edges: DataFrame, k: int, grown: int) -> DataFrame:
-    """The ``k`` best neighbours of every vector; near copies keep up to ``grown``."""
-    one = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    order = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return one.withColumn("place", order).filter((F.col("place") <= k) | ((F.col("sim") >= LOOSE) & (F.col("place") <= grown))).drop("place")
+def _best(edges: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best neighbours ``a, b, sim, room`` of every vector, and of near copies as many as it has room for.
+
+    A list starts with room for ``4 * k`` near copies; where more are found than it holds, its room is doubled.
+    """
+    one = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("room").alias("room"))
+    mine = Window.partitionBy("a")
+    near, had = F.count_if(F.col("sim") >= LOOSE).over(mine), F.coalesce(F.max("room").over(mine), F.lit(2 * k))
+    room = F.when((near > had) | F.max("room").over(mine).isNull(), had * 2).otherwise(had)
+    placed = one.select("a", "b", "sim", room.alias("room"), F.row_number().over(mine.orderBy(F.desc("sim"), "b")).alias("place"))
+    return placed.filter((F.col("place") <= k) | ((F.col("sim") >= LOOSE) & (F.col("place") <= F.col("room")))).drop("place")
 
 
 def neighbour_graph(reps: DataFrame, *, trees: int = TREES, rounds: int = ROUNDS, k: int = K, seed: int = 1) -> DataFrame:
-    """``a, b, sim``: approximate nearest neighbours of equal ``g``."""
+    """``a, b, sim, room``: approximate nearest neighbours of equal ``g``."""
     sizes = kept(reps.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "sizes")
     single = reps.select("id", "x").mapInArrow(_to_single, "id long, y binary")
-    graph = kept(_best(_meet(_leaves(reps, sizes, trees, seed), k), k, 4 * k), "graph")
-    for step in range(rounds):
+    fresh = lambda met: met.withColumn("room", F.lit(None).cast("int"))
+    graph = kept(_best(fresh(_meet(_leaves(reps, sizes, trees, seed), k)), k), "graph")
+    for _ in range(rounds):
         around = graph.select(F.col("a").alias("leaf"), F.col("b").alias("id")).union(
             graph.select(F.col("b").alias("leaf"), F.col("a").alias("id"))).union(graph.select(F.col("a").alias("leaf"), F.col("a").alias("id"))).distinct()
         found = _meet(around.join(single, "id").select("leaf", "id", "y"), k)
-        graph = kept(_best(graph.union(found), k, 4 * k << step + 1), "graph")
+        graph = kept(_best(graph.union(fresh(found)), k), "graph")
     return graph
 
 
@@ -153,31 +163,53 @@ def _exact(threshold: float):
     return compare
 
 
-def recall(reps: DataFrame, links: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES) -> float:
-    """Share of the true links of up to ``probes`` vectors that ``links (id, others)`` counts; 1 if they have none."""
-    order = F.xxhash64("id", F.lit(51))
-    chosen = reps.orderBy(order, "id").limit(probes).select("id", "g", "x").toArrow()
-    if not chosen.num_rows:
-        return 1.0
-    ids, groups, raw = chosen.column("id").to_pylist(), chosen.column("g").to_numpy(), chosen.column("x").to_pylist()
+def recall(reps: DataFrame, links: DataFrame, *, threshold: float = THRESHOLD, probes: int = PROBES) -> tuple[float, int]:
+    """Share of the true links of hash-chosen probes that ``links (id, others)`` counts, and the number of probes that have some.
+
+    Every probe with a link weighs the same, however many copies it has. Up to eight times as many probes follow until
+    ``PARTNERED`` of them have a link, or ``MOST_PROBES`` or all vectors were asked; without any link the share is 1.
+    """
+    turn = F.xxhash64("id", F.lit(51))
+    share, partnered, first = 0.0, 0, 0
+    while first < MOST_PROBES:
+        chosen = reps.orderBy(turn, "id").limit(first + probes).select("id", "g", "x").toArrow().slice(first)
+        if chosen.num_rows:
+            found, some = _audit(reps, links, chosen, threshold)
+            share, partnered = share + found, partnered + some
+        if chosen.num_rows < probes or partnered >= PARTNERED:
+            break
+        first, probes = first + probes, min(8 * probes, MOST_PROBES)
+    return (share / partnered if partnered else 1.0), partnered
+
+
+def _audit(reps: DataFrame, links: DataFrame, chosen: pa.Table, threshold: float) -> tuple[float, int]:
+    """Sum of the shares found over the probes with a true link, and their number."""
+    ids, groups = chosen.column("id").to_numpy(), chosen.column("g").to_numpy()
+    raw = chosen.column("x").to_pylist()
+    of = {int(g): np.flatnonzero(groups == g) for g in np.unique(groups)}
+    asked = {g: np.frombuffer(b"".join([raw[k] for k in at]), dtype=np.float64).reshape(len(at), -1) for g, at in of.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             own, g, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "g", "copies"))
             vectors = batch.column("x").to_pylist()
-            for k, probe in enumerate(ids):
-                at = np.flatnonzero((g == groups[k]) & (own != probe))
-                if len(at):
-                    x = np.frombuffer(b"".join([vectors[i] for i in at]), dtype=np.float64).reshape(len(at), -1)
-                    total[k] += copies[at][x @ np.frombuffer(raw[k], dtype=np.float64) >= threshold].sum()
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total)], names=["id", "true"])
+            for group in np.unique(g):
+                if int(group) not in of:
+                    continue
+                at = np.flatnonzero(g == group)
+                for k in range(0, len(at), 256):
+                    some = at[k:k + 256]
+                    x = np.frombuffer(b"".join([vectors[i] for i in some]), dtype=np.float64).reshape(len(some), -1)
+                    probe = of[int(group)]
+                    linked = (asked[int(group)] @ x.T >= threshold) & (ids[probe][:, None] != own[some][None])
+                    total[probe] += linked @ copies[some]
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(total[some])], names=["id", "true"])
 
     truth = reps.select("id", "g", "x", "copies").mapInArrow(run, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    row = truth.join(links, "id", "left").agg(F.sum("true").alias("true"), F.sum(F.least("true", F.coalesce("others", F.lit(0)))).alias("found")).first()
-    return 1.0 if not row["true"] else row["found"] / row["true"]
+    row = truth.join(links, "id", "left").agg(F.sum(F.least("true", F.coalesce("others", F.lit(0))) / F.col("true")), F.count(F.lit(1))).first()
+    return row[0] or 0.0, row[1]
 
 
 def vector_classes(vectors: DataFrame, *, threshold: float = THRESHOLD, attempts: int = ATTEMPTS) -> DataFrame:
@@ -186,27 +218,34 @@ def vector_classes(vectors: DataFrame, *, threshold: float = THRESHOLD, attempts
     Vectors link if their labels are equal and not null, their dimensions are equal and their cosine, in double
     precision, is ``threshold`` or more. Null, zero and not finite vectors link with nothing. Copies count as links.
     Of repeated rows of one vec_id the smallest (label, vector) counts; rows without a vec_id are left out; an
-    empty table gives an empty result.
+    empty table gives an empty result. If ``attempts`` graphs stay below the recall ``TARGET``, all vectors of a label
+    are compared: exact, and quadratic in them.
     """
     with scratch_scope(vectors.sparkSession):
         unit = kept(_unit(vectors), "unit", lasting=True)
         reps = kept(unit.groupBy("g", "x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "reps")
+        one = reps.select("id", "g", "x", "copies", F.lit(1).alias("load"))
+
+        def linked(members: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
+            found = kept(tiled_links(members, group, "load", STRIPE, ["copies", "x"], _exact(threshold), "a long, b long, what int"), "links")
+            return found, kept(found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others")), "weights")
+
         graph = None
         for attempt in range(attempts):
-            new = neighbour_graph(reps, trees=TREES * (attempt + 1), rounds=ROUNDS + attempt, seed=attempt + 1)
+            new = neighbour_graph(reps, trees=TREES * (attempt + 1), rounds=ROUNDS + attempt, seed=attempt + 1).select("a", "b", "sim")
             graph = new if graph is None else kept(graph.union(new), "graph")
             loose = component_of(graph.filter(F.col("sim") >= LOOSE).select("a", "b"), "loose")
-            members = loose.join(reps.select("id", "x", "copies"), "id").withColumn("load", F.lit(1))
-            found = kept(tiled_links(members, "loose", "load", STRIPE, ["copies", "x"], _exact(threshold), "a long, b long, what int"), "links")
-            weight = kept(found.filter("what = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("others")), "weights")
-            if recall(reps, weight, threshold=threshold) >= TARGET:
+            found, weight = linked(loose.join(one, "id"), "loose")
+            if recall(reps, weight, threshold=threshold)[0] >= TARGET:
                 break
+        else:
+            found, weight = linked(one, "g")
         classes = component_of(found.filter("what = 0").select("a", "b"), "component")
         per_rep = kept(reps.join(classes, "id", "left").join(weight, "id", "left").select(
             "g", "x", F.coalesce("component", "id").alias("component_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes", lasting=True)
-    linked = unit.join(per_rep, ["g", "x"]).select(F.col("id").alias("vec_id"), "component_id", "n_links")
+    linked_rows = unit.join(per_rep, ["g", "x"]).select(F.col("id").alias("vec_id"), "component_id", "n_links")
     ids = vectors.filter("vec_id is not null").select("vec_id").distinct()
-    out = ids.join(linked, "vec_id", "left").select(
+    out = ids.join(linked_rows, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
