@@ -135,19 +135,20 @@ def probabilities(m: Model, t: Tables, rows: np.ndarray) -> np.ndarray:
 def training_sample(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` windows of each language from texts that are not held out, chosen by hash.
 
-    A window starts anywhere in its text. Languages are counted over all rows first.
+    A window starts anywhere in its text. Languages are counted over all rows that are not held out first; the
+    ``MOST_LANGUAGES`` with the most rows are learned (ties by name), so that the model is bounded.
     """
-    usable = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in docs.filter("lang is not null").groupBy("lang").count().limit(MOST_LANGUAGES + 1).toLocalIterator()}
-    if not counts or len(counts) > MOST_LANGUAGES:
-        if counts:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    told = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    usable = told.filter(F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["count"] for r in told.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).toLocalIterator()}
+    if not counts:
         return []
     draw = (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40))
     share = F.create_map(*[x for g, n in counts.items() for x in (F.lit(g), F.lit(min(1.0, 2.0 * per_language / n)))])
     at = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))) + 1
     rows = usable.filter(draw < F.element_at(share, F.col("lang"))).select(
-        "doc_id", "lang", F.substring(F.col("text"), at.cast("int"), F.lit(WINDOW)).alias("window")).toArrow().sort_by("doc_id").to_pylist()
+        "doc_id", "lang", F.substring(F.col("text"), at.cast("int"), F.lit(WINDOW)).alias("window"), F.xxhash64("doc_id", F.lit(13)).alias("turn"))
+    rows = rows.toArrow().sort_by([("turn", "ascending"), ("doc_id", "ascending"), ("lang", "ascending"), ("window", "ascending")]).to_pylist()
     taken: dict[str, int] = {}
     out = []
     for r in rows:
@@ -190,6 +191,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def language(docs: DataFrame, *, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Train on the labelled sample and predict every row; see ``identify`` for the defined cases."""
+    """Train on the labelled sample and predict every row; see ``identify`` for the defined cases.
+
+    Rows that repeat a doc_id are judged one by one, and all may be in the sample; an empty table gives no rows.
+    """
     sample = training_sample(docs, per_language=per_language)
     return identify(docs, train(sample) if sample else None)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -27,11 +28,15 @@ TRAIN_PAGES = 300
 BLOCKS = frozenset((
     "html body div p article section main nav header footer aside ul ol li dl dt dd h1 h2 h3 h4 h5 h6 table thead tbody tfoot tr td th caption form "
     "fieldset blockquote pre figure figcaption details summary address dialog center hgroup menu search").split())
-SKIPPED = "script|style|noscript|template|head|title|svg|math|iframe|object|select|textarea|button|canvas|video|audio|datalist"
+#: elements whose content is no text; only the first two run to the end of the page where their end tag is missing
+SKIPPED = "script style noscript template title svg math iframe object select textarea button canvas video audio datalist".split()
+RAW = frozenset(SKIPPED[:2])
+END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 WALLS = frozenset("ul ol dl table".split())
+#: a quote of an attribute is one that ends before a blank or the end of the tag; where none does, the tag ends at the first >
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SKIPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]{0,4096}"(?=[\s/>])|'[^']{0,4096}'(?=[\s/>]))*+(?=>)|[^>]*)>|<[!?][^>]*>""", re.S | re.I)
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 LABEL = re.compile(r'data-y="([01])"')
 HINTS = {
@@ -63,6 +68,8 @@ def parse(source: str) -> Page:
     """Block elements and the text between their boundaries; markup that does not nest is closed like a browser would."""
     nodes, chars, linked = [Node("body", -1, frozenset(), None)], [0], [0]
     stack, spans, words, link = [0], [], [], False
+    opened: Counter[str] = Counter()
+    endless: set[str] = set()
 
     def flush() -> None:
         text = " ".join("".join(words).split())
@@ -77,40 +84,52 @@ def parse(source: str) -> Page:
         if link:
             linked[stack[-1]] += len(text.strip())
 
+    def close(k: int) -> None:
+        opened.subtract(nodes[i].tag for i in stack[k:])
+        del stack[k:]
+
     at = 0
-    for m in TOKEN.finditer(source):
+    while m := TOKEN.search(source, at):
         if m.start() > at:
             add(source[at:m.start()])
         at = m.end()
-        tag = m[3]
+        tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
         if tag not in BLOCKS:
-            if tag == "a":
-                link = not m[2]
+            if tag in END:
+                if m[1] or tag in endless or m[3].endswith("/") and tag not in RAW:
+                    continue
+                if (end := END[tag].search(source, at)) is not None:
+                    at = end.end()
+                elif tag in RAW:
+                    at = len(source)
+                else:
+                    endless.add(tag)
+            elif tag == "a":
+                link = not m[1]
             elif tag in ("br", "hr", "img", "input", "wbr"):
                 words.append(" " if tag != "wbr" else "")
             continue
         flush()
         link = False
-        if m[2]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag == tag), 0)
-            if k:
-                del stack[k:]
+        if m[1]:
+            if opened[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag == tag))
             continue
         if tag in ("html", "body"):
             continue
         if tag in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[t] for t in CLOSES[tag]) else ():
                 if nodes[stack[k]].tag in CLOSES[tag]:
-                    del stack[k:]
+                    close(k)
                     break
                 if nodes[stack[k]].tag in WALLS:
                     break
         elif nodes[stack[-1]].tag == "p":
-            stack.pop()
-        attrs = m[4]
+            close(len(stack) - 1)
+        attrs = m[3]
         hints = frozenset()
         if attrs and "=" in attrs:
             named = " ".join(next(filter(None, g), "") for g in NAMED.findall(attrs)).lower()
@@ -123,6 +142,7 @@ def parse(source: str) -> Page:
         chars.append(0)
         linked.append(0)
         stack.append(len(nodes) - 1)
+        opened[tag] += 1
     if at < len(source):
         add(source[at:])
     flush()

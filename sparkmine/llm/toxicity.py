@@ -211,8 +211,8 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(x: np.ndarray, y: np.ndarray, pick: np.ndarray) -> Trees:
-    """Trees on the rows with ``pick`` false, calibration on the others."""
-    if y[~pick].min() == y[~pick].max() or not pick.any():
+    """Trees on the rows with ``pick`` false, calibration on the others; all rows serve both where a side lacks a kind."""
+    if pick.all() or not pick.any() or y[~pick].min() == y[~pick].max():
         pick = np.zeros(len(y), dtype=bool)
     m = boost(x[~pick], y[~pick])
     side = pick if pick.any() else ~pick
@@ -224,7 +224,8 @@ def score(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS) -
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
     Several labels of one document count as toxic if any does; null labels teach nothing. A null or empty text gets
-    the score of its (zero) features. Without labelled rows of both kinds every score is their share, or 0.
+    the score of its (zero) features. Without labelled rows of both kinds every score is their share, or 0. Rows that
+    repeat a doc_id are scored one by one; an empty table gives no rows.
     """
     learned = lexicon(docs, labels)
     table = kept(features(docs, learned), "features", lasting=True)
