@@ -169,8 +169,8 @@ def _compare_paths(rows: DataFrame) -> DataFrame:
     return rows.select("path", "unit", "sig").repartition("path").sortWithinPartitions("path").mapInArrow(run, "a long, b long")
 
 
-def _compare_tiles(rows: DataFrame) -> DataFrame:
-    """The same for crowded paths, whole: all sets ``(path, id, unit, count, sig)`` of a path meet, unless their ``unit`` is equal.
+def _compare_tiles(rows: DataFrame, sig: DataFrame) -> DataFrame:
+    """The same for crowded paths, whole: all sets ``(path, id, unit, count)`` of a path meet, unless their ``unit`` is equal.
 
     Units are groups found before, whose sets need no edge between them any more. A unit that fills a tile on a path has
     stripes of its own, which do not meet; the sets of smaller ones are pooled. Either are dealt to stripes by a hash of the
@@ -180,7 +180,7 @@ def _compare_tiles(rows: DataFrame) -> DataFrame:
     own = F.when(F.col("n") > TILE, F.col("unit"))
     chunk = lambda n: F.pmod(F.xxhash64("id", F.lit(43)), n)
     stripe = F.when(own.isNotNull(), F.xxhash64("unit", chunk(F.ceil(F.col("n") / TILE)))).otherwise(chunk(F.ceil(F.col("count") / TILE)))
-    placed = kept(rows.drop("sig").join(size, ["path", "unit"]).select("path", "id", "unit", own.alias("own"), stripe.alias("stripe")), "placed")
+    placed = kept(rows.join(size, ["path", "unit"]).select("path", "id", "unit", own.alias("own"), stripe.alias("stripe")), "placed")
     stripes = placed.select("path", "stripe", "own").distinct()
     a, b = (stripes.select("path", F.col("stripe").alias(k), F.col("own").alias(f"own_{k}")) for k in "ij")
     pairs = a.join(b, "path").filter((F.col("i") <= F.col("j")) & ~F.coalesce(F.col("own_i") == F.col("own_j"), F.lit(False)))
@@ -202,7 +202,7 @@ def _compare_tiles(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
         given_back()
 
-    full = sent.join(rows.select("id", "sig").dropDuplicates(["id"]), "id").select(*keys, "side", "unit", "sig")
+    full = sent.join(sig, "id").select(*keys, "side", "unit", "sig")
     return full.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
@@ -260,7 +260,7 @@ def _edges_of_runs(sets: DataFrame, runs_: int, branching: float, depth: int, fi
     if crowded.isEmpty():
         return edges
     crowded = kept(contracted(crowded, edges), "crowded")
-    return edges.union(kept(_compare_tiles(crowded.join(sig, "id")).distinct(), "edges"))
+    return edges.union(kept(_compare_tiles(crowded, sig).distinct(), "edges"))
 
 
 def contracted(rows: DataFrame, edges: DataFrame) -> DataFrame:
