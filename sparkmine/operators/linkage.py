@@ -1,6 +1,8 @@
 """Average-linkage agglomeration by rounds of mutual-nearest-neighbour merges.
 
-Distances are taken once. From then on every cluster is a row that holds its sums of distances to all live clusters, its
+While there are more than ``MANY`` clusters, a round sums up the distances of their rows anew, block pair by block pair,
+and keeps the nearest cluster of each only, so that tables stay as long as the rows. Up to ``MANY``, distances are taken
+once. From then on every cluster is a row that holds its sums of distances to all live clusters, its
 nearest cluster and the height of that merge: sums of merged clusters add up, so a round adds rows and columns together
 and looks for a new nearest only where a cluster, or its nearest, has merged.
 """
@@ -9,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,13 +21,16 @@ from pyspark.sql import functions as F
 
 from sparkmine.functions.vectors import distances
 from sparkmine.lineage import cut, scoped, small_table
-from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, every_pair, join_blocks
+from sparkmine.operators.blocks import Block, build_blocks, chunked_rows, cluster_blocks, every_pair, join_blocks
 from sparkmine.operators.cluster_quality import mark_best, scores
 from sparkmine.operators.components import number_by_order
 
 FEW = 32  # clusters whose last merges one task makes
+MANY = 4096  # clusters whose sums of all pairs are kept
 MERGES = "height double, a bigint, b bigint, round int"
 STATE = "cluster bigint, size bigint, near bigint, height double, totals binary"
+PARTS = "cluster bigint, place binary, part binary"
+FOUND = "cluster bigint, size bigint, other bigint, pairs double, total double, whole boolean"
 
 
 @dataclass
@@ -43,6 +49,83 @@ class Live:
         return self.ids[best], mean[rows, best]
 
 
+def _cluster_sums(a: Block, b: Block) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...], np.ndarray]:
+    """Clusters of two blocks ``(id, size, whole)`` and the sums of the distances between their rows, which come in the order of the clusters."""
+    def clusters(x: Block) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+        ids, first, n = np.unique(x.tags, return_index=True, return_counts=True)
+        return (ids, x.vals[first], n == x.vals[first]), first
+
+    (of_a, first_a), (of_b, first_b) = clusters(a), clusters(b)
+    code = np.searchsorted(of_a[0], a.tags)
+    total = np.zeros((len(of_a[0]), len(of_b[0])))
+    for s in chunked_rows(len(a.ids), len(b.ids)):
+        d = np.add.reduceat(distances(a.xs[s], b.xs), first_b, axis=1)
+        own, first = np.unique(code[s], return_index=True)
+        total[own] += np.add.reduceat(d, first, axis=0)
+    return of_a, of_b, total
+
+
+def _blocks_of(members: DataFrame, sizes: DataFrame, width: int):
+    n = sizes.agg(F.sum("size")).first()[0] or 0
+    return cluster_blocks(members.join(sizes, "cluster"), n, width)[0]
+
+
+def _nearest(members: DataFrame, sizes: DataFrame, asked: DataFrame, width: int) -> DataFrame:
+    """``(cluster, size, near, height)`` of the ``asked (cluster, size)``, from the rows ``members (id, x, cluster)`` of all.
+
+    Clusters that lie whole in two blocks are compared there and only the nearest is passed on; parts of larger ones, of
+    which there are few, pass on their sums.
+    """
+    q, c = _blocks_of(members, asked, width), _blocks_of(members, sizes, width)
+
+    def compare(a: Block, b: Block) -> pd.DataFrame:
+        (ids, size, all_a), (others, sizes_b, all_b), total = _cluster_sums(a, b)
+        pairs = size[:, None] * sizes_b[None]
+        apart, whole = ids[:, None] != others[None], all_a[:, None] & all_b[None]
+        mean = np.where(whole & apart, total / pairs, np.inf)
+        rows, best = np.arange(len(ids)), mean.argmin(axis=1)
+        wanted = apart & ~whole
+        wanted[rows, best] |= np.isfinite(mean[rows, best])
+        r, k = np.nonzero(wanted)
+        return pd.DataFrame({"cluster": ids[r], "size": size[r].astype(np.int64), "other": others[k], "pairs": pairs[r, k], "total": total[r, k], "whole": whole[r, k]})
+
+    def kept(found: pd.DataFrame) -> pd.DataFrame:
+        parts = found[~found["whole"]].groupby(["cluster", "size", "other", "pairs", "whole"], as_index=False).agg({"total": "sum"})
+        full = found[found["whole"]]
+        full = full.assign(height=full["total"] / full["pairs"]).sort_values(["cluster", "height", "other"]).drop_duplicates("cluster")
+        return pd.concat([full[found.columns], parts[found.columns]], ignore_index=True)
+
+    found = join_blocks(q, c, every_pair(q, c), compare, FOUND, kept)
+    summed = found.groupBy("cluster", "size", "other", "pairs").agg(F.sum("total").alias("total"))
+    best = F.min(F.struct((F.col("total") / F.col("pairs")).alias("height"), "other")).alias("best")
+    return summed.groupBy("cluster", "size").agg(best).select("cluster", "size", F.col("best.other").alias("near"), F.col("best.height").alias("height"))
+
+
+def _merged_rows(members: DataFrame, width: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Rounds that keep no sums, until at most ``MANY`` clusters are left: their rows, their sizes and the merges of each round."""
+    size_of = lambda d: cut(d.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")))
+    members, rounds = cut(members.withColumn("cluster", F.col("id"))), []
+    sizes = size_of(members)
+    n = sizes.count()
+    state = cut(_nearest(members, sizes, sizes, width))
+    while n > MANY:
+        pairs = cut(_mutual(state))
+        merged = pairs.count()
+        if not merged:  # rounding kept the ends of equal means from agreeing: the first lowest pair is theirs
+            both = [F.least("cluster", "near").alias("a"), F.greatest("cluster", "near").alias("b")]
+            pairs, merged = cut(state.select("height", *both).orderBy("height", "a", "b").limit(1)), 1
+        rounds.append(pairs.select("height", "a", "b", F.lit(len(rounds) + 1).alias("round")))
+        into = pairs.select(F.col("b").alias("cluster"), F.col("a").alias("into"))
+        members = cut(members.join(into, "cluster", "left").select("id", "x", F.coalesce("into", "cluster").alias("cluster")))
+        sizes, n = size_of(members), n - merged
+        moved = pairs.select(F.explode(F.array("a", "b")).alias("cluster"))
+        fresh = state.join(moved, "cluster", "left_anti").join(moved.withColumnRenamed("cluster", "near"), "near", "left_anti")
+        if n > MANY:
+            stale = cut(sizes.join(fresh, "cluster", "left_anti"))
+            state = cut(fresh.select("cluster", "size", "near", "height").union(_nearest(members, sizes, stale, width)))
+    return members, sizes, rounds
+
+
 def _first_sums(points: DataFrame, live: Live) -> DataFrame:
     """The state of single rows: every distance once, block pair by block pair."""
     blocks = build_blocks(points, "id", "x", pivots=np.zeros((0, 0)))
@@ -52,15 +135,29 @@ def _first_sums(points: DataFrame, live: Live) -> DataFrame:
         rows = [d.tobytes() for s in chunked_rows(len(q.ids), len(c.ids)) for d in distances(q.xs[s], c.xs)]
         return pd.DataFrame({"cluster": q.ids, "place": [place] * len(rows), "part": rows})
 
-    parts = join_blocks(blocks, blocks, every_pair(blocks, blocks), part, "cluster bigint, place binary, part binary")
+    return _whole_rows(join_blocks(blocks, blocks, every_pair(blocks, blocks), part, PARTS), live)
+
+
+def _sums_of(members: DataFrame, sizes: DataFrame, width: int, live: Live) -> DataFrame:
+    """The state of clusters of several rows, which may come in parts."""
+    blocks = _blocks_of(members, sizes, width)
+
+    def part(q: Block, c: Block) -> pd.DataFrame:
+        (ids, _, _), (others, _, _), total = _cluster_sums(q, c)
+        place = np.searchsorted(live.ids, others).astype(np.int32).tobytes()
+        return pd.DataFrame({"cluster": ids, "place": [place] * len(ids), "part": [t.tobytes() for t in total]})
+
+    return _whole_rows(join_blocks(blocks, blocks, every_pair(blocks, blocks), part, PARTS), live, in_parts=True)
+
 
+def _whole_rows(parts: DataFrame, live: Live, in_parts: bool = False) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, row = None, np.zeros(0)
 
         def told() -> pa.RecordBatch:
-            one = np.ones(1, dtype=np.int64)
-            near, height = live.nearest(np.array([at]), one, row[None])
-            return _batch(np.array([at]), one, near, height, row[None])
+            size = live.sizes[np.searchsorted(live.ids, [at])]
+            near, height = live.nearest(np.array([at]), size, row[None])
+            return _batch(np.array([at]), size, near, height, row[None])
 
         for batch in batches:
             for cluster, place, piece in zip(batch.column("cluster").to_pylist(), batch.column("place"), batch.column("part")):
@@ -68,7 +165,8 @@ def _first_sums(points: DataFrame, live: Live) -> DataFrame:
                     if at is not None:
                         yield told()
                     at, row = cluster, np.zeros(len(live.ids))
-                row[np.frombuffer(place.as_buffer(), dtype=np.int32)] = np.frombuffer(piece.as_buffer())
+                at_piece, sums = np.frombuffer(place.as_buffer(), dtype=np.int32), np.frombuffer(piece.as_buffer())
+                row[at_piece] = row[at_piece] + sums if in_parts else sums
         if at is not None:
             yield told()
 
@@ -172,22 +270,31 @@ def dendrogram(df: DataFrame, *, id_col: str, x_col: str) -> DataFrame:
     """All ``n - 1`` merges ``(height, a, b, round)``; ``b`` joins ``a``, the smaller id.
 
     Average linkage is reducible, so every mutual-nearest pair can merge in the same round and the tree equals the one
-    built a merge at a time. The last ``FEW`` clusters are merged by one task. Up to one row there is nothing to merge.
+    built a merge at a time. Beyond ``MANY`` clusters no sums are kept; the last ``FEW`` are merged by one task. Up to one row there is nothing to merge.
     """
     points = cut(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(x_col).cast("array<double>").alias("x")))
-    ids = np.sort(points.select("id").toArrow().column("id").to_numpy())
-    live = Live(ids, np.ones(len(ids), dtype=np.int64))
+    n, width = points.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     spark = df.sparkSession
-    if len(ids) < 2:
+    if n < 2:
         return small_table(spark, [], MERGES)
-    state, found, turn = cut(_first_sums(points, live)), [], 0
+    rounds: list[DataFrame] = []
+    if n > MANY:
+        members, sizes, rounds = _merged_rows(points, width)
+        held = sizes.orderBy("cluster").toArrow()
+        live = Live(held.column("cluster").to_numpy(), held.column("size").to_numpy().copy())
+        first = _sums_of(members, sizes, width, live)
+    else:
+        ids = np.sort(points.select("id").toArrow().column("id").to_numpy())
+        live = Live(ids, np.ones(len(ids), dtype=np.int64))
+        first = _first_sums(points, live)
+    state, found, turn = cut(first), [], len(rounds)
     while len(live.ids) > FEW:
         turn += 1
         pairs = _mutual(state).toArrow()
         found += [(h, a, b, turn) for h, a, b in zip(*(pairs.column(c).to_pylist() for c in ("height", "a", "b")))]
         merged, live = _merged(state, live, pairs.column("a").to_numpy(), pairs.column("b").to_numpy())
         state = cut(merged)
-    merges = small_table(spark, found, MERGES)
+    merges = reduce(DataFrame.union, rounds, small_table(spark, found, MERGES))
     return merges.union(cut(_finish(state, live, turn + 1))) if len(live.ids) > 1 else merges
 
 

@@ -46,6 +46,20 @@ def test_linkage_of_copies(spark, monkeypatch):
     assert len(merges) == 59 and sum(r["height"] < 1e-9 for r in merges) == 55
 
 
+def test_linkage_of_many_rows_keeps_no_sums(spark, monkeypatch):
+    """Rounds that sum anew and rounds on kept sums make the same tree; clusters may outgrow a block, ids may be far apart."""
+    x = np.concatenate([RNG.normal(size=(250, 3)), RNG.normal(6, 0.1, size=(300, 3)), np.full((40, 3), 3.0)])
+    df = vectors(spark, x).withColumn("id", F.col("id") * 7 - 1000)
+    read = lambda: sorted((r["a"], r["b"], round(r["height"], 9)) for r in linkage.dendrogram(df, id_col="id", x_col="x").collect())
+    kept = read()
+    monkeypatch.setattr(linkage, "MANY", 12)
+    monkeypatch.setattr(linkage, "FEW", 4)
+    widest = []
+    real = linkage._whole_rows
+    monkeypatch.setattr(linkage, "_whole_rows", lambda parts, live, in_parts=False: widest.append(len(live.ids)) or real(parts, live, in_parts))
+    assert read() == kept and max(widest) <= 12
+
+
 # density clustering at several radii
 
 
