@@ -12,6 +12,7 @@ from sparkmine.functions.joins import null_safe_join, side_table
 from sparkmine.lineage import cut
 
 ROWS_PER_WINDOW = 1_000_000
+MAX_RANGES = 256  # ranges of fewer rows than ``ROWS_PER_WINDOW``: one more range costs a task and a file
 SMALL_GROUP = 1_000_000
 ACCURACY = 10_000
 
@@ -29,8 +30,10 @@ def running_sums(
 
     Input has one row per (``by``, ``order``). A group larger than
     ``rows_per_window`` is cut into value ranges: each range is summed in its own
-    task and shifted by the total of the ranges before it. Null groups and null
-    values are kept, and ``order`` may have any sortable type.
+    task and shifted by the total of the ranges before it. A range holds about half of
+    ``rows_per_window``, or more where that would make over ``MAX_RANGES`` of them, up to
+    half of ``ROWS_PER_WINDOW``. Null groups and null values are kept, and ``order`` may
+    have any sortable type.
     """
     df = cut(df)
     by = list(by)
@@ -42,7 +45,8 @@ def running_sums(
         return df.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums])
 
     total = df.count()
-    parts = 2 * math.ceil(total / rows_per_window) + 1
+    ranges = lambda rows: 2 * math.ceil(total / rows) + 1
+    parts = min(ranges(rows_per_window), max(MAX_RANGES, ranges(ROWS_PER_WINDOW)))
     # ranges of any type, over groups and values together, so a large group takes several and a null group is one of them
     ranged = cut(df.repartitionByRange(parts, *[F.col(c) for c in by], sort).withColumn("_range", F.spark_partition_id()))
     totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

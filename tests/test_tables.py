@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.ordered import exact_quantiles, key_cuts, running_sums
@@ -46,6 +47,17 @@ def test_running_sums_over_ranges(spark, descending):
     assert running_sums(counts.filter("x IS NOT NULL").groupBy("x").agg(F.sum("n").alias("n")), [], "x", ["n"], rows_per_window=50).agg(F.max("cum_n")).first()[0] == df.filter("x IS NOT NULL").count()
 
 
+def test_ranges_stay_few_however_small_the_window(spark, monkeypatch):
+    """One range costs a task and a file, so ten times the rows must not make ten times the ranges."""
+    monkeypatch.setattr("sparkmine.functions.ordered.MAX_RANGES", 16)
+    made = []
+    real = DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda self, n, *c: made.append(n) or real(self, n, *c))
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), "id", F.lit(1).alias("n"))
+    got = running_sums(df, ["g"], "id", ["n"], rows_per_window=10)
+    assert got.filter(F.col("cum_n") != F.floor(F.col("id") / 2) + 1).isEmpty() and got.count() == 3000 and made == [16]
+
+
 @pytest.mark.parametrize("small", [1, 100_000])
 def test_key_cuts(spark, small):
     rng = np.random.default_rng(1)
