@@ -1,6 +1,7 @@
 """Neighbours, clustering and quality against brute force on small inputs."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,6 +280,24 @@ def test_stripes_equal_copies_and_move_each_block_to_the_stripes_only(spark, man
     assert "Join" not in plan.split("Union")[0] and plan.split("Union")[0].count("Exchange") == 1
 
 
+@pytest.mark.parametrize("copied", [True, False])
+def test_block_pairs_are_dealt_to_more_tasks_and_pass_on_one_result_a_block(spark, many_cells, monkeypatch, copied):
+    """The work of a task is bounded, and a task passes on the best candidates of a query block, not those of every pair."""
+    monkeypatch.setattr(blocks, "TASK_PAIRS", 1500, raising=False)
+    monkeypatch.setattr(blocks, "STRIPE_ROWS", 40, raising=False)
+    if not copied:
+        monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    b = blocks.build_blocks(frame(spark, sample(6)), "id", "x", pivots=np.zeros((0, 0)), block_rows=40)
+    pairs = blocks.every_pair(b, b)
+    told = lambda q, c: pd.DataFrame({"id": q.ids, "n": len(c.ids)})
+    merge = lambda d: d.groupby("id", as_index=False).agg({"n": "sum"})
+    out = blocks.join_blocks(b, b, pairs, told, "id bigint, n bigint", merge).withColumn("task", F.spark_partition_id()).collect()
+    n, tasks = b.rows, {r["task"] for r in out}
+    assert len(tasks) > 32  # four for each core is what one task list of fixed length had
+    assert len(out) == len({(r["id"], r["task"]) for r in out})
+    assert {i: sum(r["n"] for r in out if r["id"] == i) for i in range(n)} == dict.fromkeys(range(n), n)
+
+
 def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
     monkeypatch.setattr(grid, "CELL_ROWS", 20)
     monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 30)
