@@ -298,6 +298,24 @@ def test_block_pairs_are_dealt_to_more_tasks_and_pass_on_one_result_a_block(spar
     assert {i: sum(r["n"] for r in out if r["id"] == i) for i in range(n)} == dict.fromkeys(range(n), n)
 
 
+@pytest.mark.parametrize("both", [False, True])
+def test_results_kept_in_the_blocks_are_told_once_a_task(spark, many_cells, both):
+    """With ``tell`` a block's result is told when its pairs are done; with ``both`` a pair is compared once for its two blocks."""
+    b = blocks.build_blocks(frame(spark, sample(7)), "id", "x", pivots=np.zeros((0, 0)), block_rows=40)
+
+    def meet(q, c):
+        q.kept = (0 if q.kept is None else q.kept) + len(c.ids)
+        if both and q is not c:
+            c.kept = (0 if c.kept is None else c.kept) + len(q.ids)
+
+    told = lambda q: pd.DataFrame({"id": q.ids, "n": q.kept})
+    out = blocks.join_blocks(b, b, blocks.every_pair(b, b), meet, "id bigint, n bigint", tell=told, both=both)
+    met = {}
+    for r in out.collect():
+        met[r["id"]] = met.get(r["id"], 0) + r["n"]
+    assert met == dict.fromkeys(range(b.rows), b.rows)
+
+
 def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
     monkeypatch.setattr(grid, "CELL_ROWS", 20)
     monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 30)
