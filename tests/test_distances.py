@@ -316,6 +316,17 @@ def test_results_kept_in_the_blocks_are_told_once_a_task(spark, many_cells, both
     assert met == dict.fromkeys(range(b.rows), b.rows)
 
 
+def test_silhouettes_of_several_labellings_take_the_distances_once(spark, many_cells, monkeypatch):
+    x, n = sample(8), 300
+    labels = np.stack([np.arange(n) % 2, np.arange(n) % 3, np.where(np.arange(n) == 7, 5, 4)], axis=1)
+    df = frame(spark, x).join(spark.createDataFrame([(i, *map(int, r)) for i, r in enumerate(labels)], "id bigint, a int, b int, c int"), "id")
+    joins, real = [], cluster_quality.join_blocks
+    monkeypatch.setattr(cluster_quality, "join_blocks", lambda *a, **o: joins.append(1) or real(*a, **o))
+    got = cluster_quality.silhouettes(df, id_col="id", x_col="x", cluster_cols=["a", "b", "c"])
+    assert len(joins) == 1
+    assert np.allclose(got, [plain_silhouette(x, labels[:, i]).mean() for i in range(3)])
+
+
 def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
     monkeypatch.setattr(grid, "CELL_ROWS", 20)
     monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 30)
