@@ -15,9 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.lineage import cut
 from sparkmine.operators.blocks import CELL_ROWS, MAX_BLOCK_ROWS, PACKED, Block, _block, _gathered, _pack
 
 KEY = ["gx", "gy"]
+TILE = 4  # blocks of a crowded cell that one task takes of either side
+TASK_PAIRS = 1 << 31  # row pairs of one task if all its blocks were full
 
 
 @dataclass
@@ -54,14 +57,47 @@ def grid_for(df: DataFrame, x_col: str, eps: float) -> Grid:
 
 def join_cells(q: DataFrame, c: DataFrame, width: int, compare: Callable[[Block, Block], pd.DataFrame], schema: str,
                merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None, *, symmetric: bool = False) -> DataFrame:
-    """Run ``compare`` on all blocks of the same or touching cells; with ``symmetric``, once for each two cells."""
+    """Run ``compare`` on all blocks of the same or touching cells; with ``symmetric``, once for each two cells.
+
+    A cell of many blocks is dealt into tiles of about ``TILE`` blocks on either side, and the tiles to a number of tasks
+    that follows the block pairs. Blocks are exchanged, not copied through the driver; a task holds the query blocks of a
+    tile and streams the others.
+    """
+    spark = q.sparkSession
+    q, c = (cut(q),) * 2 if q is c else (cut(q), cut(c))
     near = [(i, j) for i in (-1, 0, 1) for j in ((-1, 0, 1) if width > 1 else (0,)) if not symmetric or (i, j) >= (0, 0)]
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in near]))
-    side = lambda b, s: b.select(*KEY, *[F.col(k).alias(f"{s}_{k}") for k in ("ids", "xs", "tags", "vals")])
-    left = side(q, "q").withColumn("_o", around).withColumn("gx", F.col("gx") + F.col("_o.i")).withColumn("gy", F.col("gy") + F.col("_o.j")).drop("_o")
+
+    def moved(b: DataFrame) -> DataFrame:
+        shifted = b.withColumn("_o", around)
+        return shifted.withColumn("gx", F.col("gx") + F.col("_o.i")).withColumn("gy", F.col("gy") + F.col("_o.j")).drop("_o")
+
+    tiles = lambda b, name: b.groupBy(*KEY).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
+    rows = tiles(q, "own")
+    cells = cut(tiles(c, "cols").join(moved(rows).groupBy(*KEY).agg(F.max("own").alias("rows")), KEY))
+    pairs = (cells.agg(F.sum(F.col("rows").cast("bigint") * F.col("cols"))).first()[0] or 0) * TILE * TILE * len(near) * MAX_BLOCK_ROWS ** 2
+    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(pairs / TASK_PAIRS))
+    tile = lambda n: F.pmod(F.xxhash64("ids"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    blocks = ["ids", "xs", "tags", "vals"]
+    left = moved(q.join(rows, KEY).withColumn("row", tile("own")).select(*KEY, "row", *blocks)).join(cells, KEY).withColumn("col", every("cols"))
+    right = c.join(cells, KEY).withColumn("col", tile("cols")).withColumn("row", every("rows"))
+    where = [*KEY, "row", "col"]
+    side = lambda b, n: b.select(*where, F.lit(n).alias("side"), *blocks)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        at, held = None, []
+        for batch in batches:
+            for k, (*key, which) in enumerate(zip(*(batch.column(n).to_pylist() for n in (*where, "side")))):
+                if key != at:
+                    at, held = key, []
+                block = _block(batch, k, width)
+                if which == 0:
+                    held.append(block)
+                else:
+                    yield from (compare(other, block) for other in held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = (compare(_block(b, k, width, "q_"), _block(b, k, width, "c_")) for b in batches for k in range(b.num_rows))
-        return _gathered(pairs, merge)
+        return _gathered(compared(batches), merge)
 
-    return left.join(side(c, "c"), KEY).drop(*KEY).mapInArrow(run, schema)
+    return side(left, 0).union(side(right, 1)).repartition(tasks, *where).sortWithinPartitions(*where, "side").mapInArrow(run, schema)

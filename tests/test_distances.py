@@ -327,6 +327,21 @@ def test_silhouettes_of_several_labellings_take_the_distances_once(spark, many_c
     assert np.allclose(got, [plain_silhouette(x, labels[:, i]).mean() for i in range(3)])
 
 
+def test_crowded_cell_is_dealt_to_many_tasks(spark, many_cells, monkeypatch):
+    """One cell that holds all rows is compared by many tasks, each pair of blocks once."""
+    monkeypatch.setattr(grid, "TILE", 2, raising=False)
+    df = frame(spark, np.random.default_rng(3).random((400, 2)) * 0.1 + 0.2)
+    cells = grid.Grid(1.0, 2)
+    b = cells.blocks(df, "id", "x")
+    told = lambda q, c: pd.DataFrame({"id": q.ids, "n": len(c.ids)})
+    merge = lambda d: d.groupby("id", as_index=False).agg({"n": "sum"})
+    joined = grid.join_cells(b, b, 2, told, "id bigint, n bigint", merge)
+    out = joined.withColumn("task", F.spark_partition_id()).collect()
+    assert {i: sum(r["n"] for r in out if r["id"] == i) for i in range(400)} == dict.fromkeys(range(400), 400)
+    assert len({r["task"] for r in out}) > 4
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+
+
 def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
     monkeypatch.setattr(grid, "CELL_ROWS", 20)
     monkeypatch.setattr(grid, "MAX_BLOCK_ROWS", 30)
