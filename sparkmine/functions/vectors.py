@@ -53,9 +53,12 @@ def distances(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
     return np.sqrt(out, out=out) if p == 2 else out
 
 
+NARROW = 12  # up to as many columns, distances are plain differences
+
+
 def powers(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
     """The distances before their root is taken: squares for ``p=2``, the distances themselves for every other ``p``."""
-    if p != 2 or a.shape[1] <= 12:
+    if p != 2 or a.shape[1] <= NARROW:
         out, diff = np.zeros((len(a), len(b))), np.empty((len(a), len(b)))
         for j in range(a.shape[1]):
             into = diff if j else out
@@ -80,3 +83,34 @@ def powers(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
         diff = a[r] - b[c]
         sq[r, c] = np.einsum("ij,ij->i", diff, diff)
     return sq
+
+
+def floor_terms(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """Single-precision factors ``f, g`` and a scale: ``scale * (f @ g)`` lies a little below the squared distances of the rows.
+
+    Rows are centred and scaled to at most one. The sums of ``w + 2`` rounded products are off by less than ``(w + 5) * 2**-24`` of
+    twice the squared norms; twice as much is taken from the norms, so no square is below its floor. None if squares overflow.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        middle = b.mean(axis=0)
+        a, b = a - middle, b - middle
+        na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        scale = max(na.max(), nb.max())
+    if not np.isfinite(scale):
+        return None
+    scale = float(scale) if scale > 1e-290 else 1.0
+    less, unit = 1 - 4 * (a.shape[1] + 8) * 2.0 ** -24, scale ** -0.5
+    f, g = np.ones((len(a), a.shape[1] + 2), np.float32), np.ones((a.shape[1] + 2, len(b)), np.float32)
+    f[:, :-2], f[:, -2] = a * (-2 * unit), na / scale * less - 1e-30
+    g[:-2], g[-1] = (b * unit).T, nb / scale * less - 1e-30
+    return f, g, scale
+
+
+def paired_squares(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Squared distances of the listed pairs, as plain differences."""
+    out, step = np.empty(len(rows)), max(1, (1 << 20) // max(1, a.shape[1]))
+    for start in range(0, len(rows), step):
+        s = slice(start, start + step)
+        diff = a[rows[s]] - b[cols[s]]
+        out[s] = np.einsum("ij,ij->i", diff, diff)
+    return out

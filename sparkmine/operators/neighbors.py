@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmine.functions.ordered import exact_quantiles
-from sparkmine.functions.vectors import distances, matrix, powers
+from sparkmine.functions.vectors import NARROW, distances, floor_terms, matrix, paired_squares, powers
 from sparkmine.lineage import cut
 from sparkmine.operators.blocks import (
     Block,
@@ -26,6 +26,99 @@ from sparkmine.operators.blocks import (
 from sparkmine.operators.grid import grid_for, join_cells
 
 
+class _Best:
+    """The ``k`` best candidates of every row of a block; new ones wait until there are as many, then all are ranked."""
+
+    def __init__(self, n: int, k: int):
+        self.far, self.near = np.full((n, k), np.inf), np.zeros((n, k), np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, rows: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
+        if len(rows):
+            self.new.append((rows, dist, ids))
+            self.waiting += len(rows)
+        if self.waiting >= self.far.size:
+            self.rank()
+
+    def rank(self) -> None:
+        if not self.waiting:
+            return
+        k = self.far.shape[1]
+        rows, dist, ids = (np.concatenate(part) for part in zip(*self.new))
+        self.new, self.waiting = [], 0
+        hit, at = np.unique(rows, return_inverse=True)
+        # the candidates so far and the new ones of every row, the k best by distance and id
+        row = np.concatenate([np.repeat(np.arange(len(hit)), k), at])
+        dist = np.concatenate([self.far[hit].ravel(), dist])
+        other = np.concatenate([self.near[hit].ravel(), ids])
+        order = np.lexsort((other, dist, row))
+        row = row[order]
+        place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(hit)))[row]
+        best = order[place < k]
+        self.far[hit], self.near[hit] = dist[best].reshape(-1, k), other[best].reshape(-1, k)
+
+
+Candidates = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]  # rows of one block, rows of the other, powers
+
+
+def _compared(a: Block, b: Block, open_: np.ndarray, far: np.ndarray, k: int, p: int, skip: bool) -> Candidates:
+    """Pairs that may be among the ``k`` nearest of the ``open_`` rows of ``a``, from the distances of all pairs."""
+    for s in chunked_rows(len(open_), len(b.ids)):
+        own = open_[s]
+        d = powers(a.xs[own], b.xs, p)
+        limit = far[own] ** 2 * (1 + 1e-12) if p == 2 else far[own]
+        blank = np.isinf(limit)
+        if blank.any() and d.shape[1] > k:  # no k candidates yet: the k-th of this block is the limit
+            if skip:
+                d[a.tags[own][:, None] == b.tags[None, :]] = np.inf
+            limit = np.where(blank, np.partition(d, k - 1, axis=1)[:, k - 1], limit)
+        found = np.flatnonzero(d <= limit[:, None])
+        rows, cols = own[found // d.shape[1]], found % d.shape[1]
+        reached = d.ravel()[found]
+        keep = np.isfinite(reached)
+        if skip:
+            keep &= a.tags[rows] != b.tags[cols]
+        yield rows[keep], cols[keep], reached[keep]
+
+
+def _sifted(a: Block, b: Block, open_: np.ndarray, far: np.ndarray, k: int, p: int, skip: bool) -> Candidates:
+    """The same pairs of wide rows: floors of all squares in single precision, squares of the pairs whose floor is within the limit."""
+    ours, theirs = open_[np.isfinite(a.xs[open_]).all(axis=1)], np.flatnonzero(np.isfinite(b.xs).all(axis=1))
+    if not len(ours) or not len(theirs):  # other rows are at no finite distance
+        return
+    xs = b.xs[theirs]
+    terms = floor_terms(a.xs[ours], xs)
+    if terms is None:
+        yield from _compared(a, b, open_, far, k, p, skip)
+        return
+    f, g, scale = terms
+    tags = b.tags[theirs]
+    for s in chunked_rows(len(ours), len(theirs), 1 << 18):
+        own = ours[s]
+        low = f[s] @ g
+        limit = far[own] ** 2 * (1 + 1e-12)
+        blank = np.flatnonzero(np.isinf(limit))
+        if len(blank) and low.shape[1] > k:  # no k candidates yet: the farthest of the k with the lowest floors is the limit
+            some = low[blank]
+            if skip:
+                some[a.tags[own[blank]][:, None] == tags[None, :]] = np.inf
+            first = np.argpartition(some, k - 1, axis=1)[:, :k]
+            top = paired_squares(a.xs, xs, np.repeat(own[blank], k), first.ravel()).reshape(-1, k)
+            limit[blank] = np.where(np.isfinite(np.take_along_axis(some, first, axis=1)), top, np.inf).max(axis=1)
+        with np.errstate(over="ignore"):
+            most = np.nextafter((limit / scale).astype(np.float32), np.float32(np.inf))
+        found = np.flatnonzero(low <= most[:, None])
+        rows, cols = own[found // low.shape[1]], found % low.shape[1]
+        if skip:
+            other = a.tags[rows] != tags[cols]
+            rows, cols = rows[other], cols[other]
+        reached = paired_squares(a.xs, xs, rows, cols)
+        keep = reached <= limit[np.searchsorted(own, rows)]
+        keep &= np.isfinite(reached)
+        yield rows[keep], theirs[cols[keep]], reached[keep]
+
+
 def knn_join(
     queries: DataFrame,
     corpus: DataFrame,
@@ -60,48 +153,21 @@ def knn_join(
         if not len(a.ids) or not len(b.ids):
             return
         if a.kept is None:
-            a.kept = np.full((len(a.ids), k), np.inf), np.zeros((len(a.ids), k), np.int64)
-        far, near = a.kept
+            a.kept = _Best(len(a.ids), k)
+        best = a.kept
         middle = b.xs.mean(axis=0, keepdims=True)
         out_to = distances(b.xs, middle, p).max()
         # only rows whose candidates the block may improve; NaN compares as it may
-        open_ = np.flatnonzero(~(distances(a.xs, middle, p)[:, 0] - out_to > far[:, -1] * (1 + 1e-9) + 1e-9))
-        for s in chunked_rows(len(open_), len(b.ids)):
-            own = open_[s]
-            d = powers(a.xs[own], b.xs, p)
-            limit = far[own, -1] ** 2 * (1 + 1e-12) if p == 2 else far[own, -1]
-            blank = np.isinf(limit)
-            if blank.any() and d.shape[1] > k:  # no k candidates yet: the k-th of this block is the limit
-                if skip:
-                    d[a.tags[own][:, None] == b.tags[None, :]] = np.inf
-                limit = np.where(blank, np.partition(d, k - 1, axis=1)[:, k - 1], limit)
-            found = np.flatnonzero(d <= limit[:, None])
-            rows, cols = found // d.shape[1], found % d.shape[1]
-            reached = d.ravel()[found]
-            if skip:
-                keep = (a.tags[own][rows] != b.tags[cols]) & np.isfinite(reached)
-            else:
-                keep = np.isfinite(reached)
-            rows, cols, reached = rows[keep], cols[keep], reached[keep]
-            if not len(rows):
-                continue
-            if p == 2:
-                reached = np.sqrt(reached)
-            hit, at = np.unique(rows, return_inverse=True)
-            # the candidates so far and the new ones of every row, the k best by distance and id
-            row = np.concatenate([np.repeat(np.arange(len(hit)), k), at])
-            dist = np.concatenate([far[own[hit]].ravel(), reached])
-            other = np.concatenate([near[own[hit]].ravel(), b.ids[cols]])
-            order = np.lexsort((other, dist, row))
-            row = row[order]
-            place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(hit)))[row]
-            best = order[place < k]
-            far[own[hit]], near[own[hit]] = dist[best].reshape(-1, k), other[best].reshape(-1, k)
+        open_ = np.flatnonzero(~(distances(a.xs, middle, p)[:, 0] - out_to > best.far[:, -1] * (1 + 1e-9) + 1e-9))
+        sift = _sifted if p == 2 and a.xs.shape[1] > NARROW else _compared
+        for rows, cols, reached in sift(a, b, open_, best.far[:, -1], k, p, skip):
+            best.add(rows, np.sqrt(reached) if p == 2 else reached, b.ids[cols])
 
     def closest(a: Block) -> pd.DataFrame:
         if a.kept is None:
             return pd.DataFrame({"id": [], "neighbor": [], "distance": []})
-        far, near = a.kept
+        a.kept.rank()
+        far, near = a.kept.far, a.kept.near
         rows, cols = np.nonzero(np.isfinite(far))
         return pd.DataFrame({"id": a.ids[rows], "neighbor": near[rows, cols], "distance": far[rows, cols]})
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmine.functions import vectors
 from sparkmine.operators import blocks, cluster_quality, components, dbscan, grid, kmeans, linkage, neighbors
 
 
@@ -356,3 +357,65 @@ def test_grid_cells_follow_the_rows_and_split_a_hot_one(spark, monkeypatch):
         assert sum(r["n"] for r in packed) == n and max(r["n"] for r in packed) <= 60
         cells.append(len({(r["gx"], r["gy"]) for r in packed}))
     assert cells[1] > 2 * cells[0]
+
+
+def wide_sample(kind, n=260, width=24, seed=5):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width))
+    x[n // 2:n // 2 + 60] = x[0]  # copies, and near copies
+    x[-30:] = x[1] + rng.normal(size=(30, width)) * 1e-7
+    return {"plain": x, "offset": x * 1e-3 + 1e6, "outlier": np.concatenate([x, x[:1] * 1e9]), "tiny": x * 1e-160,
+            "huge": np.concatenate([x, x[:1] * 1e200])}[kind]
+
+
+@pytest.mark.parametrize("kind", ["plain", "offset", "outlier", "tiny", "huge"])
+def test_floors_stay_below_squares(kind):
+    x = wide_sample(kind)
+    with np.errstate(over="ignore"):
+        exact = ((x[:, None] - x[None]) ** 2).sum(-1)
+    terms = vectors.floor_terms(x, x)
+    if kind == "huge":
+        assert terms is None
+        return
+    f, g, scale = terms
+    low = (f @ g).astype(float) * scale
+    assert (low <= exact).all() and (exact - low).max() < 1e-4 * scale
+
+
+@pytest.mark.parametrize("kind", ["plain", "offset", "outlier", "huge"])
+@pytest.mark.parametrize("stripes", [False, True])
+def test_wide_neighbors_equal_brute_force(spark, many_cells, monkeypatch, kind, stripes):
+    if stripes:
+        monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    x = wide_sample(kind)
+    with np.errstate(over="ignore", invalid="ignore"):
+        exact = gaps(x)
+    fold = (np.arange(len(x)) * 7 % 3).astype(int)
+    df = frame(spark, x, [int(f) for f in fold])
+    got = neighbors.k_nearest(df, id_col="id", x_col="x", k=4).collect()
+    assert {(r["id"], r["neighbor"], r["rank"]) for r in got} == nearest(exact, 4)
+    across = neighbors.knn_join(df, df, id_col="id", x_col="x", k=5, skip_same="tag").collect()
+    assert {(r["id"], r["neighbor"], r["rank"]) for r in across} == nearest(exact, 5, fold[:, None] == fold[None])
+
+
+def test_rows_without_a_finite_distance_have_no_neighbors(spark):
+    x = wide_sample("plain", 200)
+    x[3, 0], x[4, 1] = np.nan, np.inf
+    got = {(r["id"], r["neighbor"], r["rank"]) for r in neighbors.k_nearest(frame(spark, x), id_col="id", x_col="x", k=3).collect()}
+    rest = np.delete(np.arange(200), [3, 4])
+    assert got == {(rest[i], rest[j], r) for i, j, r in nearest(gaps(x[rest]), 3)}
+
+
+def test_wide_neighbors_take_few_squares(monkeypatch):
+    x, taken = np.random.default_rng(6).normal(size=(4000, 64)), []
+    real = vectors.paired_squares
+    monkeypatch.setattr(neighbors, "paired_squares", lambda a, b, rows, cols: taken.append(len(rows)) or real(a, b, rows, cols))
+    monkeypatch.setattr(neighbors, "powers", lambda *_: pytest.fail("all squares were taken in double precision"))
+    part = [blocks.Block(np.arange(i, i + 1000), x[i:i + 1000], np.arange(i, i + 1000), np.ones(1000)) for i in range(0, 4000, 1000)]
+    best = neighbors._Best(1000, 5)
+    for b in part:
+        for rows, cols, reached in neighbors._sifted(part[0], b, np.arange(1000), best.far[:, -1], 5, 2, True):
+            best.add(rows, np.sqrt(reached), b.ids[cols])
+    best.rank()
+    assert {(i, j, r + 1) for i in range(1000) for r, j in enumerate(best.near[i])} == {t for t in nearest(gaps(x), 5) if t[0] < 1000}
+    assert sum(taken) < 4_000_000 / 100
