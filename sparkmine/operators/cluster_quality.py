@@ -53,13 +53,82 @@ def _distance_sums(a: Block, b: Block, sizes: np.ndarray | None = None) -> pd.Da
     return pd.concat(parts, ignore_index=True)
 
 
+class _Sums:
+    """What the rows of a block keep: sums to their own cluster, to the nearest other one, and to clusters of several blocks."""
+
+    def __init__(self, n: int):
+        self.own, self.own_n = np.zeros(n), np.zeros(n, np.int64)
+        self.mean, self.total, self.n, self.other = np.full(n, np.inf), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def take(self, s: slice, tags: np.ndarray, total: np.ndarray, clusters: np.ndarray, size: np.ndarray, whole: np.ndarray) -> None:
+        """Distance sums ``total`` of the rows ``s`` to ``clusters``, of which a block holds ``size`` rows, or all if ``whole``."""
+        for j in np.flatnonzero(~whole):
+            sums, n = self.parts.setdefault(int(clusters[j]), (np.zeros(len(self.own)), np.zeros(len(self.own), np.int64)))
+            sums[s] += total[:, j]
+            n[s] += size[j]
+        if not whole.any():
+            return
+        if not whole.all():
+            total, clusters, size = total[:, whole], clusters[whole], size[whole]
+        mean = total / size
+        at = np.minimum(np.searchsorted(clusters, tags), len(clusters) - 1)
+        own = np.flatnonzero(clusters[at] == tags)
+        self.own[s][own], self.own_n[s][own] = total[own, at[own]], size[at[own]]
+        mean[own, at[own]] = np.inf
+        best = mean.argmin(axis=1)
+        found = mean[np.arange(len(mean)), best]
+        better = np.flatnonzero(found < self.mean[s])
+        best = best[better]
+        self.mean[s][better], self.total[s][better], self.n[s][better], self.other[s][better] = (
+            found[better], total[better, best], size[best], clusters[best])
+
+    def told(self, ids: np.ndarray, tags: np.ndarray) -> pd.DataFrame:
+        own, near = np.flatnonzero(self.own_n), np.flatnonzero(np.isfinite(self.mean))
+        found = [(own, tags[own], self.own[own], self.own_n[own]), (near, self.other[near], self.total[near], self.n[near])]
+        for cluster, (sums, n) in self.parts.items():
+            some = np.flatnonzero(n)
+            found.append((some, np.full(len(some), cluster), sums[some], n[some]))
+        rows, other, total, n = (np.concatenate(part) for part in zip(*found))
+        return pd.DataFrame({"id": ids[rows], "cluster": tags[rows], "other": other, "total": total, "n": n})
+
+
+def _meet(q: Block, c: Block) -> None:
+    """Distance sums of the rows of either block to the clusters of the other one, each distance taken once; ``vals`` are cluster sizes."""
+    for block in (q, c):
+        if block.kept is None:
+            block.kept = _Sums(len(block.ids))
+
+    def clusters(b: Block) -> tuple[np.ndarray, ...]:  # a block is in the order of its tags
+        tags, first, size = np.unique(b.tags, return_index=True, return_counts=True)
+        return first, tags, size, size == b.vals[first]
+
+    first, *theirs = clusters(c)
+    _, *ours = clusters(q)
+    to_ours = np.zeros((len(ours[0]), len(c.ids)))
+    for s in chunked_rows(len(q.ids), len(c.ids)):
+        d = distances(q.xs[s], c.xs)
+        q.kept.take(s, q.tags[s], np.add.reduceat(d, first, axis=1), *theirs)
+        if c is not q:
+            own, start = np.unique(q.tags[s], return_index=True)
+            to_ours[np.searchsorted(ours[0], own)] += np.add.reduceat(d, start, axis=0)
+    if c is not q:
+        c.kept.take(slice(0, len(c.ids)), c.tags, to_ours.T, *ours)
+
+
+def _met(block: Block) -> pd.DataFrame:
+    return (block.kept or _Sums(0)).told(block.ids, block.tags)
+
+
 def _block_sums(q_rows: DataFrame | None, c_rows: DataFrame) -> DataFrame:
-    """Sums by block pairs; ``q_rows`` is the asked part of ``c_rows (id, x, cluster)``, or all of it."""
+    """Sums by block pairs; ``q_rows`` is the asked part of ``c_rows (id, x, cluster)``, or all of it: then a pair of rows is compared once."""
     sizes = c_rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     sized = c_rows.join(sizes, "cluster")
     n, width = c_rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     c, _ = cluster_blocks(sized, n, width or 1)
-    q = c if q_rows is None else build_blocks(q_rows, "id", "x", tag="cluster", pivots=np.zeros((0, 0)))
+    if q_rows is None:
+        return join_blocks(c, c, every_pair(c, c), _meet, SUMS, tell=_met, both=True)
+    q = build_blocks(q_rows, "id", "x", tag="cluster", pivots=np.zeros((0, 0)))
     return join_blocks(q, c, every_pair(q, c), lambda a, b: _distance_sums(a, b, b.vals), SUMS,
                        lambda d: d.groupby(["id", "cluster", "other"], as_index=False).agg({"total": "sum", "n": "sum"}))
 

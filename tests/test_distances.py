@@ -419,3 +419,45 @@ def test_wide_neighbors_take_few_squares(monkeypatch):
     best.rank()
     assert {(i, j, r + 1) for i in range(1000) for r, j in enumerate(best.near[i])} == {t for t in nearest(gaps(x), 5) if t[0] < 1000}
     assert sum(taken) < 4_000_000 / 100
+
+
+def silhouettes_of(x, label):
+    d, out = gaps(x), []
+    for i, own in enumerate(label):
+        mean = {c: d[i, label == c].sum() / ((label == c).sum() - (c == own) or 1) for c in set(label)}
+        a, b = mean.pop(own), min(mean.values())
+        out.append(0.0 if (label == own).sum() == 1 or not max(a, b) else (b - a) / max(a, b))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("small", [4, 7, 1])
+def test_silhouettes_of_many_clusters_equal_brute_force(spark, small):
+    """One cluster of several blocks, one of two, and many small ones: whole in their block."""
+    rng = np.random.default_rng(small)
+    label = np.concatenate([np.zeros(400, int), np.ones(150, int), 2 + np.arange(280) // small])
+    x = rng.normal(size=(label.max() + 1, 2))[label] * 3 + rng.normal(size=(len(label), 2))
+    got = cluster_quality.silhouette_rows(frame(spark, x, [int(v) for v in label]), id_col="id", x_col="x", cluster_col="tag").collect()
+    found = {r["id"]: r["silhouette"] for r in got}
+    assert len(got) == len(x)
+    np.testing.assert_allclose([found[i] for i in range(len(x))], silhouettes_of(x, label), atol=1e-9)
+
+
+def test_silhouettes_take_each_distance_once(monkeypatch):
+    rng, taken = np.random.default_rng(8), []
+    x, label = rng.normal(size=(900, 2)), np.sort(rng.integers(0, 90, 900))
+    label[:300] = 0
+    real = cluster_quality.distances
+    monkeypatch.setattr(cluster_quality, "distances", lambda a, b: taken.append(len(a) * len(b)) or real(a, b))
+    size = np.bincount(label)[label].astype(float)
+    cuts = [0, 150, 480, 900]  # the first cluster lies in two blocks
+    cuts[2] = int(np.searchsorted(label, label[480]))
+    part = [blocks.Block(np.arange(i, j), x[i:j], label[i:j], size[i:j]) for i, j in zip(cuts, cuts[1:])]
+    for i, q in enumerate(part):
+        for c in part[i:]:
+            cluster_quality._meet(q, c)
+    assert sum(taken) == (900 ** 2 + sum(len(b.ids) ** 2 for b in part)) // 2
+    rows = pd.concat([cluster_quality._met(b) for b in part]).groupby(["id", "cluster", "other"], as_index=False).sum()
+    own = rows[rows["cluster"] == rows["other"]].set_index("id")
+    a = (own["total"] / (own["n"] - 1)).sort_index()
+    b = (rows["total"] / rows["n"])[rows["cluster"] != rows["other"]].groupby(rows["id"]).min().sort_index()
+    np.testing.assert_allclose(((b - a) / np.maximum(a, b)).to_numpy(), silhouettes_of(x, label), atol=1e-9)
