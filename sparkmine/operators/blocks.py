@@ -69,12 +69,12 @@ class Block:
     kept: object = None  # what a comparison keeps of the block's rows from pair to pair of one task
 
 
-def choose_pivots(df: DataFrame, id_col: str, x_col: str) -> np.ndarray:
+def choose_pivots(df: DataFrame, id_col: str, x_col: str, *, cell_rows: int = CELL_ROWS, most: int = MAX_PIVOTS) -> np.ndarray:
     """A bounded random set of rows that act as cell centres."""
     rows, width = df.agg(F.count(F.lit(1)), F.max(F.size(x_col))).first()
     width = width or 1
-    count = rows // CELL_ROWS if width <= 16 else rows // (8 * CELL_ROWS)
-    count = min(MAX_PIVOTS, count)
+    count = rows // cell_rows if width <= 16 else rows // (8 * cell_rows)
+    count = min(most, count)
     if count < 2:
         return np.zeros((0, width))
     picked = df.select(id_col, x_col).orderBy(hash_key(F.col(id_col), "pivot"), id_col).limit(count).collect()
@@ -229,6 +229,7 @@ def join_blocks(
     *,
     tell: Callable[[Block], pd.DataFrame] | None = None,
     both: bool = False,
+    copied: bool = True,
 ) -> DataFrame:
     """Run ``compare`` on every listed block pair, one pair at a time inside a task.
 
@@ -237,12 +238,13 @@ def join_blocks(
     each query block instead of one for every pair. It must accept its own output.
     With ``tell`` the results stay in ``kept`` of the query block, which ``tell`` reads when
     its pairs are done. With ``both`` the blocks are joined with themselves, a pair is compared
-    once, and ``compare`` keeps results in both of its blocks.
+    once, and ``compare`` keeps results in both of its blocks. Unless ``copied``, small sides are dealt in stripes as well:
+    a block then travels once for many pairs, which pays where a pair is compared fast.
     Tasks become more, not longer, as the rows grow.
     """
     spark = q.frame.sparkSession
     width = q.width
-    if both or max(q.bytes, c.bytes) > BROADCAST_BYTES:
+    if both or not copied or max(q.bytes, c.bytes) > BROADCAST_BYTES:
         return _join_stripes(q, c, pairs, compare, schema, merge, tell, both)
 
     def results(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

@@ -181,7 +181,8 @@ def _few_sums(rows: DataFrame, labels: Sequence[str]) -> tuple[list, DataFrame]
             q.kept[s, theirs] += np.add.reduceat(d, first, axis=1)
             if c is not q:
                 own, start = np.unique(q.tags[s], return_index=True)
-                c.kept[:, own] += np.add.reduceat(d, start, axis=0).T
+                for code, low, high in zip(own, start, [*start[1:], len(d)]):
+                    c.kept[:, code] += d[low:high].sum(axis=0)
         q.kept[:, width] += len(c.ids)
         if c is not q:
             c.kept[:, width] += len(q.ids)
@@ -343,10 +344,10 @@ def davies_bouldin(df: DataFrame, *, x_col: str, cluster_col: str) -> DataFrame:
 def scores(df: DataFrame, *, id_col: str, x_col: str, cluster_col: str, sample: DataFrame | None = None) -> tuple:
     """``(silhouette, calinski_harabasz, davies_bouldin)`` as plain numbers."""
     s = silhouette(df, id_col=id_col, x_col=x_col, cluster_col=cluster_col, sample=sample).first()["silhouette"]
-    return s, *_indices(df, x_col=x_col, cluster_col=cluster_col)
+    return s, *indices(df, x_col=x_col, cluster_col=cluster_col)
 
 
-def _indices(df: DataFrame, *, x_col: str, cluster_col: str) -> tuple:
+def indices(df: DataFrame, *, x_col: str, cluster_col: str) -> tuple:
     ch = calinski_harabasz(df, x_col=x_col, cluster_col=cluster_col).first()["calinski_harabasz"]
     db = davies_bouldin(df, x_col=x_col, cluster_col=cluster_col).first()["davies_bouldin"]
     return ch, db
@@ -375,7 +376,7 @@ def sweep_kmeans(df: DataFrame, *, id_col: str, x_col: str, ks: Sequence[int], s
         for i, (k, fit) in enumerate(zip(ks, fits)):
             labelled = fit.transform(df, x_col)
             mean = whole[i] if whole else silhouette(labelled, id_col=id_col, x_col=x_col, cluster_col="cluster", sample=sample).first()["silhouette"]
-            rows.append((k, fit.iterations, mean, *_indices(labelled, x_col=x_col, cluster_col="cluster")))
+            rows.append((k, fit.iterations, mean, *indices(labelled, x_col=x_col, cluster_col="cluster")))
     finally:
         df.unpersist()
     return mark_best(small_table(df.sparkSession,

@@ -253,3 +253,50 @@ def test_components_of_no_rows_and_of_holes(spark):
     assert moments.pair_statistics(empty, "x").count() == 0
     with pytest.raises(ValueError):
         reduction.fit_pca(vectors(spark, np.array([[1.0, np.nan], [2.0, 3.0]])), x_col="x", k=1)
+
+
+def merged_one_by_one(x, ids):
+    far = np.linalg.norm(x[:, None] - x[None], axis=2)
+    np.fill_diagonal(far, np.inf)
+    weight, out = np.ones(len(x)), []
+    for _ in range(len(x) - 1):
+        i, j = sorted(np.unravel_index(far.argmin(), far.shape))
+        out.append((int(ids[i]), int(ids[j]), round(float(far[i, j]), 9)))
+        row = (far[i] * weight[i] + far[j] * weight[j]) / (weight[i] + weight[j])
+        row[[i, j]] = np.inf
+        far[i], far[:, i] = row, row
+        far[j] = far[:, j] = np.inf
+        weight[i] += weight[j]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("width", [2, 16])
+def test_linkage_of_copies_and_dense_groups_takes_few_rounds(spark, monkeypatch, width):
+    """A group that grows by a row at a time is no reason for a round for each of its rows."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.repeat(rng.normal(size=(1, width)), 150, axis=0), rng.normal(size=(60, width))])
+    if width > linkage.NARROW:
+        x = np.concatenate([x, 50 + 0.01 * rng.normal(size=(60, width)) * rng.uniform(0.2, 1, size=(60, 1))])
+    monkeypatch.setattr(linkage, "MANY", 61)
+    merges = linkage.dendrogram(vectors(spark, x), id_col="id", x_col="x").collect()
+    copies = lambda rows: sorted(r for r in rows if r[2] > 0)
+    assert copies((r["a"], r["b"], round(r["height"], 9)) for r in merges) == copies(merged_one_by_one(x, np.arange(len(x))))
+    assert len(merges) == len(x) - 1 and max(r["round"] for r in merges) < 30
+
+
+def test_linkage_of_narrow_rows_sums_up_candidates_only(spark, monkeypatch):
+    cells = spark.sparkContext.accumulator(0)
+    real = linkage._ragged_sums
+
+    def counted(ours, theirs):
+        cells.add(int((ours[2] * theirs[2]).sum()))
+        return real(ours, theirs)
+
+    monkeypatch.setattr(linkage, "_ragged_sums", counted)
+    monkeypatch.setattr(linkage, "_nearest", None)  # never all rows
+    monkeypatch.setattr(linkage, "MANY", 150)
+    monkeypatch.setattr(linkage, "PAIR_COST", 0)
+    x = np.random.default_rng(8).normal(size=(500, 2))
+    merges = linkage.dendrogram(vectors(spark, x), id_col="id", x_col="x").collect()
+    assert sorted((r["a"], r["b"], round(r["height"], 9)) for r in merges) == merged_one_by_one(x, np.arange(500))
+    assert 0 < cells.value < 500 * 500 / 2
