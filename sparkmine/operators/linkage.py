@@ -271,7 +271,8 @@ def _candidates(table: DataFrame, asked: DataFrame) -> DataFrame:
     squares around them (``spread``) give. Both bounds need no rows, and cells of centres skip what is too far.
     """
     pivots = choose_pivots(table, "cluster", "centre", cell_rows=128, most=512)
-    q, c = (build_blocks(d, "cluster", "centre", val="spread", pivots=pivots) for d in (asked, table))
+    c = build_blocks(table, "cluster", "centre", val="spread", pivots=pivots)
+    q = c if asked is table else build_blocks(asked, "cluster", "centre", val="spread", like=c)
     widest = table.agg(F.max("spread")).first()[0] or 0.0
     far = knn_reach(q, c, 2)
 
